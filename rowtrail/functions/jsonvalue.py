@@ -38,35 +38,34 @@ def wrapped_payload(value: Column) -> Column:
     return at(value, "$.schema").isNotNull() & at(value, "$.payload").isNotNull()
 
 
-def kind(value: Column) -> Column:
-    """Type name of a VARIANT as Spark reports it; null where absent."""
-    return F.schema_of_variant(value)
+def token(value: Column, path: str) -> Column:
+    """JSON text of the value at a path; its first character tells the kind. Null where absent."""
+    return F.to_json(at(value, path))
 
 
-def text_at(value: Column, path: str) -> Column:
-    """Non-empty JSON string at a path, null for every other kind."""
-    found = at(value, path)
-    content = F.try_variant_get(found, "$", "string")
-    return F.when((kind(found) == "STRING") & (content != ""), content)
+def text_in(token_text: Column) -> Column:
+    """Content of a non-empty JSON string token, null for every other kind.
 
+    Escapes stay as written: the names and positions read this way are plain identifiers, so an
+    escaped one matches nothing, as it should.
+    """
+    content = F.substring(token_text, F.lit(2), F.length(token_text) - F.lit(2))
+    return F.when(F.startswith(token_text, F.lit('"')) & (F.length(token_text) > 2), content)
 
-def is_integral(value: Column) -> Column:
-    """A JSON number written without a fraction or exponent."""
-    name = kind(value)
-    return F.coalesce((name == "BIGINT") | name.rlike(r"\ADECIMAL\((19|[2-9]\d),0\)\z"), F.lit(False))
 
+def long_in(token_text: Column) -> Column:
+    """A JSON number token within the long range (a fraction is cut off), null for every other kind."""
+    return token_text.try_cast("decimal(38,10)").try_cast("bigint")
 
-def long_at(value: Column, path: str) -> Column:
-    """A JSON number within the long range (a fraction is cut off), null for every other kind."""
-    found = at(value, path)
-    numeric = kind(found).rlike(r"\A(BIGINT|DECIMAL.*|DOUBLE|FLOAT)\z")
-    return F.when(numeric, F.try_variant_get(found, "$", "bigint"))
+
+def is_integral(value: Column) -> Column:
+    """A JSON number written without a fraction or exponent, within the long range."""
+    return F.coalesce(F.schema_of_variant(value) == "BIGINT", F.lit(False))
 
 
 def object_at(value: Column, path: str) -> Column:
     """The fields of the object at a path as a map, null where the path holds no object."""
-    found = at(value, path)
-    return F.try_variant_get(found, "$", MAP_TYPE)
+    return F.try_variant_get(value, path, MAP_TYPE)
 
 
 def canonical(value: Column) -> Column:
