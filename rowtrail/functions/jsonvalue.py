@@ -10,8 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MAP_TYPE = "map<string,variant>"
-# A JSON text never holds this raw character, so it separates a value's text from its name.
-SEPARATOR = "\u0000"
 
 
 def parse(text: Column) -> Column:
@@ -43,19 +41,21 @@ def token(value: Column, path: str) -> Column:
     return F.to_json(at(value, path))
 
 
-def text_in(token_text: Column) -> Column:
-    """Content of a non-empty JSON string token, null for every other kind.
+def kind(value: Column) -> Column:
+    """Type name of a VARIANT; null where absent."""
+    return F.schema_of_variant(value)
 
-    Escapes stay as written: the names and positions read this way are plain identifiers, so an
-    escaped one matches nothing, as it should.
-    """
-    content = F.substring(token_text, F.lit(2), F.length(token_text) - F.lit(2))
-    return F.when(F.startswith(token_text, F.lit('"')) & (F.length(token_text) > 2), content)
+
+def text_of(value: Column) -> Column:
+    """Content of a non-empty JSON string, null for every other kind."""
+    content = F.try_variant_get(value, "$", "string")
+    return F.when((kind(value) == "STRING") & (content != ""), content)
 
 
-def long_in(token_text: Column) -> Column:
-    """A JSON number token within the long range (a fraction is cut off), null for every other kind."""
-    return token_text.try_cast("decimal(38,10)").try_cast("bigint")
+def long_of(value: Column) -> Column:
+    """A JSON number within the long range (a fraction is cut off), null for every other kind."""
+    numeric = F.substring(kind(value), 1, 2).isin("BI", "DE", "DO", "FL")
+    return F.when(numeric, F.try_variant_get(value, "$", "bigint"))
 
 
 def is_integral(value: Column) -> Column:
@@ -78,8 +78,14 @@ def names(fields: Column) -> Column:
 
 
 def _entries(fields: Column) -> Column:
-    entry = F.transform(F.map_entries(fields), lambda e: F.concat(F.to_json(e["value"]), F.lit(SEPARATOR), e["key"]))
-    return F.coalesce(entry, F.array().cast("array<string>"))
+    """Each field as one text: length of the name, the name, two letters for the kind, the value."""
+    def entry(e: Column) -> Column:
+        value = e["value"]
+        return F.concat(
+            F.length(e["key"]).cast("string"), F.lit(":"), e["key"], F.substring(kind(value), 1, 2),
+            F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("")))
+
+    return F.coalesce(F.transform(F.map_entries(fields), entry), F.array().cast("array<string>"))
 
 
 def differing_names(before: Column, after: Column) -> Column:
@@ -90,8 +96,12 @@ def differing_names(before: Column, after: Column) -> Column:
     """
     left, right = _entries(before), _entries(after)
     changed = F.concat(F.array_except(left, right), F.array_except(right, left))
-    name = F.transform(changed, lambda e: F.substring(e, F.instr(e, SEPARATOR) + F.lit(1), F.length(e)))
-    return F.sort_array(F.array_distinct(name))
+
+    def name(entry: Column) -> Column:
+        size = F.substring_index(entry, ":", 1)
+        return F.substring(entry, F.length(size) + F.lit(2), size.cast("int"))
+
+    return F.sort_array(F.array_distinct(F.transform(changed, name)))
 
 
 def value_kind(text: Column) -> Column:

@@ -108,26 +108,26 @@ def _fields(feed: DataFrame) -> DataFrame:
         jsonvalue.payload(F.col("_value_read")).alias("_value"),
     )
     value = F.col("_value")
-    tokens = documents.select(
+    parts = documents.select(
         *[F.col(c) for c in feed.columns], "_connector", "_key", "_key_malformed", "_value_malformed", "_wrapped",
         jsonvalue.canonical(F.col("_key")).alias("_record_key"),
-        *[jsonvalue.token(value, f"$.{path}").alias(f"_t_{name}") for name, path in _TOKENS.items()],
+        jsonvalue.at(value, "$.op").alias("_op_read"),
+        F.try_variant_get(value, "$.source", _SOURCE_TYPE).alias("_s"),
         jsonvalue.object_at(value, "$.before").alias("_before"),
         jsonvalue.object_at(value, "$.after").alias("_after"),
     )
-    kept = [c for c in tokens.columns if not c.startswith("_t_")]
-    return tokens.select(
-        *[F.col(c) for c in kept],
-        *[(jsonvalue.long_in if name in _NUMBERS else jsonvalue.text_in)(F.col(f"_t_{name}")).alias(f"_{name}") for name in _TOKENS],
+    return parts.select(
+        *[F.col(c) for c in parts.columns if c not in ("_op_read", "_s")],
+        jsonvalue.text_of(F.col("_op_read")).alias("_op"),
+        *[jsonvalue.text_of(F.col(f"_s.{name}")).alias(alias) for alias, name in _SOURCE_TEXTS.items()],
+        *[jsonvalue.long_of(F.col(f"_s.{name}")).alias(alias) for alias, name in _SOURCE_NUMBERS.items()],
     )
 
 
-# Where the envelope keeps each field, and which of them are numbers.
-_TOKENS = {
-    "op": "op", "db": "source.db", "schema": "source.schema", "table": "source.table", "commit": "source.commit_lsn",
-    "change": "source.change_lsn", "serial": "source.event_serial_no", "millis": "source.ts_ms",
-}
-_NUMBERS = {"serial", "millis"}
+# The envelope's source fields. They are taken out as VARIANTs so that their kinds can be tested.
+_SOURCE_TEXTS = {"_db": "db", "_schema": "schema", "_table": "table", "_commit": "commit_lsn", "_change": "change_lsn"}
+_SOURCE_NUMBERS = {"_serial": "event_serial_no", "_millis": "ts_ms"}
+_SOURCE_TYPE = "struct<" + ", ".join(f"{name}: variant" for name in [*_SOURCE_TEXTS.values(), *_SOURCE_NUMBERS.values()]) + ">"
 
 
 def _routed(feed: DataFrame, sources: DataFrame, heartbeat_table: str) -> DataFrame:

@@ -24,7 +24,10 @@ EVENTS = "dbo.events"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one with fewer splits than cores is spread over them, a large one is read as it lies."""
+    read = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return read.repartition(cores) if read.rdd.getNumPartitions() < cores else read
 
 
 def shop_source(spark: SparkSession, boundaries: dict[str, str] | None = None, incarnation: str = INCARNATION) -> DataFrame:

@@ -16,9 +16,9 @@ from rowtrail.operators.wire import wire_encode
 HISTORY_SCHEMA = (
     "event_id string, source_id string, schema_name string, table_name string, operation string, occurred_at timestamp, "
     "captured_at timestamp, record_key string, before_json string, after_json string, changed_properties string, "
-    "commit_lsn string, change_lsn string, event_serial_no bigint, tenant_id string, occurred_date date, batch_id bigint"
+    "commit_lsn string, change_lsn string, event_serial_no bigint, tenant_id string, occurred_month date, batch_id bigint"
 )
-_PARTITIONS = ["tenant_id", "occurred_date", "batch_id"]
+_PARTITIONS = ["tenant_id", "occurred_month", "batch_id"]
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -41,11 +41,11 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def append_history(batch: DataFrame, path: str, batch_id: int) -> None:
     """Write a batch's new events to its own partitions.
 
-    The rebalance lets adaptive execution split a hot tenant's day and merge small ones; files are sorted
+    The rebalance lets adaptive execution split a hot tenant's month and merge small ones; files are sorted
     so that searches by time skip row groups.
     """
-    keys = ["tenant_id", "occurred_date"]
-    rows = batch.withColumn("occurred_date", F.to_date("occurred_at")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    keys = ["tenant_id", "occurred_month"]
+    rows = batch.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
         rows.hint("rebalance", *keys).sortWithinPartitions(*keys, "occurred_at", "event_id")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
@@ -58,9 +58,16 @@ def save_events(events: DataFrame, path: str, batch_id: int) -> DataFrame:
     The batch's own partitions are left out of the comparison, else a rerun would find itself there.
     """
     spark = events.sparkSession
-    earlier = read_history(spark, path).filter(F.col("batch_id") != batch_id)
-    fresh = ops.dedupe_events(events, ops.history_near(earlier, ops.position_range(events)))
-    append_history(fresh, path, batch_id)
+    held = events.storageLevel.useMemory
+    if not held:
+        events = events.persist()
+    try:
+        earlier = read_history(spark, path).filter(F.col("batch_id") != batch_id)
+        fresh = ops.dedupe_events(events, ops.history_near(earlier, ops.position_range(events)))
+        append_history(fresh, path, batch_id)
+    finally:
+        if not held:
+            events.unpersist()
     return read_history(spark, path).filter(F.col("batch_id") == batch_id)
 
 
@@ -112,16 +119,16 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str, cutoff, l
     Only the partitions holding those rows (at most ``limit``) are rewritten; one left empty is deleted.
     """
     history = read_history(spark, path)
-    dated = history.filter(F.col("occurred_date") <= F.to_date(F.lit(cutoff)))
+    dated = history.filter(F.col("occurred_month") <= F.to_date(F.lit(cutoff)))
     doomed = ops.retention_prune(dated, tenant, cutoff, limit).select("event_id", *_PARTITIONS).persist()
     try:
         touched = doomed.groupBy(*_PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()
         if not touched:
             return 0
-        places = spark.createDataFrame([tuple(r[c] for c in _PARTITIONS) for r in touched], "tenant_id string, occurred_date date, batch_id bigint")
+        places = spark.createDataFrame([tuple(r[c] for c in _PARTITIONS) for r in touched], "tenant_id string, occurred_month date, batch_id bigint")
         survivors = (
             history.filter(F.col("tenant_id") == tenant)
-            .filter(F.col("occurred_date").isin([r["occurred_date"] for r in touched]) & F.col("batch_id").isin([r["batch_id"] for r in touched]))
+            .filter(F.col("occurred_month").isin([r["occurred_month"] for r in touched]) & F.col("batch_id").isin([r["batch_id"] for r in touched]))
             .join(F.broadcast(places), _PARTITIONS, "left_semi")
             .join(F.broadcast(doomed.select("event_id")), "event_id", "left_anti")
             .persist()
@@ -130,7 +137,7 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str, cutoff, l
         survivors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
         for row in touched:
             if tuple(row[c] for c in _PARTITIONS) not in kept:
-                fs, folder = _file_system(spark, f"{path}/tenant_id={row['tenant_id']}/occurred_date={row['occurred_date']}/batch_id={row['batch_id']}")
+                fs, folder = _file_system(spark, f"{path}/tenant_id={row['tenant_id']}/occurred_month={row['occurred_month']}/batch_id={row['batch_id']}")
                 fs.delete(folder, True)
         survivors.unpersist()
         return sum(r["n"] for r in touched)
