@@ -209,7 +209,7 @@ def schema_assess(observations: DataFrame, reader: DataFrame) -> DataFrame:
     The newest capture is compared with the source table and with the reader's columns; while two captures
     coexist a replacement is under way and nothing is compared.
     """
-    single = observations.filter(F.size("captures") == 1).select(*TABLE_KEY, F.col("captures")[0]["columns"].alias("_captured"), "source_columns")
+    single = observations.filter(F.size("captures") == 1).select(*TABLE_KEY, F.get("captures", F.lit(0))["columns"].alias("_captured"), "source_columns")
     captured = explode_columns(single, "_captured")
     with_source = single.filter(F.size("source_columns") > 0).select(*TABLE_KEY)
     source_diff = column_diff(captured.join(with_source, TABLE_KEY, "left_semi"), explode_columns(single, "source_columns"))
@@ -250,12 +250,12 @@ def schema_plan(assessed: DataFrame, registry: DataFrame, positions: DataFrame,
     joined = assessed.join(rows, TABLE_KEY).join(positions.select(*SOURCE, "saved_commit"), SOURCE, "left")
     detailed = joined.withColumn("detail", schema_detail(F.col("source_changes"), F.col("reader_changes"))).withColumn(
         "capturing", F.col("active") & F.col("state").isin("ACTIVE", "ONBOARDING"))
-    first, newest = F.col("captures")[0], F.try_element_at("captures", F.lit(-1))
+    first, newest = F.get("captures", F.lit(0)), F.try_element_at("captures", F.lit(-1))
     passed = F.coalesce(lsn.ready_lsn(newest["start_lsn"]) & (lsn.lsn_bytes(F.col("saved_commit")) > newest["start_lsn"]), F.lit(False))
     settled = F.col("refresh_started_at").isNull() | (F.timestamp_diff("SECOND", F.col("refresh_started_at"), F.lit(now)) >= RETIRE_GRACE_SECONDS)
     needs = F.col("assessed_state").isin(SOURCE_CHANGED, READER_STALE)
     due = F.col("refresh_requested_at").isNotNull() | (F.lit(automatic) & needs & ~F.col("detail").eqNullSafe(F.col("refresh_detail")))
-    one_ready = (F.size("captures") == 1) & F.get(F.col("captures"), F.lit(0))["ready"]
+    one_ready = (F.size("captures") == 1) & first["ready"]
     action = (
         F.when(~F.col("capturing"), F.lit(None))
         .when(F.size("captures") > 1, F.when(passed & settled, "RETIRE"))
