@@ -250,14 +250,16 @@ def history_events(examined: DataFrame, captured_at: Column | None = None) -> Da
         captured_at = F.col("captured_at")
     elif captured_at is None:
         raise ValueError("the feed carries no captured_at, so one must be given")
-    derived = examined.filter(F.col("verdict").isNull()).select(
-        "*", F.from_json("value", _IMAGE_SCHEMA).alias("_raw"), map_operation(F.col("_op")).alias("operation"),
-        captured_at.alias("_captured_at"))
+    raw = examined.filter(F.col("verdict").isNull()).withColumn("_raw", F.from_json("value", _IMAGE_SCHEMA))
 
     def image(side: str) -> Column:
         text = F.when(F.col("_wrapped"), F.col(f"_raw.payload.{side}")).otherwise(F.col(f"_raw.{side}"))
         return F.when(F.col(f"_{side}").isNotNull(), text)
 
+    images = raw.select(
+        "*", image("before").alias("_before_text"), image("after").alias("_after_text"), map_operation(F.col("_op")).alias("operation"),
+        captured_at.alias("_captured_at"))
+    derived = jsonvalue.with_differing_names(images, "_changed", "_before", "_after", "_before_text", "_after_text")
     return derived.select(
         identity.event_id(
             F.col("src.tenant_id"), F.col("src.source_id"), F.col("src.incarnation"), F.col("_schema"), F.col("_table"),
@@ -270,9 +272,9 @@ def history_events(examined: DataFrame, captured_at: Column | None = None) -> Da
         occurred_at(F.col("_millis")).alias("occurred_at"),
         F.col("_captured_at").alias("captured_at"),
         F.col("_record_key").alias("record_key"),
-        image("before").alias("before_json"),
-        image("after").alias("after_json"),
-        F.to_json(jsonvalue.differing_names(F.col("_before"), F.col("_after"))).alias("changed_properties"),
+        F.col("_before_text").alias("before_json"),
+        F.col("_after_text").alias("after_json"),
+        F.to_json("_changed").alias("changed_properties"),
         F.col("_commit").alias("commit_lsn"),
         F.col("_change").alias("change_lsn"),
         F.col("_serial").alias("event_serial_no"),
@@ -299,7 +301,8 @@ def changed_properties(frame: DataFrame, before: str = "before_json", after: str
     """Add the ordered JSON list of names whose typed value differs between two row images."""
     images = frame.withColumn("_b", jsonvalue.object_at(jsonvalue.parse(F.col(before)), "$")).withColumn(
         "_a", jsonvalue.object_at(jsonvalue.parse(F.col(after)), "$"))
-    return images.withColumn("changed_properties", F.to_json(jsonvalue.differing_names(F.col("_b"), F.col("_a")))).drop("_b", "_a")
+    compared = jsonvalue.with_differing_names(images, "_changed", "_b", "_a", before, after)
+    return compared.withColumn("changed_properties", F.to_json("_changed")).drop("_b", "_a", "_changed")
 
 
 def changed_name_union(frame: DataFrame, before: str = "before_json", after: str = "after_json") -> DataFrame:

@@ -113,6 +113,27 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.parse_change_feed(feeds.events_changes(spark, sf_dir), feeds.shop_source(spark))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds' history as a table in storage, written once per application: what searches read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED or not storage.path_exists(spark, _STORED[key]):
+        path = run_folder(spark, "history")
+        storage.append_history(order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir)), path, 0)
+        _STORED[key] = path
+    return storage.read_history(spark, _STORED[key])
+
+
+def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_history(spark, sf_dir).filter(F.col("table_name") == "orders")
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_history(spark, sf_dir).filter(F.col("table_name") == "events")
+
+
 _FEED_SQL = _sql("SELECT record_key AS key, value, destination FROM f1", "f1")
 
 
@@ -179,7 +200,7 @@ _START = "00000027:00001000:0000"
 
 @query("start_at_activation", _sql(f"SELECT event_id, commit_lsn FROM f1 WHERE commit_lsn > '{_START}'", "f1"))
 def _(spark, sf_dir):
-    return sources.start_at_activation(order_history(spark, sf_dir), _START).select("event_id", "commit_lsn")
+    return sources.start_at_activation(stored_orders(spark, sf_dir), _START).select("event_id", "commit_lsn")
 
 
 _F1_HISTORY_SQL = _sql(f"SELECT {_HISTORY} FROM f1", "f1")
@@ -345,29 +366,29 @@ _FIELD_ROWS = " UNION ALL ".join(
 
 @query("field_changes", _sql(_FIELD_ROWS, "f2"))
 def _(spark, sf_dir):
-    return history.field_changes(event_history(spark, sf_dir))
+    return history.field_changes(stored_events(spark, sf_dir))
 
 
 @query("field_changes_filtered", _sql(f"SELECT * FROM ({_FIELD_ROWS}) WHERE changed AND field LIKE '%o%'", "f2"))
 def _(spark, sf_dir):
-    return history.field_changes(event_history(spark, sf_dir), changed_only=True, name_like="O")
+    return history.field_changes(stored_events(spark, sf_dir), changed_only=True, name_like="O")
 
 
 @query("event_summary", _sql(f"SELECT {_SUMMARY} FROM f1", "f1"))
 def _(spark, sf_dir):
-    return history.event_summary(order_history(spark, sf_dir), feeds.TENANT)
+    return history.event_summary(stored_orders(spark, sf_dir), feeds.TENANT)
 
 
 @query("event_detail", _sql(f"SELECT {_SUMMARY}, before_json, after_json FROM f1", "f1"))
 def _(spark, sf_dir):
-    return history.event_detail(order_history(spark, sf_dir), feeds.TENANT)
+    return history.event_detail(stored_orders(spark, sf_dir), feeds.TENANT)
 
 
 @query("qualified_names", _sql("""
   SELECT schema_name || '.' || table_name AS qualified_name, schema_name, table_name, count(*) AS event_count FROM
     (SELECT schema_name, table_name FROM f1 UNION ALL SELECT schema_name, table_name FROM f2) GROUP BY ALL""", "f1", "f2"))
 def _(spark, sf_dir):
-    both = order_history(spark, sf_dir).select("schema_name", "table_name").unionByName(event_history(spark, sf_dir).select("schema_name", "table_name"))
+    both = stored_history(spark, sf_dir).select("schema_name", "table_name")
     named = both.select(names.qualified(F.col("schema_name"), F.col("table_name")).alias("qualified_name"))
     return named.groupBy("qualified_name").agg(F.count(F.lit(1)).alias("event_count")).select(
         "qualified_name", names.split_qualified(F.col("qualified_name")).alias("p"), "event_count").select("qualified_name", "p.*", "event_count")
@@ -421,7 +442,7 @@ def _(spark, sf_dir):
 @query("activation_boundary", _sql(f"""
   SELECT event_id FROM f1 WHERE commit_lsn > '{_START}' UNION ALL SELECT event_id FROM f2""", "f1", "f2"))
 def _(spark, sf_dir):
-    both = order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir))
+    both = stored_history(spark, sf_dir).select(*changes.HISTORY_COLUMNS)
     limits = spark.createDataFrame([(feeds.TENANT, feeds.SOURCE, "dbo", "orders", _START)], "tenant_id string, source_id string, schema_name string, table_name string, activation_lsn string")
     return changes.activation_boundary(both, limits).select("event_id")
 
@@ -441,7 +462,7 @@ _SEARCHED = """FROM f1 WHERE operation = 'UPDATE' AND occurred_at BETWEEN TIMEST
 
 
 def _searched(spark, sf_dir):
-    both = order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir))
+    both = stored_history(spark, sf_dir)
     return history.history_search(both, feeds.TENANT, "dbo.orders||dbo.absent", "UPDATE", _FROM, _TO, "1")
 
 
@@ -458,30 +479,30 @@ def _(spark, sf_dir):
 @query("image_path_filter", _sql("""
   SELECT event_id, operation FROM f1 WHERE json_extract_string(before_json, '$.o_orderstatus') = 'P' OR json_extract_string(after_json, '$.o_orderstatus') = 'P'""", "f1"))
 def _(spark, sf_dir):
-    return history.image_path_filter(order_history(spark, sf_dir), "$.o_orderstatus", "P").select("event_id", "operation")
+    return history.image_path_filter(stored_orders(spark, sf_dir), "$.o_orderstatus", "P").select("event_id", "operation")
 
 
 @query("tenant_guard", _sql("SELECT event_id, CASE WHEN operation = 'DELETE' THEN 'MESSAGE_TENANT_MISMATCH' END AS error_code FROM f1", "f1"))
 def _(spark, sf_dir):
-    foreign = order_history(spark, sf_dir).withColumn("tenant_id", F.when(F.col("operation") == "DELETE", "T2").otherwise(F.col("tenant_id")))
+    foreign = stored_orders(spark, sf_dir).withColumn("tenant_id", F.when(F.col("operation") == "DELETE", "T2").otherwise(F.col("tenant_id")))
     return history.tenant_guard(foreign, feeds.TENANT, feeds.SOURCE).select("event_id", "error_code")
 
 
 @query("replay_from", _sql("SELECT event_id, commit_lsn FROM f2 WHERE eid > 500 OR (eid = 500 AND event_serial_no > 1)", "f2"))
 def _(spark, sf_dir):
-    return history.replay_from(event_history(spark, sf_dir), "00000040:000001f4:0003", "00000040:000001f4:0002", 1).select("event_id", "commit_lsn")
+    return history.replay_from(stored_events(spark, sf_dir), "00000040:000001f4:0003", "00000040:000001f4:0002", 1).select("event_id", "commit_lsn")
 
 
 @query("dedupe_events", _sql("SELECT event_id, captured_at FROM f1 WHERE o_orderkey % 3 <> 0", "f1"))
 def _(spark, sf_dir):
     batch = changes.parse_change_feed(feeds.replayed_changes(spark, sf_dir), feeds.shop_source(spark))
-    held = order_history(spark, sf_dir).filter(F.get_json_object("record_key", "$.o_orderkey").cast("bigint") % 3 == 0)
+    held = stored_orders(spark, sf_dir).filter(F.get_json_object("record_key", "$.o_orderkey").cast("bigint") % 3 == 0)
     return history.dedupe_events(batch, held).select("event_id", "captured_at")
 
 
 def _reconciled(spark, sf_dir):
     """History that lost every seventh order and holds every eleventh twice."""
-    stored = order_history(spark, sf_dir).withColumn("_k", F.get_json_object("record_key", "$.o_orderkey").cast("bigint"))
+    stored = stored_orders(spark, sf_dir).withColumn("_k", F.get_json_object("record_key", "$.o_orderkey").cast("bigint"))
     kept = stored.filter(F.col("_k") % 7 != 0)
     held = kept.unionByName(kept.filter(F.col("_k") % 11 == 0))
     rows = reconcile.changes_to_reconcile(feeds.orders_change_table(spark, sf_dir), feeds.TENANT, feeds.SOURCE, "dbo", "orders")
@@ -508,12 +529,12 @@ _COUNTS = "SELECT schema_name, table_name, operation, count(*) AS {} FROM (SELEC
 
 @query("event_counts", _sql(_COUNTS.format("event_count"), "f1", "f2"))
 def _(spark, sf_dir):
-    return history.event_counts(order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir)))
+    return history.event_counts(stored_history(spark, sf_dir))
 
 
 @query("filter_values", "SELECT item, false AS has_next FROM (VALUES ('dbo.events'), ('dbo.orders')) t(item) WHERE EXISTS (SELECT 1 FROM orders) AND EXISTS (SELECT 1 FROM events)")
 def _(spark, sf_dir):
-    return history.filter_values(order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir)), feeds.TENANT, "DBO.")
+    return history.filter_values(stored_history(spark, sf_dir), feeds.TENANT, "DBO.")
 
 
 @query("source_progress", """
@@ -529,7 +550,7 @@ def _(spark, sf_dir):
 
 @query("last_event", _sql("SELECT 'T1' AS tenant_id, 'shop' AS source_id, event_id, occurred_at, commit_lsn FROM f2 ORDER BY commit_lsn DESC LIMIT 1", "f2"))
 def _(spark, sf_dir):
-    return history.last_event(order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir)))
+    return history.last_event(stored_history(spark, sf_dir))
 
 
 @query("acceptance_check", _sql(f"""
@@ -547,17 +568,17 @@ def _(spark, sf_dir):
                         F.sum(F.col("n") - 1 - F.col("errors") + F.col("first_error")).alias("UPDATE"))
     events = counted.select(F.lit("events").alias("table_name"), F.expr("stack(3, 'INSERT', `INSERT`, 'UPDATE', `UPDATE`, 'DELETE', `DELETE`) AS (operation, expected_count)"))
     expected = orders.unionByName(events).withColumn("schema_name", F.lit("dbo"))
-    return history.acceptance_check(order_history(spark, sf_dir).unionByName(event_history(spark, sf_dir)), expected)
+    return history.acceptance_check(stored_history(spark, sf_dir), expected)
 
 
 @query("retention_prune", _sql(f"SELECT event_id, occurred_at FROM f1 WHERE event_id IN ({_PRUNED})", "f1"))
 def _(spark, sf_dir):
-    return history.retention_prune(order_history(spark, sf_dir), feeds.TENANT, _CUTOFF, 500).select("event_id", "occurred_at")
+    return history.retention_prune(stored_orders(spark, sf_dir), feeds.TENANT, _CUTOFF, 500).select("event_id", "occurred_at")
 
 
 @query("position_order", _sql("SELECT commit_lsn, change_lsn, event_serial_no, event_id FROM f1 ORDER BY commit_lsn, change_lsn, event_serial_no", "f1"))
 def _(spark, sf_dir):
-    return history.position_order(order_history(spark, sf_dir)).select("commit_lsn", "change_lsn", "event_serial_no", "event_id")
+    return history.position_order(stored_orders(spark, sf_dir)).select("commit_lsn", "change_lsn", "event_serial_no", "event_id")
 
 
 @query("stream_history", _F1_HISTORY_SQL)
