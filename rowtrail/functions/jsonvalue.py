@@ -46,16 +46,16 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def text_of(value: Column) -> Column:
-    """Content of a non-empty JSON string, null for every other kind."""
-    content = F.try_variant_get(value, "$", "string")
-    return F.when((kind(value) == "STRING") & (content != ""), content)
+def text_if_string(value: Column, text: Column) -> Column:
+    """A field's ``text`` where its VARIANT says it is a non-empty JSON string, null for every other kind."""
+    return F.when((kind(value) == "STRING") & (text != ""), text)
 
 
-def long_of(value: Column) -> Column:
-    """A JSON number within the long range (a fraction is cut off), null for every other kind."""
-    numeric = F.substring(kind(value), 1, 2).isin("BI", "DE", "DO", "FL")
-    return F.when(numeric, F.try_variant_get(value, "$", "bigint"))
+def long_if_number(value: Column, text: Column) -> Column:
+    """A field's ``text`` as a long where its VARIANT is a number in range (a fraction is cut off), else null."""
+    letters = F.substring(kind(value), 1, 2)
+    return F.when(letters == "BI", text.try_cast("bigint")).when(
+        letters.isin("DE", "DO", "FL"), text.try_cast("decimal(38,10)").try_cast("bigint"))
 
 
 def is_integral(value: Column) -> Column:

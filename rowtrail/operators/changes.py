@@ -34,8 +34,15 @@ HISTORY_COLUMNS = [
     "record_key", "before_json", "after_json", "changed_properties", "commit_lsn", "change_lsn", "event_serial_no",
 ]
 
-# Row images are kept as the source wrote them (name order, number form), so they are read as raw JSON text.
-_IMAGE_SCHEMA = "before string, after string, payload struct<before: string, after: string>"
+# The envelope's source fields.
+_SOURCE_TEXTS = {"_db": "db", "_schema": "schema", "_table": "table", "_commit": "commit_lsn", "_change": "change_lsn"}
+_SOURCE_NUMBERS = {"_serial": "event_serial_no", "_millis": "ts_ms"}
+_SOURCE_FIELDS = [*_SOURCE_TEXTS.values(), *_SOURCE_NUMBERS.values()]
+# A value is read twice: as VARIANTs, which tell the kinds of its fields, and as text. Row images are kept
+# as text the way the source wrote them (name order, number form).
+_KIND_TYPE = "struct<" + ", ".join(f"{name}: variant" for name in _SOURCE_FIELDS) + ">"
+_TEXT_FIELDS = "op: string, before: string, after: string, source: struct<" + ", ".join(f"{name}: string" for name in _SOURCE_FIELDS) + ">"
+_TEXT_SCHEMA = f"struct<{_TEXT_FIELDS}, payload: struct<{_TEXT_FIELDS}>>"
 
 
 def map_operation(op: Column) -> Column:
@@ -101,6 +108,7 @@ def _fields(feed: DataFrame) -> DataFrame:
     """The envelope's fields as typed columns, null where missing or of another kind."""
     documents = _read(feed).select(
         "*",
+        F.from_json("value", _TEXT_SCHEMA).alias("_text"),
         jsonvalue.malformed(F.col("key"), F.col("_key_read")).alias("_key_malformed"),
         jsonvalue.malformed(F.col("value"), F.col("_value_read")).alias("_value_malformed"),
         jsonvalue.wrapped_payload(F.col("_value_read")).alias("_wrapped"),
@@ -108,28 +116,25 @@ def _fields(feed: DataFrame) -> DataFrame:
         jsonvalue.payload(F.col("_value_read")).alias("_value"),
     )
     value = F.col("_value")
+    text = F.col("_text")
     parts = documents.select(
-        *[F.col(c) for c in feed.columns], "_connector", "_key", "_key_malformed", "_value_malformed", "_wrapped",
+        *[F.col(c) for c in feed.columns], "_connector", "_key", "_key_malformed", "_value_malformed",
         jsonvalue.canonical(F.col("_key")).alias("_record_key"),
-        jsonvalue.at(value, "$.op").alias("_op_read"),
-        F.try_variant_get(value, "$.source", _SOURCE_TYPE).alias("_s"),
+        jsonvalue.at(value, "$.op").alias("_op_kind"),
+        F.try_variant_get(value, "$.source", _KIND_TYPE).alias("_kinds"),
         jsonvalue.object_at(value, "$.before").alias("_before"),
         jsonvalue.object_at(value, "$.after").alias("_after"),
+        *[F.when(F.col("_wrapped"), text["payload"][name]).otherwise(text[name]).alias(f"_text_{name}") for name in ("op", "before", "after", "source")],
     )
     return parts.select(
-        *[F.col(c) for c in parts.columns if c not in ("_op_read", "_s")],
-        jsonvalue.text_of(F.col("_op_read")).alias("_op"),
-        *[jsonvalue.text_of(F.col(f"_s.{name}")).alias(alias) for alias, name in _SOURCE_TEXTS.items()],
-        *[jsonvalue.long_of(F.col(f"_s.{name}")).alias(alias) for alias, name in _SOURCE_NUMBERS.items()],
+        *[F.col(c) for c in parts.columns if c not in ("_op_kind", "_kinds", "_text_op", "_text_source", "_text_before", "_text_after")],
+        jsonvalue.text_if_string(F.col("_op_kind"), F.col("_text_op")).alias("_op"),
+        *[jsonvalue.text_if_string(F.col(f"_kinds.{name}"), F.col(f"_text_source.{name}")).alias(alias) for alias, name in _SOURCE_TEXTS.items()],
+        *[jsonvalue.long_if_number(F.col(f"_kinds.{name}"), F.col(f"_text_source.{name}")).alias(alias) for alias, name in _SOURCE_NUMBERS.items()],
+        *[F.when(F.col(f"_{side}").isNotNull(), F.col(f"_text_{side}")).alias(f"_{side}_text") for side in ("before", "after")],
     )
 
 
-# The envelope's source fields. They are taken out as VARIANTs so that their kinds can be tested.
-_SOURCE_TEXTS = {"_db": "db", "_schema": "schema", "_table": "table", "_commit": "commit_lsn", "_change": "change_lsn"}
-_SOURCE_NUMBERS = {"_serial": "event_serial_no", "_millis": "ts_ms"}
-_SOURCE_TYPE = "struct<" + ", ".join(f"{name}: variant" for name in [*_SOURCE_TEXTS.values(), *_SOURCE_NUMBERS.values()]) + ">"
-
-
 def _routed(feed: DataFrame, sources: DataFrame, heartbeat_table: str) -> DataFrame:
     """Typed fields with the source each record belongs to.
 
@@ -250,16 +255,9 @@ def history_events(examined: DataFrame, captured_at: Column | None = None) -> Da
         captured_at = F.col("captured_at")
     elif captured_at is None:
         raise ValueError("the feed carries no captured_at, so one must be given")
-    raw = examined.filter(F.col("verdict").isNull()).withColumn("_raw", F.from_json("value", _IMAGE_SCHEMA))
-
-    def image(side: str) -> Column:
-        text = F.when(F.col("_wrapped"), F.col(f"_raw.payload.{side}")).otherwise(F.col(f"_raw.{side}"))
-        return F.when(F.col(f"_{side}").isNotNull(), text)
-
-    images = raw.select(
-        "*", image("before").alias("_before_text"), image("after").alias("_after_text"), map_operation(F.col("_op")).alias("operation"),
-        captured_at.alias("_captured_at"))
-    derived = jsonvalue.with_differing_names(images, "_changed", "_before", "_after", "_before_text", "_after_text")
+    good = examined.filter(F.col("verdict").isNull()).select(
+        "*", map_operation(F.col("_op")).alias("operation"), captured_at.alias("_captured_at"))
+    derived = jsonvalue.with_differing_names(good, "_changed", "_before", "_after", "_before_text", "_after_text")
     return derived.select(
         identity.event_id(
             F.col("src.tenant_id"), F.col("src.source_id"), F.col("src.incarnation"), F.col("_schema"), F.col("_table"),

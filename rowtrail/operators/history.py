@@ -76,10 +76,16 @@ def history_search(history: DataFrame, tenant: str, tables: str | None = None, o
         found = found.filter(condition)
     if operation:
         found = found.filter(F.col("operation") == operation)
+    # A stored history is partitioned by month, so the bounds also skip whole folders.
+    monthly = "occurred_month" in history.columns
     if occurred_from is not None:
         found = found.filter(F.col("occurred_at") >= F.lit(occurred_from))
+        if monthly:
+            found = found.filter(F.col("occurred_month") >= F.trunc(F.lit(occurred_from), "month"))
     if occurred_to is not None:
         found = found.filter(F.col("occurred_at") <= F.lit(occurred_to))
+        if monthly:
+            found = found.filter(F.col("occurred_month") <= F.trunc(F.lit(occurred_to), "month"))
     if record_key:
         found = found.filter(F.contains(F.col("record_key"), F.lit(record_key)))
     return found

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtrail.functions.sizing import bounded_broadcast
 from rowtrail.operators import history as ops
 from rowtrail.operators.monitor import status_merge
 from rowtrail.operators.wire import wire_encode
@@ -129,8 +130,8 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str, cutoff, l
         survivors = (
             history.filter(F.col("tenant_id") == tenant)
             .filter(F.col("occurred_month").isin([r["occurred_month"] for r in touched]) & F.col("batch_id").isin([r["batch_id"] for r in touched]))
-            .join(F.broadcast(places), _PARTITIONS, "left_semi")
-            .join(F.broadcast(doomed.select("event_id")), "event_id", "left_anti")
+            .join(bounded_broadcast(places), _PARTITIONS, "left_semi")
+            .join(bounded_broadcast(doomed.select("event_id")), "event_id", "left_anti")
             .persist()
         )
         kept = {tuple(r[c] for c in _PARTITIONS) for r in survivors.select(*_PARTITIONS).distinct().collect()}
