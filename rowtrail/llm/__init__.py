@@ -1 +1,8 @@
 """Operators that prepare text corpora for language-model training."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors carry their code with them, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,13 +4,13 @@
    cost nothing, however many there are.
 2. Each class gets the minima of ``BANDS * ROWS`` universal hash functions over its shingles, and one key per band. Two sets of
    similarity 0.8 miss each other in every band with a chance of (1 - 0.8^5)^40, about one in ten million.
-3. In each bucket of classes with one key, all are compared with the bucket's least id only: as many pairs as
-   members. Pairs whose signatures agree far less than the threshold (five standard errors) go no further; the others
-   are confirmed on full sets of shingles.
+3. In each bucket of classes with one key, all are compared with one member only, the one that meets most others in its
+   buckets (copies lie nearer to what they were copied from than to each other): as many pairs as members. Pairs whose
+   signatures agree far less than the threshold (five standard errors) go no further; the others are confirmed on full sets of
+   shingles.
 4. Components of these links. A bucket within one component is settled. In any other, members of different components
-   may still be linked: those outside the bucket's largest component are compared with the members of
-   other components, again by signature and then on full sets. Pairs within one component can't change the
-   components, and are never made.
+   may still be linked. Those outside the largest component are compared with the other members in blocks of
+   ``BLOCK`` rows: a task gets two blocks with signatures and full sets, and gives only links. No list of pairs is made.
 5. Components of all links by alternating large-star and small-star.
 
 Skew: groupings combine before the shuffle; joins on bucket keys leave hot keys to the skew join of adaptive
@@ -39,6 +39,8 @@ BANDS, ROWS = 40, 5
 SLACK = 0.14
 #: Pairs that share one copy of a leader's shingles.
 SALT_PAIRS = 500
+#: Members in a block of step 4.
+BLOCK = 256
 MAX_ROUNDS = 60
 SEED = 11
 #: Shingles hashed in one step, so that a very long text needs no more memory than this.
@@ -122,33 +124,74 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(other, "b").join(one, "a").filter(agreement("signature_a", "signature_b") >= threshold - SLACK).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of distinct pairs (a, b), those with 100 * intersection >= percent * union on full sets of shingles."""
+def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, found): all shingles of the documents with the given ids."""
     small_batches(documents.sparkSession)
 
     @F.pandas_udf("binary")
     def full_set(texts: pd.Series) -> pd.Series:
         return pd.Series([shingles(word_list(text or ""), width).tobytes() for text in texts], index=texts.index, dtype=object)
 
+    needed = held(ids.select("doc_id").distinct(), "needed")
+    return held(documents.join(small_or_shuffled(needed), "doc_id").select("doc_id", full_set("text").alias("found")), "shingles")
+
+
+def similar(one: bytes, other: bytes, percent: int) -> bool:
+    x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+    if percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of distinct pairs (a, b), those with 100 * intersection >= percent * union on full sets of shingles."""
+
     @F.pandas_udf("boolean")
     def linked(one: pd.Series, other: pd.Series) -> pd.Series:
-        answers = []
-        for a, b in zip(one, other, strict=True):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            answers.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pd.Series(answers, dtype=bool)
+        return pd.Series([similar(a, b, percent) for a, b in zip(one, other, strict=True)], dtype=bool)
 
     # Only texts that stand in a pair are turned into sets; hot leaders are laid out once for every so many pairs.
     fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALT_PAIRS).cast("int").alias("fan"))
-    needed = held(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "paired")
-    sets = held(documents.join(small_or_shuffled(needed), "doc_id").select("doc_id", full_set("text").alias("found")), "shingles")
+    sets = full_sets(documents, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), width)
     salted = pairs.join(fans, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("fan")).cast("int")).select("a", "b", "salt")
     leaders = sets.select(F.col("doc_id").alias("a"), F.col("found").alias("found_a")).join(fans, "a").select("a", "found_a", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"))
     others = sets.select(F.col("doc_id").alias("b"), F.col("found").alias("found_b"))
     return salted.join(leaders, ["a", "salt"]).select("a", "b", "found_a").join(others, "b").filter(linked("found_a", "found_b")).select("a", "b").distinct()
 
 
+def links_across(members: DataFrame, classes: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between components of one group; members: (middle, doc_id, component), one row each.
+
+    Members outside the group's largest component (``x``) meet all members of other components (``y``), block by block.
+    """
+    parts = members.groupBy("middle", "component").agg(F.count(F.lit(1)).alias("n"))
+    groups = parts.groupBy("middle").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most")).filter("n > most.n").select(
+        "middle", F.col("most.component").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("y_blocks"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("x_blocks"))
+    grouped = held(members.join(groups, "middle"), "groups")
+    sets = full_sets(documents, grouped.select("doc_id"), width).join(classes.select("doc_id", "signature"), "doc_id")
+    place = F.xxhash64("doc_id")
+    outside = F.col("component") != F.col("largest")
+    x_side = grouped.filter(outside).withColumn("x_block", F.pmod(place, F.col("x_blocks"))).withColumn("y_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("y_blocks") - 1))).withColumn("is_x", F.lit(True))
+    y_side = grouped.withColumn("y_block", F.pmod(place, F.col("y_blocks"))).withColumn("x_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("x_blocks") - 1))).withColumn("is_x", F.lit(False))
+    dealt = x_side.unionByName(y_side).select("middle", "x_block", "y_block", "is_x", "doc_id", "component", outside.alias("outside"))
+    least = percent / 100 - SLACK
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = rows[rows["is_x"]], rows[~rows["is_x"]]
+        ids, parts, outer, sets_y = y["doc_id"].to_numpy(), y["component"].to_numpy(), y["outside"].to_numpy(), y["found"].to_numpy()
+        signatures = np.frombuffer(b"".join(y["signature"]), np.uint8).reshape(len(y), -1)
+        links = []
+        for doc_id, component, found, signature in zip(x["doc_id"], x["component"], x["found"], x["signature"], strict=True):
+            # Two outside members meet twice; the pair is judged once.
+            open_ = np.flatnonzero((parts != component) & ~(outer & (ids < doc_id)))
+            agreement = (signatures[open_] == np.frombuffer(signature, np.uint8)).mean(axis=1)
+            links += [(min(doc_id, ids[k]), max(doc_id, ids[k])) for k in open_[agreement >= least] if similar(found, sets_y[k], percent)]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return dealt.join(sets, "doc_id").groupBy("middle", "x_block", "y_block").applyInPandas(compare, "a long, b long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node of an edge (a, b), by large-star and small-star in turn.
 
@@ -174,27 +217,25 @@ def components(links: DataFrame) -> DataFrame:
 
 def class_components(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the linked classes; classes: (doc_id, signature, bands)."""
-    threshold = percent / 100
     members = classes.select("doc_id", F.explode("bands").alias("bucket"))
-    buckets = held(members.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).filter("a < last").select("bucket", "a"), "buckets")
-    shared = held(members.join(buckets, "bucket").select("bucket", "a", "doc_id"), "members")
-    first = held(likely(shared.filter("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct(), classes, threshold), "first-pairs")
+    buckets = held(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    shared = held(members.join(buckets, "bucket").select("bucket", "n", "doc_id"), "members")
+    central = shared.groupBy("doc_id").agg(F.sum("n").alias("met"))
+    ranked = held(shared.join(central, "doc_id").select("bucket", "doc_id", "met"), "ranked-members")
+    most = ranked.groupBy("bucket").agg(F.max("met").alias("met"))
+    middles = held(ranked.join(most, ["bucket", "met"]).groupBy("bucket").agg(F.min("doc_id").alias("middle")), "middles")
+    stars = held(ranked.join(middles, "bucket").select("bucket", "middle", "doc_id"), "stars")
+    pairs = stars.filter("doc_id <> middle").select(F.col("middle").alias("a"), F.col("doc_id").alias("b")).distinct()
+    first = held(likely(pairs, classes, percent / 100), "first-pairs")
     settled = held(components(confirmed(first, texts, width, percent)), "first-components")
 
-    grouped = shared.join(settled.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    parts = grouped.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("most")).filter("parts > 1").select("bucket", F.col("most.component").alias("largest"))
-    open_ = held(grouped.join(mixed, "bucket"), "open-buckets")
-    one = open_.filter("component <> largest").select("bucket", F.col("doc_id").alias("x"), F.col("component").alias("x_component"), "largest")
-    other = open_.select("bucket", F.col("doc_id").alias("y"), F.col("component").alias("y_component"))
-    # Of two members outside the largest component, the pair is made once.
-    apart = (F.col("x_component") != F.col("y_component")) & ((F.col("y_component") == F.col("largest")) | (F.col("x") < F.col("y")))
-    crossing = one.join(other, "bucket").filter(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    second = held(likely(crossing, classes, threshold), "second-pairs")
-    if second.isEmpty():
-        return settled
+    grouped = stars.join(settled.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "middle", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("bucket")
+    # Buckets around one middle are one group: a pair that meets in several is judged once.
+    members = held(grouped.join(mixed, "bucket").select("middle", "doc_id", "component").distinct(), "open-members")
+    second = held(links_across(members, classes, texts, width, percent), "second-links")
     # Stars of the first components stand for their links.
-    return components(settled.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirmed(second, texts, width, percent)))
+    return components(settled.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
