@@ -15,7 +15,6 @@ BACKLOG_LIMIT = 100_000
 INITIALIZATION_SECONDS = 120
 OBSERVATION_STALE_SECONDS = 120
 HEALTH_INTERVALS = 3
-MAX_CAUSES = 6
 SQL_STATE_PATTERN = r"\A[A-Za-z0-9]{5}\z"
 
 
@@ -100,8 +99,8 @@ def fleet_health(status: DataFrame, now, monitor_interval_seconds: int) -> DataF
     ).withColumn("health", F.when((F.col("source_count") > 0) & (F.col("source_count") == F.col("healthy_count")), "UP").otherwise("DOWN"))
 
 
-def safe_diagnostic(causes: Column) -> Column:
-    """Fixed code of a failure's chain of causes, outermost first; messages never enter it.
+def safe_diagnostic(causes: Column, shown: int | None = None) -> Column:
+    """Fixed code of a failure's chain of causes, outermost first; messages never enter it. All causes, or the first ``shown``.
 
     Each cause holds ``class_name``, ``known_code`` (the service's own failures), ``sql_state`` and ``sql_code``.
     """
@@ -110,7 +109,7 @@ def safe_diagnostic(causes: Column) -> Column:
         sql = F.when(cause["sql_code"].isNotNull(), F.concat(state, F.lit("_SQLCODE_"), cause["sql_code"].cast("string"))).otherwise("")
         return F.concat(F.lit("_"), cause["class_name"], sql)
 
-    chain = F.array_join(F.transform(F.slice(causes, 1, MAX_CAUSES), described), "")
+    chain = F.array_join(F.transform(causes if shown is None else F.slice(causes, 1, shown), described), "")
     return F.coalesce(F.try_element_at(causes, F.lit(1))["known_code"], F.concat(F.lit("DEPENDENCY_FAILURE"), chain))
 
 

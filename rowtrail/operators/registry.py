@@ -6,7 +6,7 @@ Every time and new identifier is a parameter, so a rerun gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtrail.functions import identity, lsn, names
@@ -29,7 +29,6 @@ NOT_ENABLED = "SOURCE_TABLE_NOT_CDC_ENABLED"
 AWAITING = "AWAITING_CAPTURE_PROGRESS"
 DISABLED_BY_ADMIN = "DISABLED_BY_ADMIN"
 SOURCE_FENCED = "SOURCE_FENCED"
-MAX_INSTANCES_TEXT = 1000
 
 
 def _registry_rows(frame: DataFrame, **values: Column) -> DataFrame:
@@ -143,12 +142,14 @@ def registry_observe(registry: DataFrame, observations: DataFrame, positions: Da
     """Registry after a complete look at each source's capture tables.
 
     ``observations`` has fingerprint, eligibility, ``minimums`` (start positions of ready captures) and
-    ``instances`` (their names). ``positions`` has one ``saved_commit`` per observed source (null where none).
+    ``instances`` (their names). ``positions`` has one ``saved_commit`` per observed source (null where none); rows of
+    sources that were not observed stay as they are.
     """
     seen = observations.select(*TABLE_KEY, "fingerprint", "eligible", F.col("diagnostic").alias("_obs_diagnostic"), "minimums",
                                F.col("instances").alias("_instances"), F.lit(True).alias("_seen"))
     # Full outer join of the two sides, with positions only looked up for the result.
-    joined = registry.join(seen, TABLE_KEY, "full_outer").join(positions.select(*SOURCE, "saved_commit"), SOURCE, "left")
+    joined = registry.join(seen, TABLE_KEY, "full_outer").join(positions.select(*SOURCE, "saved_commit", F.lit(True).alias("_looked_at")), SOURCE, "left")
+    looked_at = F.col("_looked_at").isNotNull() | F.col("_seen").isNotNull()
     new, found = F.col("table_id").isNull(), F.col("_seen").isNotNull()
     active, desired = F.coalesce("active", F.lit(False)), F.coalesce("desired_enabled", F.lit(False))
     eligible = F.coalesce("eligible", F.lit(False))
@@ -169,18 +170,20 @@ def registry_observe(registry: DataFrame, observations: DataFrame, positions: Da
                    text("BLOCKED"), text("BLOCKED"), text("ONBOARDING"), F.col("state"))
     reason = choose(text(NOT_ENABLED), text("NOT_CONFIGURED"), diagnostic, text("WAITING_SAFE_SOURCE_BOUNDARY"), diagnostic,
                     text(DISABLED_BY_ADMIN), diagnostic, text("CAPTURE_HISTORY_GAP"), text(AWAITING), F.col("diagnostic"))
-    names_text = F.when(F.length("_instances") > 0, F.substring("_instances", 1, MAX_INSTANCES_TEXT))
-    return _registry_rows(
-        joined,
-        table_id=F.coalesce("table_id", identity.table_id(*[F.col(c) for c in TABLE_KEY])),
+    names_text = F.when(F.length("_instances") > 0, F.col("_instances"))
+    values = dict(
         sql_cdc_enabled=found, capture_fingerprint=F.when(found, F.col("fingerprint")).otherwise(F.col("capture_fingerprint")),
         desired_enabled=desired, active=active, state=state, diagnostic=reason, observed_at=F.lit(now),
         capture_instances=F.when(found, names_text), version=F.when(new, 0).otherwise(F.col("version") + 1))
+    return _registry_rows(
+        joined, table_id=F.coalesce("table_id", identity.table_id(*[F.col(c) for c in TABLE_KEY])),
+        **{name: F.when(looked_at, value).otherwise(F.col(name)) for name, value in values.items()})
 
 
-def missing_tables(registry: DataFrame, observations: DataFrame) -> DataFrame:
-    """Registered tables a complete look did not find."""
-    return registry.select(*TABLE_KEY).join(observations.select(*TABLE_KEY), TABLE_KEY, "left_anti")
+def missing_tables(registry: DataFrame, observations: DataFrame, positions: DataFrame) -> DataFrame:
+    """Registered tables of observed sources (those with a row in ``positions``) that a complete look did not find."""
+    looked_at = registry.select(*TABLE_KEY).join(positions.select(*SOURCE), SOURCE, "left_semi")
+    return looked_at.join(observations.select(*TABLE_KEY), TABLE_KEY, "left_anti").select(*TABLE_KEY)
 
 
 def registry_suspend(registry: DataFrame, sources: DataFrame, activation: DataFrame, expected: DataFrame, positions: DataFrame, now,
@@ -373,16 +376,20 @@ def can_enable(registry: DataFrame, grants: DataFrame, now) -> DataFrame:
 def apply_requests(registry: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
     """Admin requests against the registry; returns the registry and one outcome per request.
 
-    ``requests`` has ``request_id, tenant_id, table_id, action (enable, refresh, stop), requested_by``, at
-    most one per table. Repeats change nothing, stale or unfit tables conflict, foreign ids are not found.
+    ``requests`` has ``request_id, tenant_id, table_id, action (enable, refresh, stop), requested_by``. Of several for
+    a table the first by id is decided; its repeats change nothing, opposing ones conflict. Stale or unfit tables
+    conflict, foreign ids are not found.
     """
     rows = registry.select("tenant_id", "table_id", "active", "desired_enabled", "state", "sql_cdc_enabled", "observed_at",
                            "refresh_requested_at", _unacknowledged().alias("_open_suspension"), F.lit(True).alias("_row"))
-    joined = requests.join(rows, ["tenant_id", "table_id"], "left")
+    in_order = Window.partitionBy("tenant_id", "table_id").orderBy("request_id")
+    asked_for = requests.withColumn("_turn", F.row_number().over(in_order)).withColumn("_first_action", F.first("action").over(in_order))
+    joined = asked_for.join(rows, ["tenant_id", "table_id"], "left")
     enable, refresh = F.col("action") == "enable", F.col("action") == "refresh"
     fresh, active, desired = _fresh(now), F.col("active"), F.col("desired_enabled")
     outcome = (
         F.when(F.col("_row").isNull(), "NOT_FOUND")
+        .when(F.col("_turn") > 1, F.when(F.col("action") == F.col("_first_action"), "UNCHANGED").otherwise("CONFLICT"))
         .when(enable & desired, "UNCHANGED")
         .when(enable & fresh & F.col("sql_cdc_enabled") & (F.col("state") == "DISCOVERED"), "APPLIED")
         .when(enable, "CONFLICT")

@@ -10,9 +10,6 @@ from rowtrail.operators.positions import SOURCE
 from rowtrail.operators.registry import TABLE_KEY, _updated, registry_acknowledge
 
 # Limits and states of schema evolution.
-MAX_CHANGES = 12
-MAX_DETAIL_CHARS = 2000
-SHORT_DETAIL_CHANGES = 4
 RETIRE_GRACE_SECONDS = 120
 MAX_NAME_CHARS = 84
 LENGTH_TYPES = ("char", "varchar", "nchar", "nvarchar", "binary", "varbinary")
@@ -33,8 +30,8 @@ def type_signature(data_type: Column, length: Column, precision: Column, scale:
         .otherwise(data_type))
 
 
-def column_diff(before_cols: DataFrame, after_cols: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Differences per table: ADDED and CHANGED in the new order, then REMOVED; the first twelve.
+def column_diff(before_cols: DataFrame, after_cols: DataFrame, keys: list[str] | None = None, shown: int | None = None) -> DataFrame:
+    """Differences per table: ADDED and CHANGED in the new order, then REMOVED; for display, only the first ``shown``.
 
     Both sides hold ``ordinal, name, type, length, precision, scale`` per table and match by name ignoring case.
     """
@@ -53,7 +50,8 @@ def column_diff(before_cols: DataFrame, after_cols: DataFrame, keys: list[str] |
         F.col("_old_type").alias("before_type"), F.col("_new_type").alias("after_type"),
         F.col("_new_name").isNull().alias("_removed"), F.coalesce("_new_ordinal", "_old_ordinal").alias("_ordinal")).filter("kind IS NOT NULL")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_removed", "_ordinal"))
-    return changes.withColumn("position", place).filter(F.col("position") <= MAX_CHANGES).drop("_removed", "_ordinal")
+    placed = changes.withColumn("position", place).drop("_removed", "_ordinal")
+    return placed if shown is None else placed.filter(F.col("position") <= shown)
 
 
 def captured_key_coverage(pk_columns: DataFrame, captured_columns: DataFrame) -> DataFrame:
@@ -222,15 +220,18 @@ def schema_assess(observations: DataFrame, reader: DataFrame) -> DataFrame:
     return joined.withColumn("assessed_state", state)
 
 
-def schema_detail(source_changes: Column, reader_changes: Column) -> Column:
-    """Bounded JSON of both difference lists, null when there are none."""
+def schema_detail(source_changes: Column, reader_changes: Column, shown: int | None = None) -> Column:
+    """JSON of both difference lists, null when there are none. It is whole, as plans compare it with earlier ones;
+    for display, ``shown`` entries a side are enough, marked as truncated where that leaves any out.
+    """
     empty = F.array().cast("array<struct<column:string,kind:string,before:string,after:string>>")
     source, reader = F.coalesce(source_changes, empty), F.coalesce(reader_changes, empty)
     options = {"ignoreNullFields": "false"}
-    full = F.to_json(F.struct(source.alias("source"), reader.alias("reader")), options)
-    short = F.to_json(F.struct(
-        F.slice(source, 1, SHORT_DETAIL_CHANGES).alias("source"), F.slice(reader, 1, SHORT_DETAIL_CHANGES).alias("reader"), F.lit(True).alias("truncated")), options)
-    return F.when((F.size(source) > 0) | (F.size(reader) > 0), F.when(F.length(full) <= MAX_DETAIL_CHARS, full).otherwise(short))
+    detail = F.to_json(F.struct(source.alias("source"), reader.alias("reader")), options)
+    if shown is not None:
+        short = F.struct(F.slice(source, 1, shown).alias("source"), F.slice(reader, 1, shown).alias("reader"), F.lit(True).alias("truncated"))
+        detail = F.when((F.size(source) > shown) | (F.size(reader) > shown), F.to_json(short, options)).otherwise(detail)
+    return F.when((F.size(source) > 0) | (F.size(reader) > 0), detail)
 
 
 def capture_instance_name(schema: Column, table: Column, current: Column, now) -> Column:

@@ -596,9 +596,9 @@ def _(spark, sf_dir):
 @query("stream_dedupe", _sql("SELECT event_id, operation FROM f1", "f1"))
 def _(spark, sf_dir):
     folder = run_folder(spark, "replays")
-    # The newest events arrive last, as a source delivers them.
-    feeds.replayed_changes(spark, sf_dir).write.parquet(folder)
-    parsed = changes.parse_change_feed(sources.stream_change_feed(spark, folder), feeds.shop_source(spark))
+    # Old events and replays arrive in any of several batches.
+    feeds.replayed_changes(spark, sf_dir).repartition(6, F.xxhash64("value")).write.parquet(folder)
+    parsed = changes.parse_change_feed(sources.stream_change_feed(spark, folder, max_files=2), feeds.shop_source(spark))
     return _drain(streams.stream_dedupe(parsed).select("event_id", "operation"), spark)
 
 

@@ -552,7 +552,7 @@ def _(spark, sf_dir):
 
     chain = (f"concat(array({cause('IllegalStateException', chr(67) + 'ASE WHEN h % 5 = 0 THEN ' + repr('SOURCE_FENCED') + ' END')}), "
              f"array_repeat({cause('RuntimeException')}, CAST(h % 8 AS INT)), array({cause('SQLException', state=chr(67) + 'ASE WHEN h % 3 = 0 THEN ' + repr('password=x') + ' ELSE ' + repr('28000') + ' END', code='h')}))")
-    return fleet.keys(spark, sf_dir).selectExpr("h", f"{chain} AS causes").select("h", monitor.safe_diagnostic(F.col("causes")).alias("diagnostic"))
+    return fleet.keys(spark, sf_dir).selectExpr("h", f"{chain} AS causes").select("h", monitor.safe_diagnostic(F.col("causes"), shown=6).alias("diagnostic"))
 
 
 @query("initialization_window", sql(f"""

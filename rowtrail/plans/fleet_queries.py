@@ -88,7 +88,7 @@ def _(spark, sf_dir):
 
 @query("missing_tables", sql("SELECT tenant_id, source_id, schema_name, table_name FROM reg WHERE h % 7 = 0", "reg"))
 def _(spark, sf_dir):
-    return registry.missing_tables(fleet.registry(spark, sf_dir), fleet.observations(spark, sf_dir))
+    return registry.missing_tables(fleet.registry(spark, sf_dir), fleet.observations(spark, sf_dir), fleet.positions(spark, sf_dir))
 
 
 @query("table_id", sql("SELECT table_id, tenant_id, source_id, schema_name, table_name FROM reg", "reg"))

@@ -1,7 +1,7 @@
 """Durable tables on a shared file system: history, wire events, status and registry snapshots.
 
-A micro-batch owns the ``batch_id=N`` partitions it writes, so running it again replaces exactly its
-own rows. Snapshots are new ``version=N`` folders; readers take the greatest finished one.
+A micro-batch owns the ``stream_id=S/batch_id=N`` partitions it writes, so running it again replaces exactly its
+own rows, and streams with checkpoints of their own never meet. Snapshots are new ``version=N`` folders; readers take the greatest finished one.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from rowtrail.operators.wire import wire_encode
 HISTORY_SCHEMA = (
     "event_id string, source_id string, schema_name string, table_name string, operation string, occurred_at timestamp, "
     "captured_at timestamp, record_key string, before_json string, after_json string, changed_properties string, "
-    "commit_lsn string, change_lsn string, event_serial_no bigint, tenant_id string, occurred_month date, batch_id bigint"
+    "commit_lsn string, change_lsn string, event_serial_no bigint, tenant_id string, occurred_month date, stream_id string, batch_id bigint"
 )
-_PARTITIONS = ["tenant_id", "occurred_month", "batch_id"]
+_PARTITIONS = ["tenant_id", "occurred_month", "stream_id", "batch_id"]
+#: Owner of what is written outside a stream.
+BY_HAND = "by-hand"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -39,44 +41,45 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(path)
 
 
-def append_history(batch: DataFrame, path: str, batch_id: int) -> None:
+def append_history(batch: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> None:
     """Write a batch's new events to its own partitions.
 
     The rebalance lets adaptive execution split a hot tenant's month and merge small ones; files are sorted
     so that searches by time skip row groups.
     """
     keys = ["tenant_id", "occurred_month"]
-    rows = batch.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    rows = batch.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
         rows.hint("rebalance", *keys).sortWithinPartitions(*keys, "occurred_at", "event_id")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
     )
 
 
-def save_events(events: DataFrame, path: str, batch_id: int) -> DataFrame:
+def save_events(events: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> DataFrame:
     """De-duplicate a batch against the rest of the history and append what is new; returns the new rows.
 
     The batch's own partitions are left out of the comparison, else a rerun would find itself there.
     """
     spark = events.sparkSession
+    own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
     held = events.storageLevel.useMemory
     if not held:
         events = events.persist()
     try:
-        earlier = read_history(spark, path).filter(F.col("batch_id") != batch_id)
+        earlier = read_history(spark, path).filter(~own)
         fresh = ops.dedupe_events(events, ops.history_near(earlier, ops.position_range(events)))
-        append_history(fresh, path, batch_id)
+        append_history(fresh, path, batch_id, stream_id)
     finally:
         if not held:
             events.unpersist()
-    return read_history(spark, path).filter(F.col("batch_id") == batch_id)
+    return read_history(spark, path).filter(own)
 
 
-def publish_wire(batch: DataFrame, sources: DataFrame, path: str, batch_id: int) -> None:
+def publish_wire(batch: DataFrame, sources: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> None:
     """Write the batch's wire events to its own partition, for any number of independent readers."""
     (
-        wire_encode(batch, sources).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        wire_encode(batch, sources).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_id", "batch_id").parquet(path)
     )
 
 
@@ -126,7 +129,7 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str, cutoff, l
         touched = doomed.groupBy(*_PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()
         if not touched:
             return 0
-        places = spark.createDataFrame([tuple(r[c] for c in _PARTITIONS) for r in touched], "tenant_id string, occurred_month date, batch_id bigint")
+        places = spark.createDataFrame([tuple(r[c] for c in _PARTITIONS) for r in touched], "tenant_id string, occurred_month date, stream_id string, batch_id bigint")
         survivors = (
             history.filter(F.col("tenant_id") == tenant)
             .filter(F.col("occurred_month").isin([r["occurred_month"] for r in touched]) & F.col("batch_id").isin([r["batch_id"] for r in touched]))
@@ -138,7 +141,7 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str, cutoff, l
         survivors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
         for row in touched:
             if tuple(row[c] for c in _PARTITIONS) not in kept:
-                fs, folder = _file_system(spark, f"{path}/tenant_id={row['tenant_id']}/occurred_month={row['occurred_month']}/batch_id={row['batch_id']}")
+                fs, folder = _file_system(spark, f"{path}/tenant_id={row['tenant_id']}/occurred_month={row['occurred_month']}/stream_id={row['stream_id']}/batch_id={row['batch_id']}")
                 fs.delete(folder, True)
         survivors.unpersist()
         return sum(r["n"] for r in touched)

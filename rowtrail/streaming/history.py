@@ -7,6 +7,7 @@ offsets commit. A crash in between runs the batch again: its partitions are repl
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +18,6 @@ from rowtrail.operators import changes, history
 from rowtrail.operators.monitor import status_merge
 from rowtrail.sources import storage
 
-# Fixed value: the source keeps fourteen days, so nothing older can be delivered again.
-SOURCE_RETENTION = "14 days"
-
 
 class SourceFenced(RuntimeError):
     """The activation has moved on to another reader; this one must stop."""
@@ -30,6 +28,11 @@ def _start(writer, checkpoint: str, available_now: bool, interval: str) -> Strea
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def _stream_id(batch: DataFrame, checkpoint: str) -> str:
+    """The id Spark gave the stream when its checkpoint was made; a new checkpoint is a new stream."""
+    return json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def _captured(batch: DataFrame) -> DataFrame:
     """Give a batch one capture time where its records carry none."""
     if "captured_at" in batch.columns:
@@ -58,21 +61,23 @@ def stream_history(feed: DataFrame, sources: DataFrame, history_path: str, check
         _check_fence(read_activation() if read_activation else None, fences)
         events = changes.parse_change_feed(_captured(batch), sources, on_error="fail", heartbeat_table=heartbeat_table).persist()
         try:
-            saved = storage.save_events(events, history_path, batch_id)
+            stream_id = _stream_id(batch, checkpoint)
+            saved = storage.save_events(events, history_path, batch_id, stream_id)
             if wire_path is not None:
-                storage.publish_wire(saved.select(*changes.HISTORY_COLUMNS), sources, wire_path, batch_id)
+                storage.publish_wire(saved.select(*changes.HISTORY_COLUMNS), sources, wire_path, batch_id, stream_id)
         finally:
             events.unpersist()
 
     return _start(feed.writeStream.foreachBatch(deliver), checkpoint, available_now, interval)
 
 
-def stream_dedupe(events: DataFrame, horizon: str = SOURCE_RETENTION) -> DataFrame:
-    """Events once each within a bounded horizon of event time.
+def stream_dedupe(events: DataFrame) -> DataFrame:
+    """Events once each, however late they come.
 
-    State is kept only for the horizon. The unbounded form is the history comparison of :func:`stream_history`.
+    There is no watermark, since one would drop late events; the state holds every id seen. Where that is too much, the
+    history comparison of :func:`stream_history` needs no state.
     """
-    return events.withWatermark("occurred_at", horizon).dropDuplicatesWithinWatermark(["event_id"])
+    return events.dropDuplicates(["event_id"])
 
 
 def stream_progress(feed: DataFrame, sources: DataFrame, heartbeat_table: str = names.HEARTBEAT_TABLE) -> DataFrame:
@@ -110,11 +115,13 @@ def stream_quarantine(feed: DataFrame, sources: DataFrame, history_path: str, he
         examined = changes.examine(records, sources, heartbeat_table).persist()
         try:
             broken = F.col("verdict").isNotNull() & ~changes._is_drop(F.col("verdict"))
-            failing = examined.filter(broken).select("_connector").distinct()
-            good = examined.join(failing, "_connector", "left_anti")
-            held = examined.join(failing, "_connector", "left_semi").select(*incoming.columns)
+            # A record without a destination has no connector; all such records are one source, and compare as equal.
+            failing = examined.filter(broken).select(F.col("_connector").alias("_failing")).distinct()
+            of_failing = F.col("_connector").eqNullSafe(F.col("_failing"))
+            good = examined.join(failing, of_failing, "left_anti")
+            held = examined.join(failing, of_failing, "left_semi").select(*incoming.columns)
             storage.write_snapshot(held, held_path, batch_id)
-            storage.save_events(changes.history_events(good), history_path, batch_id)
+            storage.save_events(changes.history_events(good), history_path, batch_id, _stream_id(batch, checkpoint))
         finally:
             examined.unpersist()
 

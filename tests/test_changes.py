@@ -151,6 +151,17 @@ def test_wire_round_trip_and_foreign_tenant(spark):
     assert foreign.select("error_code").collect()[0][0] == "INVALID_BROKER_EVENT"
 
 
+def test_wire_of_an_unlisted_source_stops_and_bad_times_are_marked(spark):
+    src = source(spark)
+    events = changes.parse_change_feed(feed(spark, ('{"id":1}', value(after={"a": 1}))), src)
+    with pytest.raises(Exception, match="UNKNOWN_WIRE_SOURCE"):
+        wire.wire_encode(events, source(spark, tenant="OTHER")).collect()
+    body = wire.wire_encode(events, src)
+    for pattern, put in (('"occurredAt":"[^"]*"', '"occurredAt":"yesterday"'), ('"occurredAt":"[^"]*"', '"occurredAt":null'), ('"capturedAt":"[^"]*"', '"capturedAt":null')):
+        broken = wire.wire_decode(body.withColumn("body", F.regexp_replace("body", pattern, put)), src)
+        assert [r.error_code for r in broken.collect()] == ["INVALID_BROKER_EVENT"]
+
+
 def test_replays_in_any_order_leave_one_row_each(spark):
     records = [(f'{{"id":{i}}}', value(after={"v": i}, serial=i)) for i in range(20)]
     once = changes.parse_change_feed(feed(spark, *records), source(spark))

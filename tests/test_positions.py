@@ -221,12 +221,35 @@ def test_reader_schema_follows_the_latest_record_of_its_database(spark):
     assert [(c.name, c.type, c.length) for c in found[0].reader_columns] == [("ID", "int", 10), ("Floor", "varchar", 20)]
 
 
-def test_long_detail_is_shortened(spark):
+def test_all_differences_decide_and_display_is_cut_on_demand(spark):
     many = [(f"Column_with_a_rather_long_name_{i:02d}_" + "x" * 150, "varchar", 20) for i in range(14)]
     row = assessed(spark, captured=WIDE, source=many, reader=WIDE).first()
-    assert len(row.source_changes) == 12
-    detail = assessed(spark, captured=WIDE, source=many, reader=WIDE).select(schema.schema_detail(F.col("source_changes"), F.col("reader_changes")).alias("d")).first().d
-    assert '"truncated":true' in detail and detail.count('"ADDED"') == 4
+    assert len([c for c in row.source_changes if c.kind == "ADDED"]) == 14
+    frame = assessed(spark, captured=WIDE, source=many, reader=WIDE)
+    full, shown = (frame.select(schema.schema_detail(F.col("source_changes"), F.col("reader_changes"), n).alias("d")).first().d for n in (None, 4))
+    assert '"truncated":true' in shown and shown.count('"ADDED"') == 4
+    assert "truncated" not in full and full.count('"ADDED"') == 14
+    # A difference behind the fourteenth is seen, so a refresh made before it came is made again.
+    wider = assessed(spark, captured=WIDE, source=[*many, ("Another", "int", 4)], reader=WIDE)
+    assert wider.select(schema.schema_detail(F.col("source_changes"), F.col("reader_changes")).alias("d")).first().d != full
+
+
+def test_unobserved_sources_keep_their_rows(spark):
+    reg = start(spark)
+    nobody = at(spark).filter("false")
+    after = registry.registry_observe(reg, observed(spark, One=MIN).filter("false"), nobody, NOW + dt.timedelta(seconds=60))
+    assert sorted(after.collect()) == sorted(reg.collect())
+    assert registry.missing_tables(reg, observed(spark, One=MIN).filter("false"), nobody).count() == 0
+    assert rows(registry.missing_tables(reg, observed(spark, One=MIN), at(spark))).keys() == {"Two"}
+
+
+def test_several_requests_for_a_table_leave_one_row(spark):
+    reg = start(spark)
+    one = rows(reg)["One"].table_id
+    asked = spark.createDataFrame([(1, "A", one, "stop", "x"), (2, "A", one, "stop", "y"), (3, "A", one, "enable", "z")], "request_id long, tenant_id string, table_id string, action string, requested_by string")
+    after, outcomes = registry.apply_requests(reg, asked, NOW)
+    assert after.count() == reg.count()
+    assert [r.outcome for r in outcomes.orderBy("request_id").collect()][1:] == ["UNCHANGED", "CONFLICT"]
 
 
 def test_diagnostics_never_carry_messages(spark):

@@ -44,7 +44,7 @@ def test_a_crash_between_write_and_commit_runs_the_batch_again(spark, tmp_path,
     calls = []
 
     def crash(*arguments):
-        calls.append(arguments[-1])
+        calls.append(arguments[3])
         if len(calls) in (1, 3):
             raise RuntimeError("lost before commit")
         publish(*arguments)
@@ -59,6 +59,33 @@ def test_a_crash_between_write_and_commit_runs_the_batch_again(spark, tmp_path,
     assert spark.read.parquet(str(tmp_path / "wire")).count() == 15
 
 
+def test_a_new_checkpoint_adds_to_what_is_stored(spark, tmp_path):
+    for name, part in (("one", records(0, 10)), ("two", records(5, 15))):
+        write_feed(spark, tmp_path / name, part)
+        streams.stream_history(inputs.stream_change_feed(spark, str(tmp_path / name)), source(spark), str(tmp_path / "history"), str(tmp_path / f"checkpoint-{name}"),
+                               wire_path=str(tmp_path / "wire"), available_now=True).awaitTermination()
+    assert ids(spark, tmp_path / "history") == list(range(15))
+    assert spark.read.parquet(str(tmp_path / "wire")).select("event_id").distinct().count() == 15
+
+
+def test_streamed_dedupe_keeps_late_events(spark, tmp_path):
+    day = 86_400_000
+    late = [(f'{{"id":{i}}}', value(after={}, serial=i, millis=1758500000000 - i * 30 * day)) for i in range(8)]
+    write_feed(spark, tmp_path / "feed", late[:4], late[2:6], late[::-1])
+    parsed = changes.parse_change_feed(inputs.stream_change_feed(spark, str(tmp_path / "feed"), max_files=1), source(spark))
+    streams.stream_dedupe(parsed).select("event_id").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 8
+
+
+def test_a_record_without_destination_is_held(spark, tmp_path):
+    feed(spark, *records(0, 3)).unionByName(feed(spark, ('{"id":9}', "broken")).withColumn("destination", F.lit(None).cast("string"))).coalesce(1).write.parquet(str(tmp_path / "feed"))
+    streams.stream_quarantine(inputs.stream_change_feed(spark, str(tmp_path / "feed")), source(spark), str(tmp_path / "history"), str(tmp_path / "held"),
+                              str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert ids(spark, tmp_path / "history") == [0, 1, 2]
+    assert storage.read_snapshot(spark, str(tmp_path / "held")).count() == 1
+
+
 def test_a_broken_record_stops_the_stream_every_time(spark, tmp_path):
     write_feed(spark, tmp_path / "feed", records(0, 3) + [('{"id":9}', value("r", None, {}))])
     for _ in range(2):
