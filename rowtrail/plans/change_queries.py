@@ -248,6 +248,16 @@ def _(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "body")
 
 
+@query("publish_wire_two_streams", _WIRE_SQL)
+def _(spark, sf_dir):
+    """Batch 0 of two streams in one place, the second one written twice."""
+    path = run_folder(spark, "wire")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for part in (0, 1, 1):
+        storage.publish_wire(order_history(spark, sf_dir).filter(half == part), feeds.shop_source(spark), path, 0, f"stream-{part}")
+    return spark.read.parquet(path).select("event_id", "body")
+
+
 _CUTOFF = dt.datetime(1996, 1, 1, tzinfo=dt.timezone.utc)
 _CUTOFF_SQL = "TIMESTAMP '1996-01-01 00:00:00'"
 _PRUNED = f"SELECT event_id FROM f1 WHERE occurred_at < {_CUTOFF_SQL} ORDER BY occurred_at, event_id LIMIT 500"
@@ -593,6 +603,19 @@ def _(spark, sf_dir):
     return storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS).withColumn("captured_at", F.col("occurred_at") + F.expr("interval 5 seconds"))
 
 
+@query("stream_restart_history", _sql("SELECT event_id, operation FROM f1", "f1"))
+def _(spark, sf_dir):
+    """Two streams with checkpoints of their own write one history; both have a batch 0, and some events reach both."""
+    path = run_folder(spark, "history")
+    half = F.pmod(F.xxhash64("value", F.lit(1)), F.lit(2))
+    for part in (0, 1):
+        folder = run_folder(spark, "half")
+        feeds.replayed_changes(spark, sf_dir).filter((half == part) | (F.pmod(F.xxhash64("key"), F.lit(5)) == 0)).write.parquet(folder)
+        streams.stream_history(
+            sources.stream_change_feed(spark, folder), feeds.shop_source(spark), path, run_folder(spark, "checkpoint"), available_now=True).awaitTermination()
+    return storage.read_history(spark, path).select("event_id", "operation")
+
+
 @query("stream_dedupe", _sql("SELECT event_id, operation FROM f1", "f1"))
 def _(spark, sf_dir):
     folder = run_folder(spark, "replays")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowtrail.functions import lsn, names
 from rowtrail.operators import history, positions, registry, settings
 from rowtrail.plans import fleet
-from rowtrail.plans.catalog import query
+from rowtrail.plans.catalog import ORACLES, query
 from rowtrail.plans.fleet import NOW, NOW_SQL, REG_LIST, replaced, sql
 from rowtrail.session import run_folder
 from rowtrail.sources import storage
@@ -443,3 +443,13 @@ def _(spark, sf_dir):
     storage.write_registry(registry.registry_starting(fleet.registry(spark, sf_dir)), path, 0)
     storage.write_registry(fleet.registry(spark, sf_dir), path, 1)
     return storage.read_snapshot(spark, path)
+
+
+@query("apply_requests_repeated", ORACLES["apply_requests"])
+def _(spark, sf_dir):
+    """Every request comes twice, and once more with the opposite wish; the registry is as after the first ones alone."""
+    asked = _requests(spark, sf_dir)
+    later = F.col("request_id") + 1_000_000_000_000
+    opposite = F.when(F.col("action") == "stop", "enable").otherwise("stop")
+    every = asked.unionByName(asked.withColumn("request_id", later)).unionByName(asked.withColumns({"request_id": later * 2, "action": opposite}))
+    return registry.apply_requests(fleet.registry(spark, sf_dir), every, NOW)[0]
