@@ -68,9 +68,23 @@ def object_at(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, MAP_TYPE)
 
 
+def is_fractional(value: Column) -> Column:
+    """A JSON number written with a fraction or an exponent; an integer beyond the long range is not one."""
+    return kind(value).rlike(r"^(DOUBLE|FLOAT|DECIMAL)") & ~kind(value).rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+
+
+def by_number_kind(fields: Column) -> Column:
+    """Field values whose fractional numbers are doubles, so that JSON text tells 12 from 12.0 but not 1e3 from 1000.0.
+
+    Numbers inside nested objects and arrays stay as VARIANT holds them.
+    """
+    return F.transform_values(fields, lambda _, v: F.when(is_fractional(v), F.try_variant_get(v, "$", "double").cast("variant")).otherwise(v))
+
+
 def canonical(value: Column) -> Column:
-    """JSON text with the names of every object in order; arrays keep theirs."""
-    return F.to_json(value)
+    """JSON text with the names of every object in order; arrays keep theirs. Whole and fractional numbers stay apart."""
+    mixed = F.startswith(kind(value), F.lit("OBJECT<")) & kind(value).rlike("DECIMAL|DOUBLE|FLOAT")
+    return F.when(mixed, F.to_json(by_number_kind(object_at(value, "$")))).otherwise(F.to_json(value))
 
 
 def names(fields: Column) -> Column:
@@ -90,7 +104,7 @@ def _entries(fields: Column) -> Column:
 
 def _differing_in_general(before: Column, after: Column) -> Column:
     """Names of entries that only one side has; as sets of text, which stays linear for a wide row."""
-    left, right = _entries(before), _entries(after)
+    left, right = _entries(by_number_kind(before)), _entries(by_number_kind(after))
     changed = F.concat(F.array_except(left, right), F.array_except(right, left))
 
     def name(entry: Column) -> Column:
@@ -114,8 +128,9 @@ def with_differing_names(frame: DataFrame, name: str, before: str, after: str, b
         *[F.when(both, F.schema_of_variant(parse(F.col(text)))).alias(alias) for text, alias in ((before_text, "_b_shape"), (after_text, "_a_shape"))],
         *[F.when(both, F.from_json(text, TEXT_MAP_TYPE)).alias(alias) for text, alias in ((before_text, "_b_texts"), (after_text, "_a_texts"))])
     shape = F.col("_b_shape")
-    nested = F.contains(F.substring(shape, 2, 1 << 30), F.lit("OBJECT<")) | F.contains(shape, F.lit("ARRAY<"))
-    alike = (shape == F.col("_a_shape")) & ~nested & (F.map_keys("_b_texts") == F.map_keys("_a_texts"))
+    # Nested values and fractional numbers (1e3 is 1000.0) can be equal under different texts.
+    general = F.substring(shape, 2, 1 << 30).rlike(r"OBJECT<|ARRAY<|DECIMAL\(|DOUBLE|FLOAT")
+    alike = (shape == F.col("_a_shape")) & ~general & (F.map_keys("_b_texts") == F.map_keys("_a_texts"))
     rows = F.arrays_zip(F.map_keys("_b_texts").alias("k"), F.map_values("_b_texts").alias("b"), F.map_values("_a_texts").alias("a"))
     differing = F.transform(F.filter(rows, lambda r: ~r["b"].eqNullSafe(r["a"])), lambda r: r["k"])
     found = (

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The text form of a log position and the unset position.
 LSN_PATTERN = r"\A[0-9a-fA-F]{8}:[0-9a-fA-F]{8}:[0-9a-fA-F]{4}\z"
 ZERO_LSN_HEX = "00000000000000000000"
 NO_CHANGE_POSITION = "NULL"
+INVALID_POSITION = "INVALID_SOURCE_POSITION"
 
 
 def valid_lsn(text: Column) -> Column:
@@ -16,6 +19,18 @@ def valid_lsn(text: Column) -> Column:
     return F.coalesce(text.rlike(LSN_PATTERN), F.lit(False))
 
 
+def checked(text: str) -> str:
+    """A position given as an argument, refused if malformed: no row would compare with it."""
+    if not re.fullmatch(LSN_PATTERN.removeprefix(r"\A").removesuffix(r"\z"), text):
+        raise ValueError(f"{INVALID_POSITION}: {text!r}")
+    return text
+
+
+def with_position_code(frame: DataFrame, broken: Column) -> DataFrame:
+    """Add ``error_code`` where a row's position can't be read."""
+    return frame.withColumn("error_code", F.when(broken, INVALID_POSITION))
+
+
 def lsn_bytes(text: Column) -> Column:
     """Ten bytes in log order, or null where the text is malformed."""
     return F.when(valid_lsn(text), F.unhex(F.replace(text, F.lit(":"), F.lit(""))))

@@ -20,7 +20,7 @@ INVALID_ENVELOPE = "INVALID_SOURCE_ENVELOPE"
 UNEXPECTED_OPERATION = "UNEXPECTED_SOURCE_OPERATION"
 UNEXPECTED_TABLE = "UNEXPECTED_SOURCE_TABLE"
 KEY_MISSING = "SOURCE_KEY_MISSING"
-INVALID_POSITION = "INVALID_SOURCE_POSITION"
+INVALID_POSITION = lsn.INVALID_POSITION
 COORDINATES_MISSING = "SOURCE_COORDINATES_MISSING"
 INVALID_HEARTBEAT = "INVALID_INTERNAL_HEARTBEAT"
 IMAGE_MISSING = "SOURCE_ROW_IMAGE_MISSING"
@@ -244,7 +244,7 @@ def activation_boundary(events: DataFrame, boundaries: DataFrame) -> DataFrame:
     limits = boundaries.select(*keys, lsn.lsn_bytes(F.col("activation_lsn")).alias("_activation"))
     return (
         events.join(bounded_broadcast(limits), keys, "left")
-        .filter(F.col("_activation").isNull() | (lsn.lsn_bytes(F.col("commit_lsn")) > F.col("_activation")))
+        .filter(~F.coalesce(lsn.lsn_bytes(F.col("commit_lsn")) <= F.col("_activation"), F.lit(False)))
         .select(*[F.col(c) for c in events.columns])
     )
 

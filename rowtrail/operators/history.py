@@ -122,8 +122,7 @@ def field_changes(history: DataFrame, changed_only: bool = False, name_like: str
     """One row per event and field: kind and JSON text of its value before and after."""
     fields = history.select(
         "event_id",
-        jsonvalue.object_at(jsonvalue.parse(F.col("before_json")), "$").alias("_b"),
-        jsonvalue.object_at(jsonvalue.parse(F.col("after_json")), "$").alias("_a"))
+        *[jsonvalue.by_number_kind(jsonvalue.object_at(jsonvalue.parse(F.col(side)), "$")).alias(alias) for side, alias in (("before_json", "_b"), ("after_json", "_a"))])
     rows = fields.select("event_id", "_b", "_a", F.explode(F.array_union(jsonvalue.names(F.col("_b")), jsonvalue.names(F.col("_a")))).alias("field"))
     if name_like:
         rows = rows.filter(F.contains(F.lower("field"), F.lower(F.lit(name_like))))
@@ -179,11 +178,16 @@ def acceptance_check(history: DataFrame, expected: DataFrame) -> DataFrame:
     ).withColumn("passed", (F.col("row_count") == F.col("expected_count")) & (F.col("distinct_ids") == F.col("row_count")))
 
 
-def retention_prune(history: DataFrame, tenant: str, cutoff, limit: int) -> DataFrame:
-    """The rows one retention pass removes: a tenant's oldest before the cutoff, at most ``limit``."""
-    return (
-        history.filter((F.col("tenant_id") == tenant) & (F.col("occurred_at") < F.lit(cutoff)))
-        .orderBy("occurred_at", "event_id").limit(limit))
+def retention_prune(history: DataFrame, tenant: str | None, cutoff, limit: int) -> DataFrame:
+    """The rows one retention pass removes: a tenant's oldest before the cutoff, at most ``limit``; without a tenant, of each.
+
+    Ranks up to the limit are pruned on the map side, so a hot tenant sends at most ``limit`` rows per task.
+    """
+    old = history.filter(F.col("occurred_at") < F.lit(cutoff))
+    if tenant is not None:
+        return old.filter(F.col("tenant_id") == tenant).orderBy("occurred_at", "event_id").limit(limit)
+    order = Window.partitionBy("tenant_id").orderBy("occurred_at", "event_id")
+    return old.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_rank")
 
 
 def position_order(feed: DataFrame, commit: str = "commit_lsn", change: str = "change_lsn", serial: str = "event_serial_no") -> DataFrame:
@@ -193,9 +197,10 @@ def position_order(feed: DataFrame, commit: str = "commit_lsn", change: str = "c
 
 
 def replay_from(feed: DataFrame, commit: str, change: str, serial: int) -> DataFrame:
-    """Rows strictly after a full position."""
+    """Rows strictly after a full position; a row whose own position can't be read stays, with ``error_code``."""
     place = lsn.position(F.col("commit_lsn"), F.col("change_lsn"), F.col("event_serial_no"))
-    start = lsn.position(F.lit(commit), F.lit(change), F.lit(serial))
-    return feed.filter(place > start)
+    start = lsn.position(F.lit(lsn.checked(commit)), F.lit(change if change == lsn.NO_CHANGE_POSITION else lsn.checked(change)), F.lit(serial))
+    broken = place["commit"].isNull() | place["change"].isNull() | place["serial"].isNull()
+    return lsn.with_position_code(feed.filter(broken | (place > start)), broken)
 
 

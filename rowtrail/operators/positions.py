@@ -16,7 +16,7 @@ CORRUPT = "SOURCE_OFFSETS_CORRUPT"
 PARTITION_CHANGED = "SOURCE_OFFSET_PARTITION_CHANGED"
 INCOMPLETE = "SOURCE_INITIALIZATION_INCOMPLETE"
 COORDINATES = "SOURCE_REPLAY_COORDINATES_INVALID"
-INVALID_POSITION = "INVALID_SOURCE_POSITION"
+INVALID_POSITION = lsn.INVALID_POSITION
 MISSING_OR_AMBIGUOUS = "SOURCE_OFFSETS_MISSING_OR_AMBIGUOUS"
 
 

@@ -12,6 +12,7 @@ from rowtrail.operators.registry import TABLE_KEY, _updated, registry_acknowledg
 # Limits and states of schema evolution.
 RETIRE_GRACE_SECONDS = 120
 MAX_NAME_CHARS = 84
+NAME_HASH_CHARS = 12
 LENGTH_TYPES = ("char", "varchar", "nchar", "nvarchar", "binary", "varbinary")
 SCALE_TYPES = ("decimal", "numeric")
 PERMISSION_CODES = (22902, 229, 297, 15247, 916)
@@ -235,8 +236,13 @@ def schema_detail(source_changes: Column, reader_changes: Column, shown: int | N
 
 
 def capture_instance_name(schema: Column, table: Column, current: Column, now) -> Column:
-    """Name of a replacement capture; one that would repeat the current name gets a suffix."""
-    base = F.substring(F.concat(schema, F.lit("_"), table), 1, MAX_NAME_CHARS)
+    """Name of a replacement capture; one that would repeat the current name gets a suffix.
+
+    A table name beyond the identifier's length is cut and ends in a hash of the whole, so no two tables share one.
+    """
+    full = F.concat(schema, F.lit("_"), table)
+    short = F.concat(F.substring(full, 1, MAX_NAME_CHARS - NAME_HASH_CHARS - 1), F.lit("_"), F.substring(identity.sha256(full), 1, NAME_HASH_CHARS))
+    base = F.when(F.length(full) > MAX_NAME_CHARS, short).otherwise(full)
     name = F.concat(base, F.lit("_"), F.date_format(F.lit(now), "yyyyMMddHHmmss"))
     return F.when(F.lower(name) == F.lower(current), F.concat(name, F.lit("b"))).otherwise(name)
 
@@ -304,12 +310,9 @@ def storage_contract(actual: DataFrame, expected: DataFrame) -> DataFrame:
     (``tenant_id, source_id``); a missing table misses all its columns.
     """
     stores = actual.select(*SOURCE).distinct()
-    # The contract is a fixed list, so attaching it to every store is an explode, not a join of tables.
-    rows = [r.asDict() for r in expected.select("table_name", "column_name", "type_name", "is_nullable").collect()]
-    listed = F.array(*[
-        F.struct(F.lit(r["table_name"]).alias("table_name"), F.lit(r["column_name"]).alias("column_name"),
-                 F.lit(r["type_name"]).alias("_type"), F.lit(r["is_nullable"]).alias("_nullable")) for r in rows])
-    needed = stores.select(*SOURCE, F.inline(listed))
+    # The contract is one value, a list of columns, so attaching it to every store is an explode, not a join of tables.
+    listed = expected.agg(F.collect_list(F.struct("table_name", "column_name", F.col("type_name").alias("_type"), F.col("is_nullable").alias("_nullable")))).scalar()
+    needed = stores.withColumn("_contract", listed).select(*SOURCE, F.inline("_contract"))
     have = actual.select(*SOURCE, "table_name", "column_name", F.col("type_name").alias("actual_type"), F.col("is_nullable").alias("actual_nullable"))
     violation = (
         F.when(F.col("actual_type").isNull(), "COLUMN_MISSING").when(F.col("actual_type") != F.col("_type"), "TYPE_DIFFERS")

@@ -174,6 +174,22 @@ def _(spark, sf_dir):
     return sources.change_table_to_envelope(rows, ["o_orderkey"], feeds.DATABASE, feeds.SCHEMA, "orders", f"{feeds.CONNECTOR}.shop.dbo.orders")
 
 
+@query("change_table_replaced_rows", """
+  SELECT '{"o_orderkey":' || o_orderkey || '}' AS key, 'd' AS op, true AS has_before, false AS has_after, 1 AS serial FROM orders
+  UNION ALL SELECT '{"o_orderkey":' || o_orderkey || '}', 'c', false, true, 1 FROM orders""")
+def _(spark, sf_dir):
+    """Every order deleted and inserted again at one position."""
+    orders = feeds.table(spark, sf_dir, "orders")
+    place = lsn.lsn_bytes(lsn.make_lsn(F.lit(39), F.col("o_orderkey"), F.lit(1)))
+    rows = orders.select(
+        place.alias("start_lsn"), place.alias("seqval"), F.explode(F.array(F.lit(1), F.lit(2))).alias("operation"), F.lit(0).cast("bigint").alias("ts_ms"), "o_orderkey", "o_orderstatus")
+    found = sources.change_table_to_envelope(rows, ["o_orderkey"], feeds.DATABASE, feeds.SCHEMA, "orders", f"{feeds.CONNECTOR}.shop.dbo.orders")
+    read = jsonvalue.parse(F.col("value"))
+    return found.select(
+        "key", F.get_json_object("value", "$.op").alias("op"), *[jsonvalue.object_at(read, f"$.{side}").isNotNull().alias(f"has_{side}") for side in ("before", "after")],
+        F.get_json_object("value", "$.source.event_serial_no").cast("int").alias("serial"))
+
+
 @query("include_tables", _sql("""
   SELECT record_key AS key, 'shop' AS database, 'dbo' AS schema_name, 'orders' AS table_name, op FROM f1
   UNION ALL SELECT '{"singleton_id":1}', 'shop', 'dbo', 'Capture_Heartbeat', 'u' FROM events WHERE event_id % 100 = 0""", "f1"))
@@ -203,6 +219,18 @@ def _(spark, sf_dir):
     return sources.start_at_activation(stored_orders(spark, sf_dir), _START).select("event_id", "commit_lsn")
 
 
+#: A sixteenth of the positions lose their first digits.
+_BROKEN = "CASE WHEN substring(commit_lsn, 17, 1) = '3' THEN substring(commit_lsn, 5) ELSE commit_lsn END"
+
+
+@query("start_at_activation_broken", _sql(f"""
+  SELECT event_id, {_BROKEN} AS commit_lsn, CASE WHEN length({_BROKEN}) < 22 THEN 'INVALID_SOURCE_POSITION' END AS error_code
+  FROM f1 WHERE commit_lsn > '{_START}' OR length({_BROKEN}) < 22""", "f1"))
+def _(spark, sf_dir):
+    damaged = stored_orders(spark, sf_dir).withColumn("commit_lsn", F.expr(_BROKEN))
+    return sources.start_at_activation(damaged, _START).select("event_id", "commit_lsn", "error_code")
+
+
 _F1_HISTORY_SQL = _sql(f"SELECT {_HISTORY} FROM f1", "f1")
 
 
@@ -270,6 +298,19 @@ def _(spark, sf_dir):
     return storage.read_history(spark, path).select("event_id", "occurred_at")
 
 
+@query("retention_prune_fleet", _sql(f"""
+  SELECT event_id, tenant_id, occurred_at FROM (
+    SELECT event_id, 'T' || o_orderkey % 3 AS tenant_id, occurred_at, row_number() OVER (PARTITION BY o_orderkey % 3, occurred_at < {_CUTOFF_SQL} ORDER BY occurred_at, event_id) AS rank FROM f1)
+  WHERE occurred_at >= {_CUTOFF_SQL} OR rank > 200""", "f1"))
+def _(spark, sf_dir):
+    """One pass over three tenants, each with a limit of its own."""
+    path = run_folder(spark, "history")
+    tenant = F.concat(F.lit("T"), (F.get_json_object("record_key", "$.o_orderkey").cast("bigint") % 3).cast("string"))
+    storage.append_history(order_history(spark, sf_dir).withColumn("tenant_id", tenant), path, 0)
+    storage.retention_prune_write(spark, path, None, _CUTOFF, 200)
+    return storage.read_history(spark, path).select("event_id", "tenant_id", "occurred_at")
+
+
 @query("unwrap_payload", _sql("""
   SELECT record_key AS key, '{"after":' || coalesce(after_json, 'null') || ',"before":' || coalesce(before_json, 'null') || ',"op":"' || op ||
     '","source":{"change_lsn":"' || change_lsn || '","commit_lsn":"' || commit_lsn || '","db":"shop","event_serial_no":' || event_serial_no ||
@@ -317,6 +358,43 @@ def _(spark, sf_dir):
     return changes.changed_properties(event_history(spark, sf_dir).drop("changed_properties")).select("event_id", "changed_properties")
 
 
+_NUMBERS = ["12", "12.0", '"12"', "1e3", "1000.0"]
+
+
+def _number(index: str, forms: list[str]) -> str:
+    return f"CASE {index} " + " ".join(f"WHEN {i} THEN '{form}'" for i, form in enumerate(forms)) + " END"
+
+
+_READ_NUMBERS = ["12", "12.0", '"12"', "1000.0", "1000.0"]
+_BEFORE, _AFTER = (f"CAST({part} % 5 AS INT)" for part in ("event_id", "floor(event_id / 5)"))
+
+
+def _number_images(spark, sf_dir):
+    images = {"before_json": _number(_BEFORE, _NUMBERS), "after_json": _number(_AFTER, _NUMBERS)}
+    return feeds.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), *[F.expr(f"""'{{"id":' || {text} || ',"at":1}}'""").alias(name) for name, text in images.items()])
+
+
+@query("canonical_key_numbers", f"""
+  SELECT event_id, '{{"at":' || event_id || ',"id":' || {_number(_BEFORE, _READ_NUMBERS)} || '}}' AS record_key FROM events""")
+def _(spark, sf_dir):
+    keys = feeds.table(spark, sf_dir, "events").select("event_id", F.expr(f"""'{{"id":' || {_number(_BEFORE, _NUMBERS)} || ',"at":' || event_id || '}}'""").alias("key"))
+    return changes.canonical_key(keys).select("event_id", "record_key")
+
+
+@query("changed_properties_numbers", f"""
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN {_number(_BEFORE, _READ_NUMBERS)} = {_number(_AFTER, _READ_NUMBERS)} THEN '[]' ELSE '["id"]' END AS changed_properties FROM events""")
+def _(spark, sf_dir):
+    return changes.changed_properties(_number_images(spark, sf_dir)).select("event_id", "changed_properties")
+
+
+@query("field_changes_numbers", f"""
+  SELECT CAST(event_id AS VARCHAR) AS event_id, 'id' AS field, {_number(_BEFORE, _READ_NUMBERS)} AS before_value, {_number(_AFTER, _READ_NUMBERS)} AS after_value
+  FROM events WHERE {_number(_BEFORE, _READ_NUMBERS)} <> {_number(_AFTER, _READ_NUMBERS)}""")
+def _(spark, sf_dir):
+    return history.field_changes(_number_images(spark, sf_dir), changed_only=True).select("event_id", "field", "before_value", "after_value")
+
+
 @query("changed_name_union", _sql("""
   SELECT event_id, CASE WHEN b_flag IS NULL AND a_flag IS NULL THEN '["event_type","note","score","value"]'
     ELSE '["event_type","flag","note","score","value"]' END AS all_properties FROM f2""", "f2"))
@@ -458,13 +536,13 @@ def _(spark, sf_dir):
 
 
 @query("valid_lsn", """
-  SELECT event_id, event_id % 50 <> 11 AS is_valid, CASE WHEN event_id % 50 <> 11 THEN '00000040' || printf('%08x', event_id) || '0002' END AS lsn_hex,
-    CASE WHEN event_id % 50 <> 11 THEN printf('%08x:%08x:%04x', 64, event_id, 2) END AS lsn_text
-  FROM events WHERE event_id % 50 NOT IN (1, 2)""")
+  SELECT event_id, event_id % 50 NOT IN (1, 2, 11) AS is_valid, CASE WHEN event_id % 50 NOT IN (1, 2, 11) THEN '00000040' || printf('%08x', event_id) || '0002' END AS lsn_hex,
+    CASE WHEN event_id % 50 NOT IN (1, 2, 11) THEN printf('%08x:%08x:%04x', 64, event_id, 2) END AS lsn_text
+  FROM events""")
 def _(spark, sf_dir):
     change = F.col("change_lsn")
-    readable = _damaged(spark, sf_dir).filter((F.col("event_id") % 50 != 1) & (F.col("event_id") % 50 != 2))
-    return readable.select("event_id", F.get_json_object("value", "$.source.change_lsn").alias("change_lsn")).select("event_id", lsn.valid_lsn(change).alias("is_valid"), lsn.lsn_bytes(change).alias("lsn_hex"), lsn.lsn_text(lsn.lsn_bytes(change)).alias("lsn_text"))
+    read = F.try_variant_get(jsonvalue.parse(F.col("value")), "$.source.change_lsn", "string").alias("change_lsn")
+    return _damaged(spark, sf_dir).select("event_id", read).select("event_id", lsn.valid_lsn(change).alias("is_valid"), lsn.lsn_bytes(change).alias("lsn_hex"), lsn.lsn_text(lsn.lsn_bytes(change)).alias("lsn_text"))
 
 
 _FROM, _TO = dt.datetime(1996, 3, 1, tzinfo=dt.timezone.utc), dt.datetime(1997, 3, 1, 0, 0, 2, tzinfo=dt.timezone.utc)

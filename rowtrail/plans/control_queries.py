@@ -294,10 +294,12 @@ def _(spark, sf_dir):
 
 
 @query("capture_instance_name", sql("""
-  SELECT h, substring('dbo_' || repeat(table_name || '_', CASE WHEN h % 3 = 0 THEN 20 ELSE 1 END), 1, 84) || '_20240601000000' || CASE WHEN h % 4 = 0 THEN 'b' ELSE '' END AS instance_name FROM reg""", "reg"))
+  SELECT h, CASE WHEN length(n) > 84 THEN substring(n, 1, 71) || '_' || substring(sha256(n), 1, 12) ELSE n END || '_20240601000000' || CASE WHEN h % 4 = 0 THEN 'b' ELSE '' END AS instance_name
+  FROM (SELECT h, 'dbo_' || repeat(table_name || '_', CASE WHEN h % 3 = 0 THEN 20 ELSE 1 END) AS n FROM reg)""", "reg"))
 def _(spark, sf_dir):
     named = fleet.spark_columns(fleet.keys(spark, sf_dir), {"h": "h", "t": "repeat(name || '_', CASE WHEN h % 3 = 0 THEN 20 ELSE 1 END)"})
-    current = F.when(F.col("h") % 4 == 0, F.upper(F.concat(F.substring(F.concat(F.lit("dbo_"), "t"), 1, 84), F.lit("_20240601000000")))).otherwise("other")
+    taken = schema.capture_instance_name(F.lit("dbo"), F.col("t"), F.lit("other"), NOW)
+    current = F.when(F.col("h") % 4 == 0, F.upper(taken)).otherwise("other")
     return named.select("h", schema.capture_instance_name(F.lit("dbo"), F.col("t"), current, NOW).alias("instance_name"))
 
 

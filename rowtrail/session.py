@@ -33,6 +33,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_name() -> str:
+    """A name no other run has."""
+    return uuid.uuid4().hex
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new path for one run below the shared folder; never reused, so a rerun cannot see old files."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{run_name()}"

@@ -63,15 +63,16 @@ def change_table_to_envelope(rows: DataFrame, key_columns: list[str], database:
 
     Rows hold ``start_lsn``, ``seqval``, ``operation`` (1 delete, 2 insert, 3 and 4 before and after of one
     update) and ``ts_ms``; the other columns are the source row. The two halves of an update meet in one
-    aggregation, and its record counts as the second serial.
+    aggregation, and its record counts as the second serial; a delete and an insert of one position and key stay two records.
     """
     commit, change, kind, millis = meta
     data = [c for c in rows.columns if c not in meta]
     ready = normalize_values(rows, data)
     image = F.to_json(F.struct(*[F.col(c) for c in sorted(data)]), {"ignoreNullFields": "false"})
     keyed = ready.select(
-        commit, change, kind, millis, F.to_json(F.struct(*[F.col(c) for c in key_columns])).alias("key"), image.alias("image"))
-    merged = keyed.groupBy(commit, change, "key").agg(
+        commit, change, kind, millis, F.to_json(F.struct(*[F.col(c) for c in key_columns])).alias("key"), image.alias("image"),
+        F.least(F.col(kind), F.lit(3)).alias("_change_kind"))
+    merged = keyed.groupBy(commit, change, "key", "_change_kind").agg(
         F.max(F.when(F.col(kind).isin(1, 3), F.col("image"))).alias("before"),
         F.max(F.when(F.col(kind).isin(2, 4), F.col("image"))).alias("after"),
         F.max(kind).alias("kind"), F.max(millis).alias("millis"))
@@ -89,6 +90,8 @@ def change_table_to_envelope(rows: DataFrame, key_columns: list[str], database:
 def start_at_activation(changes: DataFrame, activation_lsn: str) -> DataFrame:
     """Only rows strictly after the activation position: no snapshot and no backfill.
 
-    Takes any frame with ``commit_lsn``; snapshot records themselves fail validation (operation ``r``).
+    Takes any frame with ``commit_lsn``; snapshot records themselves fail validation (operation ``r``). A row whose
+    position can't be read stays, with ``error_code``.
     """
-    return changes.filter(lsn.lsn_bytes(F.col("commit_lsn")) > lsn.lsn_bytes(F.lit(activation_lsn)))
+    place = lsn.lsn_bytes(F.col("commit_lsn"))
+    return lsn.with_position_code(changes.filter(place.isNull() | (place > lsn.lsn_bytes(F.lit(lsn.checked(activation_lsn))))), place.isNull())

@@ -6,13 +6,15 @@ own rows, and streams with checkpoints of their own never meet. Snapshots are ne
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtrail.functions.sizing import bounded_broadcast
 from rowtrail.operators import history as ops
 from rowtrail.operators.monitor import status_merge
 from rowtrail.operators.wire import wire_encode
+from rowtrail.session import run_name
 
 HISTORY_SCHEMA = (
     "event_id string, source_id string, schema_name string, table_name string, operation string, occurred_at timestamp, "
@@ -117,33 +119,70 @@ def write_status(status: DataFrame, path: str, version: int) -> None:
     write_snapshot(status_merge(status, read_snapshot(spark, path, below=version)), path, version)
 
 
-def retention_prune_write(spark: SparkSession, path: str, tenant: str, cutoff, limit: int) -> int:
-    """Remove one retention pass from storage; returns how many rows went.
+#: Below the history folder and hidden from readers: rewrites of retention passes until they are in place.
+_STAGING = "_retention"
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _put_in_place(spark: SparkSession, path: str, run: str) -> None:
+    """Replace each partition a finished pass rewrote by its survivors. Begun again after a crash, it does the rest."""
+    staged = f"{path}/{_STAGING}/{run}"
+    for row in spark.read.parquet(f"{staged}/moves").collect():
+        fs, target = _file_system(spark, f"{path}/{row['place']}")
+        _, fresh = _file_system(spark, f"{staged}/survivors/{row['place']}")
+        if row["survives"] and not fs.exists(fresh):
+            continue  # moved before the crash
+        fs.delete(target, True)
+        if row["survives"] and not fs.rename(fresh, target):
+            raise RuntimeError(f"could not put {row['place']} in place")
+
+
+def finish_retention(spark: SparkSession, path: str) -> None:
+    """Complete a pass that was stopped while its partitions were put in place; forget one that had not got so far."""
+    for run in _listed(spark, f"{path}/{_STAGING}"):
+        if path_exists(spark, f"{path}/{_STAGING}/{run}/moves/_SUCCESS"):
+            _put_in_place(spark, path, run)
+        fs, folder = _file_system(spark, f"{path}/{_STAGING}/{run}")
+        fs.delete(folder, True)
 
-    Only the partitions holding those rows (at most ``limit``) are rewritten; one left empty is deleted.
+
+def stage_retention(spark: SparkSession, path: str, tenant: str | None, cutoff, limit: int) -> int:
+    """Write what one retention pass leaves of the partitions it touches, beside them; nothing is removed yet.
+
+    The folders touched are at most ``limit`` for each tenant; only these are read again, and only their names come to the driver.
     """
-    history = read_history(spark, path)
-    dated = history.filter(F.col("occurred_month") <= F.to_date(F.lit(cutoff)))
-    doomed = ops.retention_prune(dated, tenant, cutoff, limit).select("event_id", *_PARTITIONS).persist()
-    try:
-        touched = doomed.groupBy(*_PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()
-        if not touched:
-            return 0
-        places = spark.createDataFrame([tuple(r[c] for c in _PARTITIONS) for r in touched], "tenant_id string, occurred_month date, stream_id string, batch_id bigint")
-        survivors = (
-            history.filter(F.col("tenant_id") == tenant)
-            .filter(F.col("occurred_month").isin([r["occurred_month"] for r in touched]) & F.col("batch_id").isin([r["batch_id"] for r in touched]))
-            .join(bounded_broadcast(places), _PARTITIONS, "left_semi")
-            .join(bounded_broadcast(doomed.select("event_id")), "event_id", "left_anti")
-            .persist()
-        )
-        kept = {tuple(r[c] for c in _PARTITIONS) for r in survivors.select(*_PARTITIONS).distinct().collect()}
-        survivors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
-        for row in touched:
-            if tuple(row[c] for c in _PARTITIONS) not in kept:
-                fs, folder = _file_system(spark, f"{path}/tenant_id={row['tenant_id']}/occurred_month={row['occurred_month']}/stream_id={row['stream_id']}/batch_id={row['batch_id']}")
-                fs.delete(folder, True)
-        survivors.unpersist()
-        return sum(r["n"] for r in touched)
-    finally:
-        doomed.unpersist()
+    staged = f"{path}/{_STAGING}/{run_name()}"
+    dated = read_history(spark, path).filter(F.col("occurred_month") <= F.to_date(F.lit(cutoff)))
+    # The last four folders of a file's path are its partition, escaped as Spark writes them.
+    place = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"((?:[^/]+/){4})[^/]+$", 1)
+    doomed = ops.retention_prune(dated.select("event_id", "tenant_id", "occurred_at", place.alias("place")), tenant, cutoff, limit)
+    doomed.select("event_id", "place").write.parquet(f"{staged}/doomed")
+    doomed = spark.read.schema("event_id string, place string").parquet(f"{staged}/doomed")
+    touched = {row["place"].rstrip("/"): row["n"] for row in doomed.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not touched:
+        return 0
+    rows = spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*[f"{path}/{name}" for name in touched])
+    rows.withColumn("place", place).join(doomed, ["event_id", "place"], "left_anti").drop("place").sortWithinPartitions(*_PARTITIONS, "occurred_at", "event_id").write.partitionBy(*_PARTITIONS).parquet(f"{staged}/survivors")
+    moves = [(name, path_exists(spark, f"{staged}/survivors/{name}")) for name in sorted(touched)]
+    spark.createDataFrame(moves, "place string, survives boolean").coalesce(1).write.parquet(f"{staged}/moves")
+    return sum(touched.values())
+
+
+def retention_prune_write(spark: SparkSession, path: str, tenant: str | None, cutoff, limit: int, before_write: Callable[[], None] | None = None) -> int:
+    """Remove one retention pass from storage, of one tenant or of each (None); returns how many rows went.
+
+    Survivors are written aside in full before a partition is touched, and a pass stopped at any point is finished or
+    forgotten by the next one, so no row is lost. One pass at a time; ``before_write`` (a fence check) may still stop it.
+    """
+    finish_retention(spark, path)
+    if not path_exists(spark, path):
+        return 0
+    removed = stage_retention(spark, path, tenant, cutoff, limit)
+    if before_write is not None:
+        before_write()
+    finish_retention(spark, path)
+    return removed

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rowtrail.operators import changes, history, wire
 from rowtrail.operators.settings import SOURCE_SCHEMA
+from rowtrail.sources import feeds as inputs
 
 CAPTURED = dt.datetime(2026, 1, 1)
 LSN = "00000027:00000ac0:0003"
@@ -51,6 +52,27 @@ def test_nested_keys_are_canonical(spark):
     assert row.record_key == '{"a":1,"b":{"a":[{"x":2,"y":1},3],"z":1}}'
 
 
+@pytest.mark.parametrize("key, written", [
+    ("1", "1"), ("1.0", "1.0"), ("1.50", "1.5"), ("1e3", "1000.0"), ("1000.0", "1000.0"), ("1000", "1000"), ("12345678901234567890123", "12345678901234567890123"),
+])
+def test_whole_and_fractional_numbers_are_different_keys(spark, key, written):
+    assert parse(spark, (f'{{"id":{key},"a":"1.0"}}', value(after={})))[0].record_key == f'{{"a":"1.0","id":{written}}}'
+
+
+def test_equal_numbers_of_another_form_are_no_difference(spark):
+    images = spark.createDataFrame([('{"k":1e3,"n":1.50}', '{"k":1000.0,"n":1.5}')], "before_json string, after_json string")
+    assert changes.changed_properties(images).first().changed_properties == "[]"
+
+
+def test_positions_that_cannot_be_read_are_reported(spark):
+    rows = spark.createDataFrame([("00000001:00000001:0001",), ("00000003:00000001:0001",), ("3:1",), (None,)], "commit_lsn string")
+    found = inputs.start_at_activation(rows, "00000002:00000001:0001").collect()
+    assert sorted((r.commit_lsn or "", r.error_code) for r in found) == [
+        ("", "INVALID_SOURCE_POSITION"), ("00000003:00000001:0001", None), ("3:1", "INVALID_SOURCE_POSITION")]
+    with pytest.raises(ValueError, match="INVALID_SOURCE_POSITION"):
+        inputs.start_at_activation(rows, "2:1")
+
+
 def test_typed_differences(spark):
     before = {"unchanged": False, "nullToEmpty": None, "zeroToFalse": 0, "absentNext": None, "numberToText": 12}
     after = {"unchanged": False, "nullToEmpty": "", "zeroToFalse": False, "numberToText": "12"}
@@ -70,6 +92,9 @@ def test_typed_differences(spark):
     ({"k": "null"}, {"k": None}, ["k"]),
     ({"k": True}, {"k": "true"}, ["k"]),
     ({"k": 1.5}, {"k": 1.50}, []),
+    ({"k": 12}, {"k": 12.0}, ["k"]),
+    ({"k": 10 ** 25}, {"k": 10 ** 25}, []),
+    ({"k": 10 ** 25}, {"k": 10 ** 25 + 1}, ["k"]),
     ({"k": "a\u0000b"}, {"k": "a\u0000c"}, ["k"]),
     ({}, {}, []),
 ])

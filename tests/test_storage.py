@@ -1,11 +1,12 @@
 """Durable delivery: reruns, crashes between write and commit, fences, held sources, retention, snapshots."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from rowtrail.operators import changes
+from rowtrail.operators import changes, history
 from rowtrail.sources import feeds as inputs
 from rowtrail.sources import storage
 from rowtrail.streaming import history as streams
@@ -138,6 +139,39 @@ def test_retention_removes_the_oldest_and_only_those(spark, tmp_path):
     assert ids(spark, path) == [10, 11]
 
 
+def test_a_stopped_retention_pass_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "history")
+    day = 86_400_000
+    for tenant in ("ACME", "O:T H+E%R"):
+        old = [(f'{{"id":{i}}}', value(after={"v": i}, serial=i, millis=1758500000000 + i * 10 * day)) for i in range(12)]
+        events = changes.parse_change_feed(feed(spark, *old, tenant=tenant), source(spark, tenant=tenant))
+        storage.save_events(events, path, 0, tenant[:1])
+    cutoff = dt.datetime.fromtimestamp(1758500000 + 95 * 86400, dt.timezone.utc)
+    # Stopped after the survivors were written aside: nothing has changed, and the pass is done by the next one.
+    assert storage.stage_retention(spark, path, None, cutoff, 3) == 6
+    assert ids(spark, path) == sorted([*range(12)] * 2)
+    # Stopped in the middle of putting them in place, after some partitions.
+    staged = next((tmp_path / "history" / "_retention").iterdir())
+    first = spark.read.parquet(str(staged / "moves")).filter("survives").orderBy("place").first()["place"]
+    shutil.rmtree(tmp_path / "history" / first)
+    (staged / "survivors" / first).rename(tmp_path / "history" / first)
+    storage.finish_retention(spark, path)
+    assert ids(spark, path) == sorted([*range(3, 12)] * 2)
+    # Stopped before it was all written aside: forgotten.
+    storage.stage_retention(spark, path, "ACME", cutoff, 2)
+    left = next((tmp_path / "history" / "_retention").iterdir())
+    (left / "moves" / "_SUCCESS").unlink()
+    storage.finish_retention(spark, path)
+    assert ids(spark, path) == sorted([*range(3, 12)] * 2)
+
+    def fenced():
+        raise streams.SourceFenced(history.SOURCE_FENCED)
+
+    with pytest.raises(streams.SourceFenced):
+        storage.retention_prune_write(spark, path, None, cutoff, 500, before_write=fenced)
+    assert ids(spark, path) == sorted([*range(3, 12)] * 2)
+
+
 def test_an_unfinished_snapshot_does_not_count(spark, tmp_path):
     path = str(tmp_path / "table")
     storage.write_snapshot(spark.range(1), path, 0)
