@@ -14,6 +14,7 @@ SUMMARY_COLUMNS = [
 ]
 TENANT_MISMATCH = "MESSAGE_TENANT_MISMATCH"
 SOURCE_FENCED = "SOURCE_FENCED"
+MAX_PAGE_SIZE = 1000
 # Columns a caller may sort a page by.
 SORTABLE = {"occurred_at", "captured_at", "schema_name", "table_name", "operation", "event_serial_no"}
 
@@ -91,13 +92,30 @@ def history_search(history: DataFrame, tenant: str, tables: str | None = None, o
     return found
 
 
-def history_page(found: DataFrame, page: int = 0, size: int = 20, sort: str = "occurred_at", descending: bool = True) -> DataFrame:
-    """One zero-based page of summaries with ``total_elements``; ties go by event id, newest page first."""
+def page_size(size: int) -> int:
+    """A page's size, refused beyond the bound that keeps one page small."""
+    if not 1 <= size <= MAX_PAGE_SIZE:
+        raise ValueError(f"a page has 1 to {MAX_PAGE_SIZE} rows, not {size}")
+    return size
+
+
+def history_page(found: DataFrame, page: int = 0, size: int = 20, sort: str = "occurred_at", descending: bool = True, after: tuple | None = None) -> DataFrame:
+    """One zero-based page of summaries with ``total_elements``; ties go by event id, newest page first.
+
+    ``after`` is the sort value and event id of the row to continue behind: a filter, where a late ``page`` has to pass over all before it.
+    """
     if sort not in SORTABLE:
         raise ValueError(f"cannot sort by {sort!r}")
+    page_size(size)
     order = [F.col(sort).desc(), F.col("event_id").desc()] if descending else [F.col(sort).asc(), F.col("event_id").asc()]
     total = found.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return found.select(*SUMMARY_COLUMNS).orderBy(*order).offset(page * size).limit(size).withColumn("total_elements", total)
+    rows = found
+    if after is not None:
+        value, event_id = F.lit(after[0]), F.lit(after[1])
+        behind = (F.col(sort) < value) | ((F.col(sort) == value) & (F.col("event_id") < event_id)) if descending else (
+            (F.col(sort) > value) | ((F.col(sort) == value) & (F.col("event_id") > event_id)))
+        rows = found.filter(behind)
+    return rows.select(*SUMMARY_COLUMNS).orderBy(*order).offset(page * size).limit(size).withColumn("total_elements", total)
 
 
 def event_summary(history: DataFrame, tenant: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtrail.functions import identity, lsn, names
+from rowtrail.operators.history import page_size
 from rowtrail.operators.monitor import OBSERVATION_STALE_SECONDS
 from rowtrail.operators.positions import SOURCE
 
@@ -415,6 +416,7 @@ def apply_requests(registry: DataFrame, requests: DataFrame, now) -> tuple[DataF
 def tables_page(registry: DataFrame, grants: DataFrame, now, tenant: str | None = None, query: str = "", state: str | None = None,
                 page: int = 0, size: int = 20) -> DataFrame:
     """One zero-based page of the registry by name with ``can_enable`` and ``total_elements``."""
+    page_size(size)
     name = names.qualified(F.col("schema_name"), F.col("table_name"))
     found = registry.filter(F.contains(F.lower(name), F.lower(F.lit(query))))
     if tenant is not None:

@@ -161,11 +161,23 @@ def _(spark, sf_dir):
     return _drain(stream, spark).select("key", "value", "destination")
 
 
-@query("bounded_ingest", _sql("SELECT operation, count(*) AS record_count FROM f1 GROUP BY operation", "f1"))
-def _(spark, sf_dir):
-    bounded = sources.stream_change_feed(spark, _stored_feed(spark, sf_dir, "feed"), max_bytes=sources.DEFAULT_BATCH_BYTES)
+@query("bounded_ingest", _sql("SELECT operation, count(*) AS record_count, true AS bounded FROM f1 GROUP BY operation", "f1"))
+def _(spark, sf_dir):
+    """Twelve files under a bound of a third of their bytes: no batch holds half of the records."""
+    folder, out = run_folder(spark, "feed"), run_folder(spark, "batches")
+    feeds.orders_changes(spark, sf_dir).repartition(12, F.xxhash64("value")).write.parquet(folder)
+    sizes = spark.read.parquet(folder).select("_metadata.file_path", "_metadata.file_size").distinct()
+    bound = sizes.agg(F.sum("file_size")).first()[0] // 3
+    bounded = sources.stream_change_feed(spark, folder, max_bytes=bound)
+    started = (
+        bounded.writeStream.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+        .option("checkpointLocation", run_folder(spark, "checkpoint")).trigger(availableNow=True).start())
+    started.awaitTermination()
+    arrived = spark.read.parquet(out)
+    most = arrived.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
     op = changes.map_operation(F.get_json_object("value", "$.op"))
-    return _drain(bounded, spark).groupBy(op.alias("operation")).agg(F.count(F.lit(1)).alias("record_count"))
+    counted = arrived.groupBy(op.alias("operation")).agg(F.count(F.lit(1)).alias("record_count"))
+    return counted.withColumn("bounded", most * 2 < arrived.agg(F.count(F.lit(1))).scalar())
 
 
 @query("change_table_to_envelope", _FEED_SQL)
@@ -298,6 +310,21 @@ def _(spark, sf_dir):
     return storage.read_history(spark, path).select("event_id", "occurred_at")
 
 
+_CLOSED = dt.date(1997, 1, 1)
+
+
+@query("history_compact", _sql(f"SELECT {_HISTORY}, occurred_at < DATE '{_CLOSED}' AS compacted FROM f1", "f1"))
+def _(spark, sf_dir):
+    """Three batches of two streams; closed months are brought together, written to once more, and brought together again."""
+    path = run_folder(spark, "history")
+    events = order_history(spark, sf_dir)
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for part, stream in enumerate(("a", "a", "b")):
+        storage.save_events(events.filter(third <= part), path, part, stream)
+        storage.compact_history(spark, path, _CLOSED)
+    return storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS, (F.col("stream_id") == storage.COMPACTED).alias("compacted"))
+
+
 @query("retention_prune_fleet", _sql(f"""
   SELECT event_id, tenant_id, occurred_at FROM (
     SELECT event_id, 'T' || o_orderkey % 3 AS tenant_id, occurred_at, row_number() OVER (PARTITION BY o_orderkey % 3, occurred_at < {_CUTOFF_SQL} ORDER BY occurred_at, event_id) AS rank FROM f1)
@@ -424,13 +451,19 @@ def _(spark, sf_dir):
     return wire.wire_encode(order_history(spark, sf_dir), feeds.shop_source(spark))
 
 
-@query("wire_decode", _sql("SELECT event_id, CASE WHEN eid % 7 < 5 THEN 'INVALID_BROKER_EVENT' END AS error_code FROM f2", "f2"))
+_DECODED = ["event_id", "source_id", "schema_name", "operation", "occurred_at", "captured_at", "record_key", "before_json", "after_json", "changed_properties", "commit_lsn", "change_lsn"]
+
+
+@query("wire_decode", _sql(f"""
+  SELECT {", ".join(_DECODED)}, CASE eid % 10 WHEN 3 THEN 9 ELSE event_serial_no END AS event_serial_no, CASE eid % 10 WHEN 4 THEN 'T2' ELSE tenant_id END AS tenant_id,
+    CASE eid % 10 WHEN 2 THEN 'Capture_Heartbeat' ELSE table_name END AS table_name, CASE WHEN eid % 10 < 7 THEN 'INVALID_BROKER_EVENT' END AS error_code
+  FROM (SELECT * REPLACE (CASE WHEN eid % 10 <> 5 THEN occurred_at END AS occurred_at, CASE WHEN eid % 10 <> 6 THEN captured_at END AS captured_at) FROM f2)""", "f2"))
 def _(spark, sf_dir):
     source = feeds.shop_source(spark)
     encoded = wire.wire_encode(event_history(spark, sf_dir), source)
-    # The second part of a position is the event number; five of seven bodies are tampered with in different ways.
+    # The second part of a position is the event number; seven of ten bodies are tampered with in different ways.
     block = F.get_json_object("body", "$.event.commitLsn")
-    number = F.conv(F.substring(block, 10, 8), 16, 10).cast("bigint") % 7
+    number = F.conv(F.substring(block, 10, 8), 16, 10).cast("bigint") % 10
     body = F.col("body")
     damaged = (
         F.when(number == 0, F.replace(body, F.lit('"version":1'), F.lit('"version":2')))
@@ -438,8 +471,22 @@ def _(spark, sf_dir):
         .when(number == 2, F.replace(body, F.lit('"tableName":"events"'), F.lit('"tableName":"Capture_Heartbeat"')))
         .when(number == 3, F.regexp_replace(body, '"eventSerialNo":[0-9]+', '"eventSerialNo":9'))
         .when(number == 4, F.replace(body, F.lit('"tenantId":"T1"'), F.lit('"tenantId":"T2"')))
+        .when(number == 5, F.regexp_replace(body, '"occurredAt":"[^"]*"', '"occurredAt":"yesterday"'))
+        .when(number == 6, F.regexp_replace(body, '"capturedAt":"[^"]*"', '"capturedAt":null'))
         .otherwise(body))
-    return wire.wire_decode(encoded.select("event_id", damaged.alias("body")), source).select("event_id", "error_code")
+    return wire.wire_decode(encoded.select("event_id", damaged.alias("body")), source)
+
+
+@query("wire_subscribe", _F1_HISTORY_SQL)
+def _(spark, sf_dir):
+    """Two overlapping batches of wire bodies, read as a stream into a history of the subscriber's own."""
+    source, published, path = feeds.shop_source(spark), run_folder(spark, "wire"), run_folder(spark, "history")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(5))
+    for batch, part in enumerate((half < 3, half > 1)):
+        storage.publish_wire(order_history(spark, sf_dir).filter(part), source, published, batch)
+    bodies = spark.readStream.schema("event_id string, body string, stream_id string, batch_id bigint").option("maxFilesPerTrigger", 8).parquet(published)
+    streams.wire_subscribe(bodies, source, path, run_folder(spark, "checkpoint"), available_now=True).awaitTermination()
+    return storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS)
 
 
 def _kind_sql(value: str) -> str:
@@ -564,6 +611,12 @@ def _(spark, sf_dir):
     return history.history_page(_searched(spark, sf_dir), page=2, size=25)
 
 
+@query("history_page_after", _sql(f"""
+  SELECT {_SUMMARY}, (SELECT count(*) {_SEARCHED}) AS total_elements {_SEARCHED} AND occurred_at < TIMESTAMP '1996-10-01 00:00:00' ORDER BY occurred_at DESC, event_id DESC LIMIT 25""", "f1"))
+def _(spark, sf_dir):
+    return history.history_page(_searched(spark, sf_dir), size=25, after=(dt.datetime(1996, 10, 1, tzinfo=dt.timezone.utc), ""))
+
+
 @query("image_path_filter", _sql("""
   SELECT event_id, operation FROM f1 WHERE json_extract_string(before_json, '$.o_orderstatus') = 'P' OR json_extract_string(after_json, '$.o_orderstatus') = 'P'""", "f1"))
 def _(spark, sf_dir):
@@ -620,7 +673,11 @@ def _(spark, sf_dir):
     return history.event_counts(stored_history(spark, sf_dir))
 
 
-@query("filter_values", "SELECT item, false AS has_next FROM (VALUES ('dbo.events'), ('dbo.orders')) t(item) WHERE EXISTS (SELECT 1 FROM orders) AND EXISTS (SELECT 1 FROM events)")
+@query("filter_values", _sql("""
+  SELECT item, count(*) OVER () > 30 AS has_next FROM (
+    SELECT DISTINCT schema_name || '.' || table_name AS item FROM (SELECT schema_name, table_name, tenant_id FROM f1 UNION ALL SELECT schema_name, table_name, tenant_id FROM f2)
+    WHERE tenant_id = 'T1' AND contains(lower(schema_name || '.' || table_name), 'dbo.'))
+  ORDER BY item LIMIT 30""", "f1", "f2"))
 def _(spark, sf_dir):
     return history.filter_values(stored_history(spark, sf_dir), feeds.TENANT, "DBO.")
 
@@ -641,9 +698,19 @@ def _(spark, sf_dir):
     return history.last_event(stored_history(spark, sf_dir))
 
 
+_CHAINED = "(SELECT event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events)"
+
+
 @query("acceptance_check", _sql(f"""
-  SELECT schema_name, table_name, operation, expected_count AS row_count, expected_count AS distinct_ids, expected_count, true AS passed
-  FROM ({_COUNTS.format("expected_count")})""", "f1", "f2"))
+  SELECT *, row_count = expected_count AND distinct_ids = row_count AS passed FROM (
+    SELECT schema_name, table_name, operation, count(*) AS row_count, count(DISTINCT event_id) AS distinct_ids,
+      CASE WHEN table_name = 'orders' AND operation = 'INSERT' THEN (SELECT count(*) FROM orders)
+        WHEN table_name = 'orders' AND operation = 'UPDATE' THEN (SELECT count(*) FROM orders WHERE o_orderstatus <> 'O')
+        WHEN table_name = 'orders' THEN (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0)
+        WHEN operation = 'INSERT' THEN (SELECT count(DISTINCT user_id) FROM events)
+        WHEN operation = 'UPDATE' THEN (SELECT count(*) FROM {_CHAINED} WHERE place > 1 AND event_type <> 'error')
+        ELSE (SELECT count(*) FROM {_CHAINED} WHERE place > 1 AND event_type = 'error') END AS expected_count
+    FROM (SELECT {_HISTORY} FROM f1 UNION ALL SELECT {_HISTORY} FROM f2) GROUP BY ALL)""", "f1", "f2"))
 def _(spark, sf_dir):
     # What the recipe of each feed promises, counted on the given tables rather than on the history.
     orders = feeds.table(spark, sf_dir, "orders").agg(
@@ -672,13 +739,14 @@ def _(spark, sf_dir):
 @query("stream_history", _F1_HISTORY_SQL)
 def _(spark, sf_dir):
     folder, path = run_folder(spark, "replays"), run_folder(spark, "history")
-    feeds.replayed_changes(spark, sf_dir).write.parquet(folder)
+    # The first copies are delivered before the replays; files are read in the order in which they came.
+    for replayed in (False, True):
+        feeds.replayed_changes(spark, sf_dir, replayed).write.mode("append").parquet(folder)
     started = streams.stream_history(
         sources.stream_change_feed(spark, folder, max_files=4), feeds.shop_source(spark), path, run_folder(spark, "checkpoint"),
         wire_path=run_folder(spark, "wire"), available_now=True)
     started.awaitTermination()
-    # Copies may arrive in different batches, so which capture time came first depends on their order.
-    return storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS).withColumn("captured_at", F.col("occurred_at") + F.expr("interval 5 seconds"))
+    return storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS)
 
 
 @query("stream_restart_history", _sql("SELECT event_id, operation FROM f1", "f1"))

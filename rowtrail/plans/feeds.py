@@ -192,11 +192,11 @@ def damaged_source(spark: SparkSession) -> DataFrame:
     return shop_source(spark, {EVENTS: DAMAGE_BOUNDARY})
 
 
-def replayed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1, with a fifth of the orders delivered again an hour later."""
+def replayed_changes(spark: SparkSession, sf_dir: str, replayed: bool | None = None) -> DataFrame:
+    """F1, with a fifth of the orders delivered again an hour later; or only the first delivery, or only the second."""
     feed = orders_changes(spark, sf_dir)
-    again = feed.filter(F.get_json_object("key", "$.o_orderkey").cast("bigint") % 5 == 0)
-    return feed.unionByName(again.withColumn("captured_at", F.col("captured_at") + F.expr("interval 1 hour")))
+    again = feed.filter(F.get_json_object("key", "$.o_orderkey").cast("bigint") % 5 == 0).withColumn("captured_at", F.col("captured_at") + F.expr("interval 1 hour"))
+    return feed.unionByName(again) if replayed is None else again if replayed else feed
 
 
 def heartbeat_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

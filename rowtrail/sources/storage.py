@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtrail.operators import history as ops
@@ -24,6 +24,8 @@ HISTORY_SCHEMA = (
 _PARTITIONS = ["tenant_id", "occurred_month", "stream_id", "batch_id"]
 #: Owner of what is written outside a stream.
 BY_HAND = "by-hand"
+#: Owner of a closed month's rows once they are brought together.
+COMPACTED = "compacted"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -119,8 +121,8 @@ def write_status(status: DataFrame, path: str, version: int) -> None:
     write_snapshot(status_merge(status, read_snapshot(spark, path, below=version)), path, version)
 
 
-#: Below the history folder and hidden from readers: rewrites of retention passes until they are in place.
-_STAGING = "_retention"
+#: Below the history folder and hidden from readers: rewritten partitions until they are in place.
+_STAGING = "_rewrites"
 
 
 def _listed(spark: SparkSession, path: str) -> list[str]:
@@ -128,6 +130,11 @@ def _listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in fs.listStatus(folder)) if fs.exists(folder) else []
 
 
+def _place() -> Column:
+    """Partition a row lies in, as the last four folders of its file's path, escaped as Spark writes them."""
+    return F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"((?:[^/]+/){4})[^/]+$", 1)
+
+
 def _put_in_place(spark: SparkSession, path: str, run: str) -> None:
     """Replace each partition a finished pass rewrote by its survivors. Begun again after a crash, it does the rest."""
     staged = f"{path}/{_STAGING}/{run}"
@@ -137,11 +144,17 @@ def _put_in_place(spark: SparkSession, path: str, run: str) -> None:
         if row["survives"] and not fs.exists(fresh):
             continue  # moved before the crash
         fs.delete(target, True)
-        if row["survives"] and not fs.rename(fresh, target):
+        stream = target.getParent()
+        if not row["survives"]:
+            if fs.exists(stream) and not fs.listStatus(stream):
+                fs.delete(stream, False)
+            continue
+        fs.mkdirs(stream)
+        if not fs.rename(fresh, target):
             raise RuntimeError(f"could not put {row['place']} in place")
 
 
-def finish_retention(spark: SparkSession, path: str) -> None:
+def finish_rewrites(spark: SparkSession, path: str) -> None:
     """Complete a pass that was stopped while its partitions were put in place; forget one that had not got so far."""
     for run in _listed(spark, f"{path}/{_STAGING}"):
         if path_exists(spark, f"{path}/{_STAGING}/{run}/moves/_SUCCESS"):
@@ -150,6 +163,24 @@ def finish_retention(spark: SparkSession, path: str) -> None:
         fs.delete(folder, True)
 
 
+def _ready(spark: SparkSession, staged: str, places) -> None:
+    """Mark a pass as written aside in full, with what is to become of each place."""
+    moves = [(name, path_exists(spark, f"{staged}/survivors/{name}")) for name in sorted(places)]
+    spark.createDataFrame(moves, "place string, survives boolean").coalesce(1).write.parquet(f"{staged}/moves")
+
+
+def _allowed(spark: SparkSession, path: str, before_write: Callable[[], None] | None) -> None:
+    """Ask once more before anything changes; a refusal takes back what was written aside."""
+    if before_write is None:
+        return
+    try:
+        before_write()
+    except Exception:
+        fs, folder = _file_system(spark, f"{path}/{_STAGING}")
+        fs.delete(folder, True)
+        raise
+
+
 def stage_retention(spark: SparkSession, path: str, tenant: str | None, cutoff, limit: int) -> int:
     """Write what one retention pass leaves of the partitions it touches, beside them; nothing is removed yet.
 
@@ -157,18 +188,15 @@ def stage_retention(spark: SparkSession, path: str, tenant: str | None, cutoff,
     """
     staged = f"{path}/{_STAGING}/{run_name()}"
     dated = read_history(spark, path).filter(F.col("occurred_month") <= F.to_date(F.lit(cutoff)))
-    # The last four folders of a file's path are its partition, escaped as Spark writes them.
-    place = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"((?:[^/]+/){4})[^/]+$", 1)
-    doomed = ops.retention_prune(dated.select("event_id", "tenant_id", "occurred_at", place.alias("place")), tenant, cutoff, limit)
+    doomed = ops.retention_prune(dated.select("event_id", "tenant_id", "occurred_at", _place().alias("place")), tenant, cutoff, limit)
     doomed.select("event_id", "place").write.parquet(f"{staged}/doomed")
     doomed = spark.read.schema("event_id string, place string").parquet(f"{staged}/doomed")
     touched = {row["place"].rstrip("/"): row["n"] for row in doomed.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not touched:
         return 0
     rows = spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*[f"{path}/{name}" for name in touched])
-    rows.withColumn("place", place).join(doomed, ["event_id", "place"], "left_anti").drop("place").sortWithinPartitions(*_PARTITIONS, "occurred_at", "event_id").write.partitionBy(*_PARTITIONS).parquet(f"{staged}/survivors")
-    moves = [(name, path_exists(spark, f"{staged}/survivors/{name}")) for name in sorted(touched)]
-    spark.createDataFrame(moves, "place string, survives boolean").coalesce(1).write.parquet(f"{staged}/moves")
+    rows.withColumn("place", _place()).join(doomed, ["event_id", "place"], "left_anti").drop("place").sortWithinPartitions(*_PARTITIONS, "occurred_at", "event_id").write.partitionBy(*_PARTITIONS).parquet(f"{staged}/survivors")
+    _ready(spark, staged, touched)
     return sum(touched.values())
 
 
@@ -178,11 +206,41 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str | None, cu
     Survivors are written aside in full before a partition is touched, and a pass stopped at any point is finished or
     forgotten by the next one, so no row is lost. One pass at a time; ``before_write`` (a fence check) may still stop it.
     """
-    finish_retention(spark, path)
+    finish_rewrites(spark, path)
     if not path_exists(spark, path):
         return 0
     removed = stage_retention(spark, path, tenant, cutoff, limit)
-    if before_write is not None:
-        before_write()
-    finish_retention(spark, path)
+    _allowed(spark, path, before_write)
+    finish_rewrites(spark, path)
     return removed
+
+
+def compact_history(spark: SparkSession, path: str, before, before_write: Callable[[], None] | None = None) -> int:
+    """Bring the batches of each tenant's closed months (those before a date) together; returns how many partitions went.
+
+    Rows stay as they are, and a stream's batch that runs again finds its events there. Months already brought together
+    and not written to since are left alone. Crash-safe like retention; one rewriting pass at a time.
+    """
+    finish_rewrites(spark, path)
+    if not path_exists(spark, path):
+        return 0
+    staged = f"{path}/{_STAGING}/{run_name()}"
+    closed = read_history(spark, path).filter(F.col("occurred_month") < F.trunc(F.lit(before), "month"))
+    # No column is read for this, and a month's folder names are all that comes to the driver.
+    months: dict[str, list[str]] = {}
+    for row in closed.select(_place().alias("place")).distinct().collect():
+        months.setdefault("/".join(row["place"].split("/")[:2]), []).append(row["place"].rstrip("/"))
+    owner = f"stream_id={COMPACTED}/batch_id=0"
+    loose = {month: places for month, places in months.items() if places != [f"{month}/{owner}"]}
+    if not loose:
+        return 0
+    old = [place for places in loose.values() for place in places]
+    rows = spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*[f"{path}/{place}" for place in old])
+    keys = ["tenant_id", "occurred_month"]
+    (
+        rows.withColumn("stream_id", F.lit(COMPACTED)).withColumn("batch_id", F.lit(0).cast("bigint")).hint("rebalance", *keys)
+        .sortWithinPartitions(*keys, "occurred_at", "event_id").write.partitionBy(*_PARTITIONS).parquet(f"{staged}/survivors"))
+    _ready(spark, staged, {*old, *[f"{month}/{owner}" for month in loose]})
+    _allowed(spark, path, before_write)
+    finish_rewrites(spark, path)
+    return len(old)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rowtrail.functions import names
 from rowtrail.operators import changes, history
 from rowtrail.operators.monitor import status_merge
+from rowtrail.operators.wire import wire_decode
 from rowtrail.sources import storage
 
 
@@ -71,6 +72,22 @@ def stream_history(feed: DataFrame, sources: DataFrame, history_path: str, check
     return _start(feed.writeStream.foreachBatch(deliver), checkpoint, available_now, interval)
 
 
+def wire_subscribe(wire: DataFrame, sources: DataFrame, history_path: str, checkpoint: str, read_activation=None, fences: dict[str, int] | None = None,
+                   available_now: bool = False, interval: str = "1 second", heartbeat_table: str = names.HEARTBEAT_TABLE) -> StreamingQuery:
+    """A stream of wire bodies to a history of its own: read, verified, checked against the fence, saved once each.
+
+    A body that cannot be trusted fails the query at the same batch on every restart.
+    """
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        _check_fence(read_activation() if read_activation else None, fences)
+        read = wire_decode(batch.select("body"), sources, heartbeat_table)
+        trusted = F.when(F.col("error_code").isNull(), F.col("event_id")).otherwise(F.raise_error(F.col("error_code")).cast("string"))
+        events = read.withColumn("event_id", trusted).select(*changes.HISTORY_COLUMNS)
+        storage.save_events(events, history_path, batch_id, _stream_id(batch, checkpoint))
+
+    return _start(wire.writeStream.foreachBatch(deliver), checkpoint, available_now, interval)
+
+
 def stream_dedupe(events: DataFrame) -> DataFrame:
     """Events once each, however late they come.
 

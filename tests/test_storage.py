@@ -151,17 +151,17 @@ def test_a_stopped_retention_pass_loses_nothing(spark, tmp_path):
     assert storage.stage_retention(spark, path, None, cutoff, 3) == 6
     assert ids(spark, path) == sorted([*range(12)] * 2)
     # Stopped in the middle of putting them in place, after some partitions.
-    staged = next((tmp_path / "history" / "_retention").iterdir())
+    staged = next((tmp_path / "history" / "_rewrites").iterdir())
     first = spark.read.parquet(str(staged / "moves")).filter("survives").orderBy("place").first()["place"]
     shutil.rmtree(tmp_path / "history" / first)
     (staged / "survivors" / first).rename(tmp_path / "history" / first)
-    storage.finish_retention(spark, path)
+    storage.finish_rewrites(spark, path)
     assert ids(spark, path) == sorted([*range(3, 12)] * 2)
     # Stopped before it was all written aside: forgotten.
     storage.stage_retention(spark, path, "ACME", cutoff, 2)
-    left = next((tmp_path / "history" / "_retention").iterdir())
+    left = next((tmp_path / "history" / "_rewrites").iterdir())
     (left / "moves" / "_SUCCESS").unlink()
-    storage.finish_retention(spark, path)
+    storage.finish_rewrites(spark, path)
     assert ids(spark, path) == sorted([*range(3, 12)] * 2)
 
     def fenced():
@@ -169,9 +169,48 @@ def test_a_stopped_retention_pass_loses_nothing(spark, tmp_path):
 
     with pytest.raises(streams.SourceFenced):
         storage.retention_prune_write(spark, path, None, cutoff, 500, before_write=fenced)
+    storage.finish_rewrites(spark, path)
     assert ids(spark, path) == sorted([*range(3, 12)] * 2)
 
 
+def test_a_batch_run_again_after_compaction_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "history")
+    batches = [changes.parse_change_feed(feed(spark, *records(low, low + 6)), source(spark)) for low in (0, 4, 8)]
+    for n, batch in enumerate(batches):
+        storage.save_events(batch, path, n, "stream")
+    before = sorted(storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS).collect())
+    assert storage.compact_history(spark, path, dt.date(2025, 10, 15)) == 3
+    assert storage.compact_history(spark, path, dt.date(2025, 10, 15)) == 0
+    storage.save_events(batches[2], path, 2, "stream")
+    assert sorted(storage.read_history(spark, path).select(*changes.HISTORY_COLUMNS).collect()) == before
+    assert storage.compact_history(spark, path, dt.date(2025, 9, 30)) == 0
+    assert [p.name for p in (tmp_path / "history" / "tenant_id=ACME" / "occurred_month=2025-09-01").iterdir() if not p.name.startswith(".")] == ["stream_id=compacted"]
+
+
+def test_a_subscriber_refuses_what_it_cannot_trust(spark, tmp_path):
+    events = changes.parse_change_feed(feed(spark, *records(0, 4)), source(spark))
+    storage.publish_wire(events, source(spark), str(tmp_path / "wire"), 0)
+
+    def subscribe(of, name, **options):
+        bodies = spark.readStream.schema("event_id string, body string, stream_id string, batch_id bigint").parquet(str(tmp_path / "wire"))
+        streams.wire_subscribe(bodies, of, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"), available_now=True, **options).awaitTermination()
+
+    subscribe(source(spark), "good")
+    assert ids(spark, tmp_path / "good") == [0, 1, 2, 3]
+    with pytest.raises(Exception, match="INVALID_BROKER_EVENT"):
+        subscribe(source(spark, incarnation="inc-2"), "other")
+    current = spark.createDataFrame([("hr", 8)], "source_id string, fence bigint")
+    with pytest.raises(Exception, match="SOURCE_FENCED"):
+        subscribe(source(spark), "fenced", read_activation=lambda: current, fences={"hr": 7})
+    assert ids(spark, tmp_path / "other") == ids(spark, tmp_path / "fenced") == []
+
+
+@pytest.mark.parametrize("size", [0, -1, 1001])
+def test_a_page_is_bounded(spark, tmp_path, size):
+    with pytest.raises(ValueError, match="a page has 1 to 1000 rows"):
+        history.history_page(storage.read_history(spark, str(tmp_path / "none")), size=size)
+
+
 def test_an_unfinished_snapshot_does_not_count(spark, tmp_path):
     path = str(tmp_path / "table")
     storage.write_snapshot(spark.range(1), path, 0)
