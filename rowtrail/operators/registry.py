@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rowtrail.functions import identity, lsn, names
 from rowtrail.operators.history import page_size
-from rowtrail.operators.monitor import OBSERVATION_STALE_SECONDS
+from rowtrail.operators.monitor import OBSERVATION_STALE_SECONDS, pipeline_status, source_warning
 from rowtrail.operators.positions import SOURCE
 
 TABLE_KEY = ["tenant_id", "source_id", "schema_name", "table_name"]
@@ -240,6 +240,23 @@ def ready_requests(registry: DataFrame, observations: DataFrame, positions: Data
         .select(*SOURCE, names.qualified(F.col("schema_name"), F.col("table_name")).alias("table_name")))
 
 
+def monitor_pass(registry: DataFrame, observations: DataFrame, positions: DataFrame, metrics: DataFrame, runtime: DataFrame, now) -> tuple[DataFrame, DataFrame]:
+    """One look at all sources: the registry after it, and the status of every source in ``runtime``.
+
+    ``metrics`` is what :func:`source_warning` reads and ``runtime`` has progress, backlog and the consumer's failure. ``reconfigure``
+    says that a source's reader has to start anew: it holds a table it can't serve, or a requested one is ready. Write the
+    registry first where it is also planned on; the plan of both results goes through it.
+    """
+    observed = registry_observe(registry, observations, positions, now)
+    flags = registry_flags(observed).select(*SOURCE, "unavailable_active", "unacknowledged_suspension", "failed_refresh")
+    ready = ready_requests(observed, observations, positions).select(*SOURCE).distinct().withColumn("_ready", F.lit(True))
+    warned = source_warning(metrics).select(*SOURCE, "warning")
+    whole = runtime.join(warned, SOURCE, "left").join(flags, SOURCE, "left")
+    again = whole.select(*SOURCE, "unavailable_active").join(ready, SOURCE, "left").select(
+        *SOURCE, (F.coalesce("unavailable_active", F.lit(False)) | F.col("_ready").isNotNull()).alias("reconfigure"))
+    return observed, pipeline_status(whole).join(again, SOURCE)
+
+
 def registry_onboard(registry: DataFrame, sources: DataFrame, activation: DataFrame, offsets: DataFrame, checkpoints: DataFrame,
                      requested: DataFrame, boundaries: DataFrame, expected: DataFrame,
                      heartbeat_table: str = names.HEARTBEAT_TABLE) -> tuple[DataFrame, DataFrame]:

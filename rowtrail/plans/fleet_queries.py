@@ -247,7 +247,7 @@ _KEPT = ", ".join(c for c in registry.REGISTRY_COLUMNS if c not in {
     "diagnostic", "observed_at", "capture_instances", "version"})
 
 
-@query("registry_observe", sql(f"""
+_OBSERVED = f"""
   SELECT table_id, tenant_id, source_id, schema_name, table_name, found AS sql_cdc_enabled, CASE WHEN found THEN fingerprint ELSE capture_fingerprint END AS capture_fingerprint,
     des AS desired_enabled, act AS active,
     {_choose("'MISSING'", "'DISCOVERED'", "'BLOCKED'", "'PENDING'", "'BLOCKED'", "'STOPPING'", "'BLOCKED'", "'BLOCKED'", "'ONBOARDING'", "state")} AS state,
@@ -257,11 +257,37 @@ _KEPT = ", ".join(c for c in registry.REGISTRY_COLUMNS if c not in {
       coalesce(r.table_name, o.table_name) AS table_name, o.table_id IS NOT NULL AS found, coalesce(r.active, false) AS act, coalesce(r.desired_enabled, false) AS des, coalesce(o.eligible, false) AS eligible,
       o.diagnostic AS seen, o.fingerprint, o.instances, r.capture_fingerprint, r.state, r.diagnostic, r.version, {", ".join("r." + c.strip() for c in _KEPT.split(","))},
       p.saved_commit IS NOT NULL AND NOT coalesce({_COVERED}, false) AS gap
-    FROM reg r FULL JOIN obs o USING (table_id) JOIN pos p ON p.s = coalesce(r.s, o.s))""", "reg", "obs", "pos"))
+    FROM reg r FULL JOIN obs o USING (table_id) JOIN pos p ON p.s = coalesce(r.s, o.s))"""
+
+
+@query("registry_observe", sql(_OBSERVED, "reg", "obs", "pos"))
 def _(spark, sf_dir):
     return registry.registry_observe(fleet.registry(spark, sf_dir), fleet.observations(spark, sf_dir), fleet.positions(spark, sf_dir), NOW)
 
 
+@query("monitor_pass", sql(f"""
+  SELECT tenant_id, source_id, CASE WHEN f IS NOT NULL THEN 'ERROR' WHEN w IS NOT NULL THEN 'DEGRADED' ELSE 'RUNNING' END AS state, coalesce('CONSUMER_' || f, w, 'CAPTURE_AND_CONSUMER_RUNNING') AS message,
+    CASE WHEN w IS NULL THEN 'RUNNING' ELSE 'DEGRADED' END AS capture_state, CASE WHEN f IS NULL THEN 'RUNNING' ELSE 'ERROR' END AS consumer_state, leaving OR ready AS reconfigure
+  FROM (
+    SELECT n.tenant_id, n.source_id, bool_or(active AND {_UNAVAILABLE}) AS leaving, bool_or(coalesce(n.desired_enabled AND NOT n.active AND n.state = 'PENDING' AND {_COVERED}, false)) AS ready,
+      CASE WHEN any_value(p.s) % 7 = 1 THEN 'SOURCE_FENCED' END AS f,
+      CASE WHEN any_value(p.s) % 11 = 2 THEN 'BROKER_BACKLOG_HIGH' WHEN any_value(p.s) % 5 = 3 THEN 'CAPTURE_PROGRESS_STALE' WHEN any_value(p.s) % 13 = 5 THEN 'CDC_SCAN_STALE'
+        WHEN bool_or({_UNACKNOWLEDGED}) THEN 'TABLE_CAPTURE_SUSPENDED' WHEN bool_or(n.active AND n.schema_state IS NOT DISTINCT FROM 'REFRESH_FAILED') THEN 'CAPTURE_SCHEMA_REFRESH_FAILED' END AS w
+    FROM ({_OBSERVED}) n JOIN pos p ON 'S' || p.s = n.source_id LEFT JOIN obs o ON o.table_id = n.table_id GROUP BY ALL)""", "reg", "obs", "pos"))
+def _(spark, sf_dir):
+    """All sources at once: what was seen of their tables, their warnings and their readers' progress."""
+    keys = fleet.source_keys(spark, sf_dir)
+    metrics = fleet.spark_columns(keys, {
+        "tenant_id": fleet.TENANT, "source_id": fleet.SOURCE, "retention_minutes": "20160", "minimum_minutes": "20160", "capture_running": "true", "job_state_unavailable": "false",
+        "recent_errors": "false", "scan_age_s": "CASE WHEN s % 13 = 5 THEN 301 ELSE 300 END", "free_bytes": "CAST(9000000000 AS BIGINT)", "capped_free_pages": "CAST(NULL AS BIGINT)",
+        "headroom_s": "604800", "volume_unavailable": "false"})
+    runtime = fleet.spark_columns(keys, {
+        "tenant_id": fleet.TENANT, "source_id": fleet.SOURCE, "progress_age_s": "CASE WHEN s % 5 = 3 THEN 121 ELSE 120 END", "backlog": "CASE WHEN s % 11 = 2 THEN 100001 ELSE 100000 END",
+        "consumer_failure": "CASE WHEN s % 7 = 1 THEN 'SOURCE_FENCED' END"})
+    _, status = registry.monitor_pass(fleet.registry(spark, sf_dir), fleet.observations(spark, sf_dir), fleet.positions(spark, sf_dir), metrics, runtime, NOW)
+    return status
+
+
 def _suspended(spark, sf_dir):
     """Callers of every fifth source hold an old fence."""
     current = fleet.activation(spark, sf_dir)

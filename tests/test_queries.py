@@ -10,6 +10,8 @@ from tests.compare import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLES = contract.oracle_sql()
+#: Selective queries that the smallest tables leave without rows.
+MAY_BE_EMPTY = {"start_at_activation", "tables_page"}
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +26,7 @@ def test_every_query_has_reference_sql():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, duck, name):
     problem = compare(spark, duck, name, contract.queries()[name], ORACLES[name], SF_DIR)
-    # The smallest tables leave a few selective queries without rows on either side.
-    assert problem in (None, "both sides are empty")
+    assert problem is None or (problem == "both sides are empty" and name in MAY_BE_EMPTY)
 
 
 def test_entry(spark):
