@@ -782,16 +782,33 @@ def _(spark, sf_dir):
     return storage.read_snapshot(spark, path)
 
 
-@query("stream_quarantine", _sql("SELECT event_id, operation FROM f1", "f1"))
-def _(spark, sf_dir):
-    """One source's damaged feed is held whole while the other source's history is written."""
-    folder, path = run_folder(spark, "mixed"), run_folder(spark, "history")
+def _quarantined(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """History and held records: one source's damaged feed is held whole while the other source's history is written."""
+    folder, path, waiting = run_folder(spark, "mixed"), run_folder(spark, "history"), run_folder(spark, "held")
     other = "capture-T2-other"
     bad = feeds.damaged_changes(spark, sf_dir).drop("event_id").withColumn("destination", F.lit(f"{other}.shop.dbo.events"))
     feeds.orders_changes(spark, sf_dir).unionByName(bad).write.parquet(folder)
     second = feeds.shop_source(spark).withColumn("tenant_id", F.lit("T2")).withColumn("source_id", F.lit("other"))
     started = streams.stream_quarantine(
-        sources.stream_change_feed(spark, folder), feeds.shop_source(spark).unionByName(second), path, run_folder(spark, "held"),
+        sources.stream_change_feed(spark, folder), feeds.shop_source(spark).unionByName(second), path, waiting,
         run_folder(spark, "checkpoint"), available_now=True)
     started.awaitTermination()
-    return storage.read_history(spark, path).select("event_id", "operation")
+    return storage.read_history(spark, path), storage.read_snapshot(spark, waiting)
+
+
+@query("stream_quarantine", _sql("SELECT event_id, operation FROM f1", "f1"))
+def _(spark, sf_dir):
+    return _quarantined(spark, sf_dir)[0].select("event_id", "operation")
+
+
+@query("stream_quarantine_held", _sql("""
+  SELECT 'history' AS place, count(*) AS records, count(*) FILTER (before_json IS NOT NULL) AS marked FROM f1
+  UNION ALL SELECT 'held', count(*), count(*) FILTER (eid % 50 = 1) FROM f2""", "f1", "f2"))
+def _(spark, sf_dir):
+    """Nothing is skipped: what is not in the history is held, tombstones (counted here as marked) too."""
+    stored, held = _quarantined(spark, sf_dir)
+
+    def counted(rows, place, marked):
+        return rows.agg(F.count(F.lit(1)).alias("records"), F.count_if(marked).alias("marked")).select(F.lit(place).alias("place"), "records", "marked")
+
+    return counted(stored, "history", F.col("before_json").isNotNull()).unionByName(counted(held, "held", F.col("value").isNull()))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtrail.functions import names
+from rowtrail.functions.sizing import bounded_broadcast
 from rowtrail.operators import changes, history
 from rowtrail.operators.monitor import status_merge
 from rowtrail.operators.wire import wire_decode
@@ -117,14 +118,15 @@ def stream_status(metrics: DataFrame, path: str, checkpoint: str, available_now:
 
 
 def stream_quarantine(feed: DataFrame, sources: DataFrame, history_path: str, held_path: str, checkpoint: str,
-                      available_now: bool = False, interval: str = "1 second",
-                      heartbeat_table: str = names.HEARTBEAT_TABLE) -> StreamingQuery:
+                      available_now: bool = False, interval: str = "1 second", heartbeat_table: str = names.HEARTBEAT_TABLE,
+                      wire_path: str | None = None, read_activation=None, fences: dict[str, int] | None = None) -> StreamingQuery:
     """Like :func:`stream_history`, but a source with a broken record is held while the others go on.
 
     All of a failing source's records wait, in ``held_path``, and are tried again with the next batch;
     none is skipped. Batch N reads the held snapshot before N and writes snapshot N.
     """
     def deliver(batch: DataFrame, batch_id: int) -> None:
+        _check_fence(read_activation() if read_activation else None, fences)
         spark = batch.sparkSession
         incoming = _captured(batch)
         waiting = storage.read_snapshot(spark, held_path, below=batch_id)
@@ -133,12 +135,14 @@ def stream_quarantine(feed: DataFrame, sources: DataFrame, history_path: str, he
         try:
             broken = F.col("verdict").isNotNull() & ~changes._is_drop(F.col("verdict"))
             # A record without a destination has no connector; all such records are one source, and compare as equal.
-            failing = examined.filter(broken).select(F.col("_connector").alias("_failing")).distinct()
-            of_failing = F.col("_connector").eqNullSafe(F.col("_failing"))
-            good = examined.join(failing, of_failing, "left_anti")
-            held = examined.join(failing, of_failing, "left_semi").select(*incoming.columns)
-            storage.write_snapshot(held, held_path, batch_id)
-            storage.save_events(changes.history_events(good), history_path, batch_id, _stream_id(batch, checkpoint))
+            failing = examined.filter(broken).select(F.col("_connector").alias("_failing"), F.lit(True).alias("_held")).distinct()
+            flagged = examined.join(bounded_broadcast(failing), F.col("_connector").eqNullSafe(F.col("_failing")), "left")
+            storage.write_snapshot(flagged.filter("_held").select(*incoming.columns), held_path, batch_id)
+            good = flagged.filter("_held IS NULL").drop("_failing", "_held")
+            stream_id = _stream_id(batch, checkpoint)
+            saved = storage.save_events(changes.history_events(good), history_path, batch_id, stream_id)
+            if wire_path is not None:
+                storage.publish_wire(saved.select(*changes.HISTORY_COLUMNS), sources, wire_path, batch_id, stream_id)
         finally:
             examined.unpersist()
 

@@ -108,15 +108,20 @@ def test_a_failing_source_is_held_and_released(spark, tmp_path):
     both = source(spark).unionByName(source(spark, tenant="OTHER"))
     path = tmp_path / "feed"
 
-    def run(sources):
+    def run(sources, **options):
         streams.stream_quarantine(
-            inputs.stream_change_feed(spark, str(path)), sources, str(tmp_path / "history"), str(tmp_path / "held"), str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+            inputs.stream_change_feed(spark, str(path)), sources, str(tmp_path / "history"), str(tmp_path / "held"), str(tmp_path / "checkpoint"), available_now=True,
+            wire_path=str(tmp_path / "wire"), **options).awaitTermination()
 
     stranger = ('{"id":50}', value(after={}, serial=50, table="Late"))
     feed(spark, *records(0, 3)).unionByName(feed(spark, *(records(10, 13) + [stranger]), tenant="OTHER")).coalesce(1).write.parquet(str(path))
-    run(both)
+    current = spark.createDataFrame([("hr", 8)], "source_id string, fence bigint")
+    with pytest.raises(Exception, match="SOURCE_FENCED"):
+        run(both, read_activation=lambda: current, fences={"hr": 7})
+    run(both, read_activation=lambda: current, fences={"hr": 8})
     assert ids(spark, tmp_path / "history") == [0, 1, 2]
     assert storage.read_snapshot(spark, str(tmp_path / "held")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "wire")).count() == 3
     # Once the table is allowed, what waited goes through with the next batch, before nothing else is lost.
     feed(spark, *records(13, 14), tenant="OTHER").coalesce(1).write.mode("append").parquet(str(path))
     run(source(spark).unionByName(source(spark, tenant="OTHER", tables=("dbo.Contract", "dbo.Late"))))
