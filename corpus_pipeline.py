@@ -25,8 +25,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that stand on many sites."""
-    return line_dedup.remove_boilerplate(docs)
+    """All documents, without any line that stands on many sites; near-duplicates count for one site, so copying makes no line wide."""
+    return line_dedup.remove_boilerplate(docs, max_removed=1, groups=near_dedup.groups(docs))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,10 @@ HyperLogLog sketch of the sites is built for every line hash and sketches merge
 third of all documents sends one sketch per task. Lines whose estimate lies within ``BAND`` of the threshold are
 counted exactly; those above are boilerplate, and go from every document.
 
-A document most of which (over ``MAX_REMOVED`` of its characters) would go is itself a copy of a document on other sites, not a page
-with boilerplate; it is left whole for de-duplication of documents.
+Without ``groups`` every row counts for its site, and a document that would lose over ``MAX_REMOVED`` of its characters is left
+whole: it may be a copy of a document on other sites, but a short page made mostly of boilerplate is left whole too. With
+``groups`` of copies each group counts for one site only, so copying makes no line wide; then no such switch is needed
+(``max_removed=1``) and every wide line goes.
 
 Cases: a null text stays null; lines without a word are kept and have no spread; a null site counts as no site; repeated rows
 and repeated lines count their site once; an empty table gives none; extra columns pass through. Rows of one id, or without one,
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtrail.llm.common import free_name, held
+from rowtrail.llm.common import free_name, held, small_or_shuffled
 
 MIN_SITES = 10
 #: Relative distance from the threshold within which sites are counted exactly: over four standard errors of the sketch.
@@ -55,6 +57,22 @@ def document_key() -> Column:
     return F.xxhash64("doc_id", "text").alias("key")
 
 
+def one_site_each(found: DataFrame, groups: DataFrame) -> DataFrame:
+    """The lines of ``found`` that count: of each group of documents those on one of its sites; groups: (key, component).
+
+    The site is the one with the fewest documents, so that those of a busy mirror count for the sites it mirrors. A document in
+    no group is its own.
+    """
+    owned = found.filter("site IS NOT NULL").select("key", "site").distinct().join(small_or_shuffled(groups), "key", "left")
+    component = F.coalesce("component", "key")
+    owned = held(owned.select("key", "site", component.alias("component"), F.xxhash64(component, "site").alias("pick")), "group-sites")
+    busy = small_or_shuffled(held(owned.groupBy("site").agg(F.count(F.lit(1)).alias("busy")), "busy-sites"))
+    # A pick stands for its group and site: the other sites are told from the chosen one without joining by group.
+    chosen = owned.join(busy, "site").groupBy("component").agg(F.min(F.struct("busy", "pick")).alias("least")).select("least.pick")
+    passed = held(owned.join(chosen, "pick", "left_anti").select("key", "site"), "other-sites")
+    return found.join(small_or_shuffled(passed), ["key", "site"], "left_anti")
+
+
 def spread(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """Hashes of the lines that stand on ``min_sites`` sites or more: (line)."""
     sited = found.filter("site IS NOT NULL").select("line", "site")
@@ -67,11 +85,15 @@ def spread(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return held(estimated.filter(F.col("sites") > min_sites * (1 + BAND)).select("line").unionByName(exact), "boilerplate")
 
 
-def remove_boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_removed: float = MAX_REMOVED) -> DataFrame:
-    """The documents with the same columns, texts without lines of wide spread; ``n_chars``, if there, is counted anew."""
+def remove_boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_removed: float = MAX_REMOVED, groups: DataFrame | None = None) -> DataFrame:
+    """The documents with the same columns, texts without lines of wide spread; ``n_chars``, if there, is counted anew.
+
+    ``groups`` of copies, (key, component) by ``document_key``, count for one site each.
+    """
     found = listed(documents, site)
+    counted = found if groups is None else one_site_each(found, groups)
     # Which hashes go from which document: narrow rows, and only of documents that lose any.
-    gone = found.join(spread(found, min_sites), "line", "left_semi").groupBy("key").agg(F.collect_set("line").alias("gone"))
+    gone = found.join(spread(counted, min_sites), "line", "left_semi").groupBy("key").agg(F.collect_set("line").alias("gone"))
     prefix = free_name(documents, "lines")
     key, drop, left = f"{prefix} key", f"{prefix} drop", f"{prefix} left"
     joined = documents.withColumn(key, document_key()).join(gone.select(F.col("key").alias(key), F.col("gone").alias(drop)), key, "left")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtrail.llm.common import free_name, held, small_batches, small_or_shuffled
+from rowtrail.llm.line_dedup import document_key
 
 BANDS, ROWS = 40, 5
 #: Signatures that agree in less than this share differ from 0.8 by five standard errors of 200 minima.
@@ -257,6 +258,13 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(key, component) of the documents that are linked with others, by ``document_key``: rows of one id and text are one."""
+    found = near_duplicates(documents.select(document_key().alias("doc_id"), "text"), width, percent)
+    linked = held(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).distinct(), "linked")
+    return linked.unionByName(linked.select(F.col("component").alias("key"), "component").distinct())
+
+
 def keep_first(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents that lead their component, with the columns they came with; of rows sharing an id, all stay."""
     name = free_name(documents, "near")

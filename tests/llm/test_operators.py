@@ -96,6 +96,22 @@ def test_lines_on_many_sites_go(spark, odd):
     assert "reserved" not in kept[100] and "only on nine" in kept[200] and kept[300] == "the same text\non every site"
 
 
+def test_copies_make_no_line_wide_and_every_wide_line_goes(spark):
+    article = [" ".join(f"w{i}-{j}" for j in range(20)) for i in range(12)]
+    text = lambda edit: "\n".join(line if i != edit else "an edited line" for i, line in enumerate(article))
+    copies = [(i, text(None), "en", f"s{i}", 0) for i in range(12)]
+    near = [(20 + i, text(i) + f"\nits own end {i}", "en", f"s{i}", 0) for i in range(12)]
+    nameless = [(None, "a text without an id\non every site", "en", f"s{i}", 0) for i in range(12)]
+    pages = [(100 + i, f"own {i}" + ("\nAll rights reserved by all of the owners of this site" if i % 5 else ""), "en", f"s{i % 12}", 0) for i in range(48)]
+    mirrored = [(200 + i, f"page number {i} of a mirror\nOn every site and on its mirror", "en", site, 0) for i in range(24) for site in (f"s{i % 12}", "a mirror")]
+    frame = spark.createDataFrame(copies + near + nameless + pages + mirrored, SCHEMA)
+    cleaned = corpus_pipeline.held(corpus_pipeline.without_boilerplate(spark, frame, SF_DIR), "test-cleaned")
+    want = Counter((r[0], r[1]) for r in copies + near + nameless) + Counter((r[0], r[1].split("\n")[0]) for r in pages + mirrored)
+    assert Counter((r.doc_id, r.text) for r in cleaned.collect()) == want
+    kept = [r.doc_id for r in corpus_pipeline.without_near_duplicates(spark, cleaned, SF_DIR).collect()]
+    assert [d for d in kept if d is not None and d < 100] == [0]
+
+
 def test_main_text_is_the_article(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     html_of = {r.page_id: r.html for r in pages.collect()}
