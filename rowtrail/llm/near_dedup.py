@@ -19,7 +19,7 @@ Nothing is collected but counts.
 
 Cases: a null text or one without words has the empty set and is linked with nothing; with fewer words than a
 shingle the whole sequence is one shingle; a row with a null id gets a null component and is kept; rows that share an id are one node;
-extra columns pass through ``keep_first`` and play no part.
+extra columns pass through ``keep_first`` and play no part. There each distinct pair of id and text is a node of its own, null ids too.
 """
 
 from __future__ import annotations
@@ -266,7 +266,15 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def keep_first(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that lead their component, with the columns they came with; of rows sharing an id, all stay."""
+    """One row of each component, with the columns it came with: of the least id, null ids last; rows of one id and text are one node."""
     name = free_name(documents, "near")
-    found = near_duplicates(documents, width, percent).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(name)).distinct()
-    return documents.join(found, documents["doc_id"] == found[name], "left_semi").unionByName(documents.filter("doc_id IS NULL"))
+    ids = held(documents.select("doc_id", document_key()).groupBy("key", "doc_id").count(), "nodes")
+    linked = held(ids.join(groups(documents, width, percent), "key"), "linked-nodes")
+    first = linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("first")).select("first.key")
+    led = held(linked.select("key").join(first, "key", "left_anti"), "led")
+    kept = documents.withColumn(name, document_key()).join(small_or_shuffled(led.withColumnRenamed("key", name)), name, "left_anti")
+    repeated = held(ids.filter("count > 1").select(F.col("key").alias(name)), "repeated-nodes")
+    if not repeated.isEmpty():
+        again = small_or_shuffled(repeated)
+        kept = kept.join(again, name, "left_anti").unionByName(kept.join(again, name, "left_semi").dropDuplicates([name]))
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -190,6 +190,16 @@ def test_near_duplicates_equal_all_pairs(spark, odd, documents):
     assert kept.columns == clashing(documents).columns and kept.count() == sum(n for k, n in brute_components([tuple(r) for r in documents.select("doc_id", "text").collect()], 5, 80).items() if k[3])
 
 
+def test_one_row_of_each_group_is_kept_whatever_its_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    text = lambda edit: " ".join([*words[:edit], "edited", *words[edit + 1:]])
+    rows = [(None, text(0)), (None, text(0)), (None, text(59)), (3, text(1)), (3, text(1)), (9, text(58)), (None, "a text of nobody"), (None, "a text of nobody"), (4, "another"), (4, "and another, under the same id"), (5, None), (6, None)]
+    frame = spark.createDataFrame([(d, t, "en", f"s{i}", 0) for i, (d, t) in enumerate(rows)], SCHEMA)
+    got = near_dedup.keep_first(frame)
+    assert got.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter({(3, text(1)), (None, "a text of nobody"), (4, "another"), (4, "and another, under the same id"), (5, None), (6, None)})
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 103), (103, 101)] + [(7, 7)]
     got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
