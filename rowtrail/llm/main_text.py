@@ -45,6 +45,10 @@ ALWAYS = set(
     "subscribe signup login popup modal".split())
 UNLESS_CONTENT = set("header masthead topbar footer notice notices banner alert widget toolbar pagination pager search overlay".split())
 CONTENT = set("article post entry content main body story text page layout wrapper container has with no without".split())
+#: Parts of a page that an element around the text may be named after (layout with-sidebar, post comments-open): beside a class that names content they hide nothing.
+LAYOUT = set("sidebar sidebars comment comments share sharing social related".split())
+HOLDERS = CONTENT - set("wrapper container has with no without".split())
+STATE_BEFORE, STATE_AFTER = set("has with no without".split()), set("open opened closed enabled disabled".split())
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "respond"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog".split())
 
@@ -75,6 +79,12 @@ def default(kind: str) -> float:
     return OTHER_BLOCK if name in BLOCKS else INLINE
 
 
+def stated(words: list[str]) -> bool:
+    """Whether a class says of a page that it has or lacks its furniture (no-sidebar, comments-open), rather than being it."""
+    places = [k for k, word in enumerate(words) if word in ALWAYS]
+    return bool(places) and (words[-1] in STATE_AFTER or not STATE_BEFORE.isdisjoint(words[:places[0]]))
+
+
 def furniture(attributes: str) -> set[str]:
     """Words in an element's class, id or role that name page furniture."""
     found: set[str] = set()
@@ -83,9 +93,12 @@ def furniture(attributes: str) -> set[str]:
         if name.lower() == "role":
             found |= ROLES & {value.strip().lower()}
             continue
-        for part in value.split():
-            words = {word.lower() for word in _WORDS.findall(part)}
-            found |= words & ALWAYS
+        parts = [[word.lower() for word in _WORDS.findall(part)] for part in value.split()]
+        holds = any(CONTENT.issuperset(words) and not HOLDERS.isdisjoint(words) for words in parts)
+        for listed in parts:
+            words = set(listed)
+            if not stated(listed):
+                found |= words & (ALWAYS - LAYOUT if holds else ALWAYS)
             if not words & CONTENT:
                 found |= words & UNLESS_CONTENT
     return found

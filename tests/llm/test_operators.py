@@ -130,6 +130,18 @@ def test_main_text_is_the_article(spark):
     assert sorted(r[0] for r in empty.select(main_text.extract_column(spark, F.col("html"), main_text.learn_weights(empty))).collect()) == ["", "", "x"]
 
 
+@pytest.mark.parametrize("named", ["layout with-sidebar", "content no-sidebar", "layout-has-sidebar", "post comments-open", "entry share", "content sidebar-right", "page no-related ads-disabled"])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_layout_words_beside_content_hide_no_text(named, tag):
+    page = f"<body><nav>one two</nav><div class='{named}'><{tag}><p>The text of the page, with several words.<p>More of it.</{tag}><div class='sidebar'>links and links</div></div></body>"
+    assert main_text.extract(page, {}) == "The text of the page, with several words.\nMore of it."
+
+
+@pytest.mark.parametrize("named", ["sidebar", "comments", "comments-wrapper", "main-sidebar", "comments container", "related-posts", "post-share", "content ads", "page-nav", "cookie-notice open"])
+def test_furniture_named_with_a_content_word_stays_hidden(named):
+    assert main_text.extract(f"<body><p>The text.</p><div class='{named}'>words of no text</div></body>", {}) == "The text."
+
+
 def test_fingerprints_follow_the_successor(spark, odd, documents):
     for frame in (documents, odd, clashing(odd), odd.limit(0), odd.filter("doc_id = 7")):
         rows = [(r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()]
