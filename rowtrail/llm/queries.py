@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rowtrail.llm import byte_bpe, fingerprints, language_id, line_dedup, main_text, mixing, near_dedup, quality_classifier, quality_rules, sharding
+from rowtrail.llm import (
+    byte_bpe, conversations, fingerprints, hard_negatives, language_id, line_dedup, main_text, mixing, near_dedup, quality_classifier, quality_rules, sharding,
+    token_stream)
 from rowtrail.llm.common import held, remainder, small_or_shuffled, table
+from rowtrail.session import run_folder
 
 SHARDS = 40
 
@@ -71,6 +74,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source", "fraction")
 
 
+def op11_token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_folder(spark, "token-stream")
+    token_stream.write_stream(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_stream.document_digests(spark, path)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings"), moved)
+    return hard_negatives.mine(rows, rows.filter("vec_id % 100 = 0"))
+
+
 #: Links by all pairs that share a shingle; components by walking from each document.
 NEAR_SQL = r"""
 WITH RECURSIVE worded AS (
@@ -90,6 +109,20 @@ SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language_id, op2_line_dedup, op3_main_text, op4_fingerprints, op5_near_dedup, op6_quality_classifier, op7_mixing, op8_byte_bpe, op9_quality_rules, op10_sharding)
+        op1_language_id, op2_line_dedup, op3_main_text, op4_fingerprints, op5_near_dedup, op6_quality_classifier, op7_mixing, op8_byte_bpe, op9_quality_rules, op10_sharding,
+        op11_token_stream, op12_conversation_repair, op13_hard_negatives)
 } | {"pipeline": corpus_pipeline.run}
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op5_near_dedup": NEAR_SQL, "op7_mixing": mixing.SQL}
+#: Every score of every anchor, ranked.
+NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+ORACLES: dict[str, str] = {"op13_hard_negatives": NEGATIVES_SQL, "op2_line_dedup": line_dedup.SQL, "op5_near_dedup": NEAR_SQL, "op7_mixing": mixing.SQL}

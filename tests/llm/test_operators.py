@@ -39,7 +39,7 @@ def clashing(frame):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 def test_byte_bpe_equals_the_public_library(spark, odd, documents):
