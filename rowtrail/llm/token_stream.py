@@ -2,7 +2,7 @@
 
 Two passes over the texts. The first counts tokens, for the frequency table that all blocks share. The second deals the documents out
 by ranges of their id, so that partition after partition holds them in order, and each task writes its part of the stream (a shard) as
-blocks of 262,144 ids, coded by :mod:`rowtrail.llm.rans`. No task holds more than one block and one batch of documents.
+blocks of 2^20 ids, coded by :mod:`rowtrail.llm.rans`. No task holds more than one block and one batch of documents.
 
 The stream is a folder of Parquet tables: ``table`` (symbol, count), ``blocks`` (one row a block: shard, block, first, tokens, payload,
 documents) and ``shards`` (shard, tokens, first). ``payload`` is a whole block with its own head, checkpoints and checksums. ``documents`` says
@@ -16,8 +16,8 @@ their text, and alike in all where their text is equal too; long texts run over
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,61 +30,185 @@ from rowtrail.llm import rans
 from rowtrail.llm.common import small_batches, small_or_shuffled
 
 END_ID = 1
-#: Pieces of text a worker remembers the ids of.
+#: Pieces of text in each of the two generations that a worker remembers.
 MEMORY = 300_000
+#: Texts that a worker splits at once.
+BATCH_BYTES = 8 << 20
+#: Fixed: letters of one and two bytes that stay single letters in lower case.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc9][\x80-\xbf])+")
 _BLOCKS = "shard int, block int, first long, tokens int, payload binary, documents array<struct<doc_id:bigint,start:bigint,tokens:bigint>>"
 _BLOCK_ARROW = pa.schema([
     ("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("tokens", pa.int32()), ("payload", pa.binary()),
     ("documents", pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("tokens", pa.int64())])))])
 
 
+def _classes() -> np.ndarray:
+    """What each byte of lower-cased text is: 0 white space, 1 letter or part of a character beyond ASCII, 2 digit, 3 other."""
+    found = np.full(256, 3, "uint8")
+    found[list(b" \t\n\x0b\x0c\r")] = 0
+    found[list(range(ord("a"), ord("z") + 1)) + list(range(128, 256))] = 1
+    found[list(range(ord("0"), ord("9") + 1))] = 2
+    return found
+
+
+def _piece_starts(text: np.ndarray, classes: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Where pieces begin in lower-cased texts that lie one behind the other.
+
+    Fixed: the pattern of the vocabulary, for ASCII and Latin letters: a contraction, a run of letters, one digit, or a run of other characters. Text
+    between white space that has other characters stays in one piece, which the tokenizer splits. White space is a piece without ids.
+    """
+    n, kind = len(text), classes[text]
+    begins = np.ones(n + 1, "bool")
+    begins[1:n] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begins[documents] = True
+    # 's 't 'm 'd 're 've 'll, where the apostrophe begins a piece and letters follow it at once
+    marks = np.nonzero(text == ord("'"))[0]
+    marks = marks[begins[marks] & (marks + 1 < n)]
+    marks = marks[begins[marks + 1] & (kind[marks + 1] == 1)]
+    if len(marks):
+        within = np.zeros(n + 1, "bool")
+        within[documents] = True
+        marks = marks[~within[marks + 1]]
+        padded = np.concatenate([text, np.zeros(3, "uint8")])
+        first, second = padded[marks + 1], padded[marks + 2]
+        size = np.where(np.isin(first, list(b"stmd")), 1, 0)
+        for letters in (b"re", b"ve", b"ll"):
+            size[(first == letters[0]) & (second == letters[1]) & ~within[np.minimum(marks + 2, n)]] = 2
+        marks, size = marks[size > 0], size[size > 0]
+        begins[marks + 1] = False
+        begins[marks + 1 + size] = True
+    wide = text >= 128
+    if wide.any():
+        # Letters of two bytes, U+00C0 to U+027F, need no care but for two signs among them and for one that lower case parts in two.
+        lead = (text >= 0xC3) & (text <= 0xC9)
+        after = np.append(text[1:], 0)
+        lead &= ~((text == 0xC3) & ((after == 0x97) | (after == 0xB7))) & ~((text == 0xC4) & (after == 0xB0))
+        wide &= ~lead
+        wide[1:] &= ~lead[:-1]
+    if wide.any():
+        spaces = kind == 0
+        # Chunks between white space, and whether they have such a character
+        edges = np.zeros(n, "bool")
+        edges[1:] = spaces[1:] != spaces[:-1]
+        edges[0] = True
+        edges[documents[documents < n]] = True
+        heads = np.nonzero(edges)[0]
+        has = np.logical_or.reduceat(wide, heads)
+        begins[:n] &= edges | ~np.repeat(has, np.diff(heads, append=n))
+    return np.nonzero(begins[:n])[0]
+
+
 class Pieces:
-    """The tokenizer of one worker, over pieces of text between ASCII white space.
+    """The tokenizer of one worker, over pieces of text.
 
-    The vocabulary drops white space and no merge, composition or pattern of its reaches across it, so a text's ids are those of its pieces, one after
-    the other; a piece is encoded once. Strings of special tokens are ordinary text.
+    The vocabulary drops white space, and no merge, composition or pattern of its reaches across it or across pieces, so a text's ids are those of
+    its pieces, one after the other. The ids of pieces met lately are remembered in two generations. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Fixed: how the vocabulary marks the ends of words.
+        self.ending = np.zeros(max(vocabulary.values()) + 1, "bool")
+        self.ending[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.classes = _classes()
+        self.lower = np.frombuffer(bytes(range(256)).lower(), "uint8")
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces as little-endian 32-bit integers."""
+        if len(self.recent) > MEMORY:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        fresh = [piece for piece in pieces if piece not in recent and recent.setdefault(piece, older.get(piece)) is None]
+        plain = [piece for piece in fresh if (piece.isascii() and not piece.isspace()) or LETTERS.fullmatch(piece)]
+        for start in range(0, len(plain), 1024):
+            # Such a piece is one word to the tokenizer, and ends with an id that ends a word.
+            part = plain[start : start + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.nonzero(self.ending[ids])[0] + 4).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a piece of text is not one word of the tokenizer")
+            raw, begin = ids.tobytes(), 0
+            for piece, end in zip(part, ends, strict=True):
+                recent[piece] = raw[begin:end]
+                begin = end
+        for piece in fresh:
+            if recent[piece] is None:
+                recent[piece] = np.array(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return [self.recent[piece] for piece in pieces]
+
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Of a column of binary texts: which distinct piece each piece is, the first piece of each text and the end, and the ids of the distinct pieces."""
+        texts = texts.cast(pa.large_binary())
+        whole = pa.concat_arrays([texts.fill_null(b"")])
+        places = np.frombuffer(whole.buffers()[1], "int64", len(whole) + 1, whole.offset * 8)
+        data = self.lower[np.frombuffer(whole.buffers()[2] or b"", "uint8")[places[0] : places[-1]]]
+        places = places - places[0]
+        if not len(data):
+            return np.empty(0, "int64"), np.zeros(len(texts) + 1, "int64"), []
+        starts = _piece_starts(data, self.classes, places)
+        offsets = np.append(starts, len(data)).astype("int64")
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        return pieces.indices.to_numpy(), np.searchsorted(starts, places), self.ids_of(pieces.dictionary.to_pylist())
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by the end id, and how many each has."""
+        which, firsts, known = self.split(texts)
+        sizes = np.fromiter((len(x) // 4 for x in known), "int64", len(known))
+        flat, begins = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ids = flat[np.repeat(begins[which] - before[:-1], lengths) + np.arange(before[-1])]
+        counts = np.diff(before[firsts])
+        return np.insert(ids, before[firsts[1:]], end_id).astype("<u4"), counts + 1
+
+
+class Vocabulary:
+    """What is sent to workers: the tokenizer's file. A worker makes its tokenizer once, and keeps the pieces it remembers from task to task."""
 
-    def learn(self, pieces: set[bytes]) -> None:
-        if len(self.known) + len(pieces) > MEMORY:
-            self.known.clear()
-        fresh = [piece for piece in pieces if piece not in self.known]
-        for start in range(0, len(fresh), 4096):
-            part = fresh[start : start + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, text: bytes | None) -> np.ndarray:
-        pieces = (text or b"").split()
-        self.learn(set(pieces))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
-
-
-def token_counts(documents: DataFrame, model, end_id: int = END_ID) -> DataFrame:
-    """How often each id occurs in the stream: (symbol, count). A task sends one row for each id it met."""
+    def __init__(self, model: str):
+        self.model = model
+        self._pieces: Pieces | None = None
+
+    def __getstate__(self) -> dict:
+        return {"model": self.model, "_pieces": None}
+
+    @property
+    def pieces(self) -> Pieces:
+        if self._pieces is None:
+            self._pieces = Pieces(self.model)
+        return self._pieces
+
+
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have a few MB, so that pieces repeat in them."""
+    waiting, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            size += batch.nbytes
+        if size >= BATCH_BYTES:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            waiting, size = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+
+def token_counts(documents: DataFrame, vocabulary, end_id: int = END_ID) -> DataFrame:
+    """How often each id occurs in the stream: (symbol, count). A task sends one row for each id it met. ``vocabulary``: a broadcast one."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, total, ends = Pieces(model.value), np.zeros(end_id + 1, "int64"), 0
-        for batch in batches:
-            met: Counter[bytes] = Counter()
-            for text in batch.column(0).to_pylist():
-                met.update((text or b"").split())
-            ends += batch.num_rows
-            pieces.learn(set(met))
-            ids = [np.frombuffer(pieces.known[piece], "<u4") for piece in met]
-            if not ids:
-                continue
-            weights = np.repeat(np.fromiter(met.values(), "float64", len(met)), [len(x) for x in ids])
-            seen = np.bincount(np.concatenate(ids), weights).astype("int64")
-            if len(seen) > len(total):
-                total = np.pad(total, (0, len(seen) - len(total)))
-            total[: len(seen)] += seen
-        total[end_id] += ends
+        total = np.zeros(end_id + 1, "int64")
+        for batch in _larger(batches):
+            which, _, known = vocabulary.value.pieces.split(batch.column(0))
+            times = np.bincount(which, minlength=len(known))
+            seen = np.bincount(np.frombuffer(b"".join(known), "<u4"), np.repeat(times, [len(x) // 4 for x in known]), minlength=len(total)).astype("int64")
+            seen[: len(total)] += total
+            total = seen
+            total[end_id] += batch.num_rows
         symbols = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.int64()), pa.array(total[symbols])], ["symbol", "count"])
 
@@ -127,17 +251,18 @@ def write_stream(spark: SparkSession, documents: DataFrame, tokenizer_path: str,
     """
     small_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
-        model = spark.sparkContext.broadcast(file.read())
-    token_counts(documents, model, end_id).write.parquet(f"{path}/table")
+        vocabulary = spark.sparkContext.broadcast(Vocabulary(file.read()))
+    token_counts(documents, vocabulary, end_id).write.parquet(f"{path}/table")
     shipped = spark.sparkContext.broadcast(_read_table(spark, path))
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, writer, end = Pieces(model.value), None, np.array([end_id], "<u4")
-        for batch in batches:
-            if writer is None and batch.num_rows:
+        writer = None
+        for batch in _larger(batches):
+            if writer is None:
                 writer = _Writer(batch.column(0)[0].as_py(), rans.Table(*shipped.value))
-            for doc_id, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                yield from writer.add(doc_id, np.concatenate([pieces.encode(text), end]))
+            ids, counts = vocabulary.value.pieces.encode(batch.column(2), end_id)
+            for doc_id, own in zip(batch.column(1).to_pylist(), np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                yield from writer.add(doc_id, own)
         if writer is not None and writer.buffered:
             yield writer.flush()
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -108,7 +109,9 @@ def test_stream_is_read_back_from_its_files(spark, texts, tokenizer):
         assert Counter((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found) == plain_stream(rows, tokenizer)
 
 
-def test_any_window_is_read_from_a_checkpoint(spark, texts, tokenizer):
+def test_any_window_is_read_from_a_checkpoint(spark, texts, tokenizer, monkeypatch):
+    monkeypatch.setattr(rans, "CHECKPOINT_STEPS", 64)
+    monkeypatch.setattr(rans, "BLOCK_SYMBOLS", 1 << 18)
     path = written(spark, texts)
     every = [i for _, text in sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0)) for i in tokenizer.encode(text or "", add_special_tokens=False).ids + [1]]
     assert len(every) > 2 * rans.BLOCK_SYMBOLS
@@ -117,6 +120,28 @@ def test_any_window_is_read_from_a_checkpoint(spark, texts, tokenizer):
         assert [i for p in parts for i in p.ids] == every[first:last] and parts[0].start == first
 
 
+def test_pieces_equal_the_tokenizer(tokenizer):
+    draw = random.Random(4)
+    parts = ["a", "B", "s", "t", "re", "ve", "ll", "m", "d", "'", "'", "'s", "'ll", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "1", "23", "!", "..", "_", "-", "<|endoftext|>", "\x00"]
+    parts += ["é", "É", "ß", "İ", "Σ", "日", "😀", "e\u0301", "\u0301", "\u212a", "ﬁ", "×", "÷", "ñ", "ŉ", "ı", "Ǆ", "ɐ", "ʰ", "ª", "İ!", "\u2003"]
+    pieces = token_stream.Pieces(tokenizer.to_str())
+    for _ in range(500):
+        texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(draw.randint(1, 20))]
+        column = pa.array([t.encode() if t or draw.random() < 0.5 else None for t in texts], pa.binary())
+        first = draw.randint(0, len(texts) - 1)
+        ids, counts = pieces.encode(column[first:], 1)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts[first:]]
+
+
+def test_remembered_pieces_are_forgotten_in_turn(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_stream, "MEMORY", 5)
+    pieces = token_stream.Pieces(tokenizer.to_str())
+    for k in range(20):
+        texts = [f"word{k} of Many, and a few é{k % 3} more {k}"]
+        assert pieces.encode(pa.array([texts[0].encode()]), 1)[0].tolist() == tokenizer.encode(texts[0], add_special_tokens=False).ids + [1]
+    assert len(pieces.recent) + len(pieces.older) < 40
+
+
 def test_token_stream_query_equals_the_library(spark, tokenizer):
     rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect()
     found = queries.op11_token_stream(spark, SF_DIR).collect()
