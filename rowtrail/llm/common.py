@@ -36,6 +36,12 @@ def held(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Remove a step that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_or_shuffled(frame: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a table of ids and flags if it is counted to be small; else no hint."""
     return F.broadcast(frame) if frame.limit(max_rows + 1).count() <= max_rows else frame

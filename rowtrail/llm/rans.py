@@ -13,8 +13,8 @@ import zlib
 
 import numpy as np
 
-LANES = 1024
-#: Steps from one checkpoint to the next: 2^18 symbols.
+LANES = 512
+#: Steps from one checkpoint to the next: 2^17 symbols.
 CHECKPOINT_STEPS = 256
 BLOCK_SYMBOLS = LANES * CHECKPOINT_STEPS * 4
 #: Fixed: how a block begins, and the version of its layout.

@@ -1,8 +1,8 @@
 """Documents as one stream of token ids in compressed blocks that can be read from any place, in parallel.
 
-Two passes over the texts. The first counts tokens, for the frequency table that all blocks share. The second deals the documents out
-by ranges of their id, so that partition after partition holds them in order, and each task writes its part of the stream (a shard) as
-blocks of 2^20 ids, coded by :mod:`rowtrail.llm.rans`. No task holds more than one block and one batch of documents.
+Documents are dealt out by ranges of their id, so that partition after partition holds them in order. Each task writes the ids of its part of the
+stream (a shard) as blocks of 2^19 plain ids; no task holds more than one block and a few MB of documents. All ids are counted from these, for the frequency
+table that all blocks share, and each block is coded by :mod:`rowtrail.llm.rans`. The plain blocks then go. Texts are split and encoded once.
 
 The stream is a folder of Parquet tables: ``table`` (symbol, count), ``blocks`` (one row a block: shard, block, first, tokens, payload,
 documents) and ``shards`` (shard, tokens, first). ``payload`` is a whole block with its own head, checkpoints and checksums. ``documents`` says
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowtrail.llm import rans
-from rowtrail.llm.common import small_batches, small_or_shuffled
+from rowtrail.llm.common import forget, small_batches, small_or_shuffled
+from rowtrail.session import run_folder
 
 END_ID = 1
 #: Pieces of text in each of the two generations that a worker remembers.
@@ -111,7 +112,8 @@ class Pieces:
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         #: Fixed: how the vocabulary marks the ends of words.
-        self.ending = np.zeros(max(vocabulary.values()) + 1, "bool")
+        self.largest = max(vocabulary.values())
+        self.ending = np.zeros(self.largest + 1, "bool")
         self.ending[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.classes = _classes()
         self.lower = np.frombuffer(bytes(range(256)).lower(), "uint8")
@@ -198,28 +200,26 @@ def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
 
 
-def token_counts(documents: DataFrame, vocabulary, end_id: int = END_ID) -> DataFrame:
-    """How often each id occurs in the stream: (symbol, count). A task sends one row for each id it met. ``vocabulary``: a broadcast one."""
+def _symbol_counts(blocks: DataFrame, kind: str) -> DataFrame:
+    """How often each id occurs in plain blocks: (symbol, count). A task sends one row for each id it met."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(end_id + 1, "int64")
-        for batch in _larger(batches):
-            which, _, known = vocabulary.value.pieces.split(batch.column(0))
-            times = np.bincount(which, minlength=len(known))
-            seen = np.bincount(np.frombuffer(b"".join(known), "<u4"), np.repeat(times, [len(x) // 4 for x in known]), minlength=len(total)).astype("int64")
-            seen[: len(total)] += total
-            total = seen
-            total[end_id] += batch.num_rows
+        total = np.zeros(0, "int64")
+        for batch in batches:
+            for payload in batch.column(0):
+                seen = np.bincount(np.frombuffer(payload.as_buffer(), kind), minlength=len(total))
+                seen[: len(total)] += total
+                total = seen
         symbols = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.int64()), pa.array(total[symbols])], ["symbol", "count"])
+        yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.int64()), pa.array(total[symbols], pa.int64())], ["symbol", "count"])
 
-    return documents.select(F.col("text").cast("binary")).mapInArrow(counted, "symbol long, count long").groupBy("symbol").agg(F.sum("count").alias("count"))
+    return blocks.select("payload").mapInArrow(counted, "symbol long, count long").groupBy("symbol").agg(F.sum("count").alias("count"))
 
 
 class _Writer:
-    """The blocks of one shard."""
+    """The plain blocks of one shard."""
 
-    def __init__(self, shard: int, table: rans.Table):
-        self.shard, self.table = shard, table
+    def __init__(self, shard: int, kind: str):
+        self.shard, self.kind = shard, kind
         self.block = self.first = self.buffered = 0
         self.parts: list[np.ndarray] = []
         self.documents: list[dict] = []
@@ -236,7 +236,7 @@ class _Writer:
 
     def flush(self) -> pa.RecordBatch:
         symbols = np.concatenate(self.parts)
-        row = {"shard": self.shard, "block": self.block, "first": self.first, "tokens": len(symbols), "payload": rans.encode(symbols, self.table), "documents": self.documents}
+        row = {"shard": self.shard, "block": self.block, "first": self.first, "tokens": len(symbols), "payload": symbols.astype(self.kind).tobytes(), "documents": self.documents}
         self.block, self.first, self.buffered, self.parts = self.block + 1, self.first + len(symbols), 0, []
         # The last document goes on in the next block unless it has just ended.
         self.documents = [d for d in self.documents[-1:] if d["start"] + d["tokens"] > self.first]
@@ -252,14 +252,13 @@ def write_stream(spark: SparkSession, documents: DataFrame, tokenizer_path: str,
     small_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         vocabulary = spark.sparkContext.broadcast(Vocabulary(file.read()))
-    token_counts(documents, vocabulary, end_id).write.parquet(f"{path}/table")
-    shipped = spark.sparkContext.broadcast(_read_table(spark, path))
+    kind = "<u2" if max(end_id, vocabulary.value.pieces.largest) < 1 << 16 else "<u4"
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
         for batch in _larger(batches):
             if writer is None:
-                writer = _Writer(batch.column(0)[0].as_py(), rans.Table(*shipped.value))
+                writer = _Writer(batch.column(0)[0].as_py(), kind)
             ids, counts = vocabulary.value.pieces.encode(batch.column(2), end_id)
             for doc_id, own in zip(batch.column(1).to_pylist(), np.split(ids, np.cumsum(counts)[:-1]), strict=True):
                 yield from writer.add(doc_id, own)
@@ -269,7 +268,22 @@ def write_stream(spark: SparkSession, documents: DataFrame, tokenizer_path: str,
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     ordered = rows.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie").select(F.spark_partition_id().alias("shard"), "doc_id", "text")
-    ordered.mapInArrow(written, _BLOCKS).write.parquet(f"{path}/blocks")
+    plain = run_folder(spark, "plain-blocks")
+    ordered.mapInArrow(written, _BLOCKS).write.option("compression", "zstd").parquet(plain)
+    blocks = spark.read.schema(_BLOCKS).parquet(plain)
+    _symbol_counts(blocks, kind).write.parquet(f"{path}/table")
+    shipped = spark.sparkContext.broadcast(_read_table(spark, path))
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = rans.Table(*shipped.value)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                payload = rans.encode(np.frombuffer(row.column(4)[0].as_buffer(), kind), table)
+                yield row.set_column(4, "payload", pa.array([payload], pa.binary()))
+
+    blocks.mapInArrow(coded, _BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    forget(spark, plain)
     sizes = read_blocks(spark, path).groupBy("shard").agg(F.sum("tokens").alias("tokens"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard: partitions of a shuffle, whatever the corpus
     sizes.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0))).write.parquet(f"{path}/shards")
