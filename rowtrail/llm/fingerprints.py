@@ -150,9 +150,9 @@ def runs(documents: DataFrame) -> DataFrame:
     placed = texts.withColumns({"place": F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)), "tie": F.xxhash64("text")})
     slots = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="place", outputCol="slot").transform(placed) if cuts else placed.withColumn("slot", F.lit(0.0))
     ordered = slots.select(F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(len(cuts) - F.col("slot").cast("int")).alias("own"), "doc_id", "tie", "text")
-    # The least of (-id, tie) is a run's first row; null ids form the last run.
-    firsts = sorted(ordered.groupBy("own").agg(F.min(F.struct((-F.col("doc_id")).alias("back"), F.col("tie"))).alias("first")).collect())
-    before = [(row["own"], None if row["first"]["back"] is None else -row["first"]["back"], row["first"]["tie"], firsts[i - 1]["own"]) for i, row in enumerate(firsts)]
+    # The greatest id, then the least tie, is a run's first row; null ids form the last run. The complement turns the order round for every long.
+    firsts = sorted(ordered.groupBy("own").agg(F.min(F.struct(F.bitwise_not("doc_id").alias("back"), F.col("tie"))).alias("first")).collect())
+    before = [(row["own"], None if row["first"]["back"] is None else ~row["first"]["back"], row["first"]["tie"], firsts[i - 1]["own"]) for i, row in enumerate(firsts)]
     spark = documents.sparkSession
     first = spark.createDataFrame(before, "first_own int, first_id long, first_tie long, before int")
     matched = (F.col("own") == F.col("first_own")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tie") == F.col("first_tie"))
@@ -191,7 +191,7 @@ def compare_with_successor(documents: DataFrame) -> DataFrame:
                     rows.append((last_id, len(last_text), digest, written(last_own), written(edited), likeness(last_own, edited), likeness(last_own, own)))
                 waiting = None if guest else (None if pd.isna(doc_id) else int(doc_id), text, third, common, own)
             frame = pd.DataFrame(rows, columns=columns)
-            yield frame.astype({"doc_id": "Int64"})
+            yield frame.assign(doc_id=pd.array([row[0] for row in rows], "Int64"))
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return runs(documents).select("run", "guest", F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(walk, schema)

@@ -43,15 +43,16 @@ def targets(sizes: DataFrame) -> DataFrame:
     by_name = every.orderBy(F.col("source").asc_nulls_last())
     # Sources reach their limit in the order of limit over weight.
     filling = every.orderBy(F.col("limit") / F.col("weight"), "place")
-    before, after = filling.rowsBetween(W.unboundedPreceding, -1), filling.rowsBetween(W.currentRow, W.unboundedFollowing)
+    before = filling.rowsBetween(W.unboundedPreceding, -1)
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     weighed = (
         per_source.withColumn("place", F.row_number().over(by_name) - 1)
         .withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), F.pmod("place", F.lit(len(WEIGHTS))) + 1))
         .withColumn("limit", F.col("source_size") * MAX_RATE))
     left = F.sum("source_size").over(every) - F.coalesce(F.sum("limit").over(before), F.lit(0))
+    waiting = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0))
     level = (
-        weighed.withColumn("level", left.cast("double") / F.sum("weight").over(after).cast("double"))
+        weighed.withColumn("level", left.cast("double") / waiting.cast("double"))
         .withColumn("level", F.first(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.col("level")), ignorenulls=True).over(filling.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))))
     limit = F.col("limit").cast("double")
     return level.select("source", "source_size", F.coalesce(F.least(limit, F.col("level") * F.col("weight")), limit).alias("target"))

@@ -9,8 +9,8 @@ by a hash of their id); every document is scored over its whole text.
 After training, only the difference of the two outputs matters, so each row's vector is multiplied out once
 and scoring adds up one number per feature.
 
-Cases: a null or empty text has no features and gets the trained bias alone; with labels of one kind only, or
-none, every score is 1 (nothing is known against any document); contradictory labels of one id count as their
+Cases: a null or empty text has no features and gets the trained bias alone; with labels of one kind only
+every score is that label, and without labels 0.5; contradictory labels of one id count as their
 least; repeated rows give repeated rows; other columns play no part.
 """
 
@@ -31,6 +31,8 @@ CHARACTER_N = (3, 4)
 MAX_PER_LABEL = 3000
 #: Of a longer training text, so many code points from a place chosen by hash are learned from. Scoring reads whole texts.
 TRAINING_CHARACTERS = 20_000
+#: Score of every text where there is no label to learn from.
+UNKNOWN = 0.5
 UPDATES = 20_000
 MIN_EPOCHS = 4
 RATE = 3.0
@@ -104,10 +106,10 @@ def counted(text: str, features: Features) -> tuple[np.ndarray, np.ndarray]:
     return rows.astype(np.int64), (counts / max(1, counts.sum())).astype(np.float32)
 
 
-def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS, seed: int = SEED) -> tuple[np.ndarray, float] | None:
-    """The weight of each row for label 1 against label 0, and the bias; None if a label is lacking."""
+def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS, seed: int = SEED) -> tuple[np.ndarray, float] | float:
+    """The weight of each row for label 1 against label 0, and the bias; where all labels are one, the score of every text (0.5 without labels)."""
     if len(set(labels)) < 2:
-        return None
+        return float(labels[0]) if labels else UNKNOWN
     random = np.random.default_rng(seed)
     features = Features(buckets)
     rows = [counted(text, features) for text in texts]
@@ -133,10 +135,10 @@ def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS, seed: int =
     return (outputs[:, 1] - outputs[:, 0]).astype(np.float32), float(bias[1] - bias[0])
 
 
-def score(text: str, model: tuple[np.ndarray, float] | None, features: Features) -> float:
+def score(text: str, model: tuple[np.ndarray, float] | float, features: Features) -> float:
     """Softmax probability of label 1 for a whole text."""
-    if model is None:
-        return 1.0
+    if isinstance(model, float):
+        return model
     total, n = 0.0, 0
     for rows in features.rows(text):
         total += float(model[0][rows].sum(dtype=np.float64))

@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rowtrail.llm import byte_bpe, fingerprints, language_id, line_dedup, main_text, mixing, near_dedup, quality_classifier, quality_rules, queries, sharding
+from rowtrail.llm import byte_bpe, common, copies, fingerprints, language_id, line_dedup, main_text, mixing, near_dedup, quality_classifier, quality_rules, queries, sharding
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -68,25 +69,32 @@ def test_language_is_learned_from_labels(spark, odd, documents):
     assert language_id.Identifier([]).identify("text")[2] == "und"
 
 
-def brute_lines(rows, min_sites):
+def brute_lines(rows, min_sites, group=None):
+    """(doc_id, text) without wide lines; ``group`` of a text: texts of one group count for the site of theirs with the fewest rows."""
     form = lambda line: " ".join(WORDS.findall(line)).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    group = group or (lambda text: text)
+    busy = Counter(source for _, text, source in rows if text is not None)
+    owned = defaultdict(set)
+    for _, text, source in rows:
+        if text is not None and source is not None:
+            owned[group(text)].add((busy[source], source))
     sites = defaultdict(set)
     for _, text, source in rows:
-        for line in (text or "").split("\n"):
-            if form(line) and source is not None:
+        if text is not None and source is not None and source == min(owned[group(text)])[1]:
+            for line in text.split("\n"):
                 sites[form(line)].add(source)
     out = Counter()
     for doc_id, text, _ in rows:
-        left = None if text is None else "\n".join(line for line in text.split("\n") if len(sites[form(line)]) < min_sites)
-        out[doc_id, text if text is None or len(left) < len(text) * 0.5 else left] += 1
+        out[doc_id, None if text is None else "\n".join(line for line in text.split("\n") if not form(line) or len(sites[form(line)]) < min_sites)] += 1
     return out
 
 
 def test_lines_on_many_sites_go(spark, odd):
     own = [(100 + i, f"Own text number {i} of its own page, and more of it\nAll  RIGHTS reserved\nsecond own line {i}", "en", f"s{i % 14}", 0) for i in range(40)]
+    short = [(400 + i, f"All rights reserved\n{i}\nall RIGHTS  reserved\n", "en", f"s{i % 14}", 0) for i in range(20)]
     rare = [(200 + i, f"A page of its own, once more, {i}\nonly on nine", "en", f"s{i % 9}", 0) for i in range(30)]
     copies = [(300 + i, "the same text\non every site", "en", f"s{i}", 0) for i in range(14)]
-    frame = spark.createDataFrame(own + rare + copies + ODD, SCHEMA)
+    frame = spark.createDataFrame(own + short + rare + copies + ODD, SCHEMA)
     for given in (frame, clashing(frame), odd.limit(0), odd):
         got = line_dedup.remove_boilerplate(given)
         assert got.columns == given.columns
@@ -94,6 +102,7 @@ def test_lines_on_many_sites_go(spark, odd):
         assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_lines([tuple(r) for r in rows], line_dedup.MIN_SITES)
     kept = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(frame).collect()}
     assert "reserved" not in kept[100] and "only on nine" in kept[200] and kept[300] == "the same text\non every site"
+    assert kept[400] == "0\n", "a page made mostly of boilerplate loses it too"
 
 
 def test_copies_make_no_line_wide_and_every_wide_line_goes(spark):
@@ -157,6 +166,13 @@ def test_fingerprints_follow_the_successor(spark, odd, documents):
         assert Counter(map(tuple, fingerprints.compare_with_successor(frame).collect())) == want
 
 
+def test_successors_of_the_least_and_greatest_ids(spark):
+    rows = [(-(1 << 63), "the least id of all"), ((1 << 63) - 1, "the greatest id of all"), (0, "in between"), (None, "without one")]
+    found = {r.doc_id: r.edited_sha256 for r in fingerprints.compare_with_successor(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text, after = dict(rows), {(1 << 63) - 1: 0, 0: -(1 << 63), -(1 << 63): None, None: (1 << 63) - 1}
+    assert found == {d: hashlib.sha256((t[:len(t) - len(t) // 3] + text[after[d]][:len(t) // 3]).encode()).hexdigest() for d, t in rows}
+
+
 def test_runs_hand_over_across_their_ends(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "RUN_ROWS", 3)
     frame = spark.range(40).select((F.col("id") * 7).alias("doc_id"), F.concat(F.lit("text number "), F.col("id")).alias("text"))
@@ -226,7 +242,10 @@ def test_quality_is_learned_and_whole_texts_scored(spark, odd, documents):
     assert all(0 <= r[0] <= 1 for r in odd.select(quality_classifier.score_column(spark, F.col("text"), model)).collect())
     features, filler = quality_classifier.Features(), " ".join(documents.filter("lang = 'en'").limit(3).toPandas()["text"])
     assert quality_classifier.score(filler + " $$$ ### &&&" * 200_000, model, features) < quality_classifier.score(filler, model, features)
-    assert quality_classifier.train(odd, labels.limit(0), F.lit(True)) is None and quality_classifier.score("x", None, features) == 1.0
+    ones, none = labels.withColumn("quality", F.lit(1)), labels.limit(0)
+    for given, want in ((ones, 1.0), (ones.withColumn("quality", F.lit(0)), 0.0), (none, 0.5)):
+        model = quality_classifier.train(documents, given, F.lit(True))
+        assert model == want and {r[0] for r in odd.select(quality_classifier.score_column(spark, F.col("text"), model)).collect()} == {want}
 
 
 def test_feature_steps_lose_nothing(monkeypatch):
@@ -262,6 +281,13 @@ def test_targets_fill_up_by_weight(spark):
     assert {r.source: pytest.approx(r.target) for r in mixing.targets(frame).collect()} == target
 
 
+def test_targets_of_many_sources_take_time_in_proportion(spark):
+    many = spark.range(40_000).select(F.concat(F.lit("s"), F.col("id")).alias("source"), (F.col("id") % 997).alias("size"))
+    began = time.time()
+    found = mixing.targets(many).agg(F.sum("target"), F.sum("source_size"), F.count(F.lit(1))).first()
+    assert found[0] == pytest.approx(found[1]) and found[2] == 40_000 and time.time() - began < 15
+
+
 def test_rules_equal_plain_counts(spark, odd, documents):
     def plain(text):
         text = text or ""
@@ -325,3 +351,34 @@ def test_stages_take_odd_and_empty_tables(spark, odd, name):
         assert got.count() <= 3 * frame.count()
         if name != "byte bpe":
             assert got.columns == frame.columns
+
+
+def test_lines_are_sketched_before_they_are_shuffled(spark, documents, monkeypatch):
+    """With and without a broadcast, a hot line sends one sketch per task, and the result is the same."""
+    rows = line_dedup.listed(documents)
+    for most in (1_000_000, -1):
+        monkeypatch.setattr(line_dedup, "small_or_shuffled", lambda frame, most=most: common.small_or_shuffled(frame, most))
+        found = rows.select(F.xxhash64("site").alias("site"), F.pmod("key", F.lit(line_dedup.SALTS)).cast("int").alias("salt"), F.explode("hashes").alias("line"))
+        plan = line_dedup.among(found, found.select("line").distinct()).groupBy("line").agg(F.hll_sketch_agg("site"))._jdf.queryExecution().executedPlan().toString()
+        sketch = plan.index("partial_hll_sketch_agg")
+        assert "Exchange hashpartitioning(line" in plan[:sketch]
+        got = line_dedup.remove_boilerplate(documents).select("doc_id", "text", "source").collect()
+        assert Counter((r.doc_id, r.text) for r in got) == brute_lines([tuple(r) for r in documents.select("doc_id", "text", "source").collect()], line_dedup.MIN_SITES)
+
+
+def test_copy_groups_hold_near_copies_and_not_pages_that_share_lines(spark):
+    words = lambda k, n=200: [f"w{k}x{j * j % 977}" for j in range(n)]
+    edited = lambda k, place: " ".join(w if i != place else "edit" for i, w in enumerate(words(k)))
+    near = [(k * 100 + p, edited(k, 7 * p)) for k in range(3) for p in range(25)]
+    pages = [(1000 + i, f"page {i} tells of its own matter number {i * i} and {i}\nAll rights reserved by the owners of this site and of its pages") for i in range(40)]
+    rows = near + [(i + 5000, t) for i, t in near] + pages + [(9001, None), (9002, ""), (9003, "one"), (9004, " one\t"), (None, "two words")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = frame.select("doc_id", line_dedup.text_class()).join(copies.copy_groups(frame), "same").collect()
+    members = defaultdict(set)
+    for r in found:
+        members[r.component].add(r.doc_id)
+    want = [{i for i, _ in near if i // 100 == k} | {i + 5000 for i, _ in near if i // 100 == k} for k in range(3)] + [{9003, 9004}]
+    assert sorted(members.values(), key=min) == sorted(want, key=min)
+    assert copies.copy_groups(frame.limit(0)).collect() == []
+    plan = copies.copy_groups(frame)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
