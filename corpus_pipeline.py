@@ -10,23 +10,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtrail.llm import byte_bpe, line_dedup, mixing, near_dedup, quality_classifier
+from rowtrail.llm import byte_bpe, copies, line_dedup, mixing, near_dedup, quality_classifier
 from rowtrail.llm.common import free_name, held, table
 
 MIN_QUALITY = 0.7
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from the labelled ones among them."""
+    """Documents that the classifier accepts; it learns from the labelled ones among them. Without a label nothing is known against any, and all stay."""
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    if model == quality_classifier.UNKNOWN:
+        return docs
     name = free_name(docs, "quality")
     scored = docs.withColumn(name, quality_classifier.score_column(spark, F.col("text"), model))
     return scored.filter(F.col(name) >= MIN_QUALITY).drop(name)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without any line that stands on many sites; near-duplicates count for one site, so copying makes no line wide."""
-    return line_dedup.remove_boilerplate(docs, max_removed=1, groups=near_dedup.groups(docs))
+    """All documents, without any line that stands on many sites; near copies count for one site, so copying makes no line wide."""
+    return line_dedup.remove_boilerplate(docs, groups=copies.copy_groups(docs))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
