@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtrail.functions import jsonvalue, lsn, names
@@ -34,18 +34,32 @@ def dedupe_events(batch: DataFrame, history: DataFrame | None = None) -> DataFra
     return fresh if history is None else fresh.join(history.select("event_id"), "event_id", "left_anti").select(*batch.columns)
 
 
-def position_range(batch: DataFrame) -> tuple[str, str] | None:
-    """Least and greatest commit text of a batch, null for an empty one.
+#: Sources whose ranges of positions are told apart in one filter; of more, one range over all is used.
+MAX_SPANS = 200
 
-    Copies of an event share its commit text, so history outside the range cannot hold one: reading only
-    the range is exact, and Parquet skips row groups by it.
-    """
-    row = batch.agg(F.min("commit_lsn").alias("low"), F.max("commit_lsn").alias("high")).first()
-    return None if row["low"] is None else (row["low"], row["high"])
 
+def position_spans(batch: DataFrame) -> list[dict]:
+    """Least and greatest commit text and the months of each source of a batch: (tenant_id, source_id, low, high, months).
 
-def history_near(history: DataFrame, bounds: tuple[str, str] | None) -> DataFrame:
-    return history.limit(0) if bounds is None else history.filter(F.col("commit_lsn").between(*bounds))
+    One entry a source comes to the driver, with the months its rows lie in.
+    """
+    rows = batch.filter(F.col("commit_lsn").isNotNull()).groupBy("tenant_id", "source_id").agg(
+        F.min("commit_lsn").alias("low"), F.max("commit_lsn").alias("high"), F.collect_set(F.trunc("occurred_at", "month")).alias("months"))
+    return [row.asDict() for row in rows.collect()]
+
+
+def in_spans(spans: list[dict]) -> Column:
+    """Whether a row lies in its source's range. Copies of an event share its source and commit text, so history outside cannot hold one."""
+    if not spans:
+        return F.lit(False)
+    if len(spans) > MAX_SPANS:
+        return F.col("commit_lsn").between(min(s["low"] for s in spans), max(s["high"] for s in spans))
+    found = None
+    for s in spans:
+        part = F.col("source_id").eqNullSafe(s["source_id"]) if s["source_id"] is None else F.col("source_id") == s["source_id"]
+        part = part & F.col("commit_lsn").between(s["low"], s["high"])
+        found = part if found is None else found | part
+    return found
 
 
 def tenant_guard(events: DataFrame, tenant: str, source: str) -> DataFrame:

@@ -298,6 +298,17 @@ def _(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "body")
 
 
+@query("publish_wire_after_compaction", _WIRE_SQL)
+def _(spark, sf_dir):
+    """The history is saved, the writer is lost before it publishes, months are brought together, and the batch runs again."""
+    path, published = run_folder(spark, "history"), run_folder(spark, "wire")
+    storage.save_events(order_history(spark, sf_dir), path, 0, "stream")
+    storage.compact_history(spark, path, dt.date(2100, 1, 1))
+    delivered = storage.save_events(order_history(spark, sf_dir), path, 0, "stream")
+    storage.publish_wire(delivered.select(*changes.HISTORY_COLUMNS), feeds.shop_source(spark), published, 0, "stream")
+    return spark.read.parquet(published).select("event_id", "body")
+
+
 _CUTOFF = dt.datetime(1996, 1, 1, tzinfo=dt.timezone.utc)
 _CUTOFF_SQL = "TIMESTAMP '1996-01-01 00:00:00'"
 _PRUNED = f"SELECT event_id FROM f1 WHERE occurred_at < {_CUTOFF_SQL} ORDER BY occurred_at, event_id LIMIT 500"

@@ -2,11 +2,19 @@
 
 A micro-batch owns the ``stream_id=S/batch_id=N`` partitions it writes, so running it again replaces exactly its
 own rows, and streams with checkpoints of their own never meet. Snapshots are new ``version=N`` folders; readers take the greatest finished one.
+
+Three small things lie beside the history, hidden from its readers, so that a batch opens what its own rows name and not the whole table:
+
+* marks, one small file a stream: the greatest commit position written of each source. An event beyond all marks of its source is new.
+* receipts, one a batch: the ids of its new events, written before the history. A batch that runs again, whatever happened to
+  its partitions meanwhile, finds here what it had to deliver.
+* rewritten partitions until they are in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +53,37 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(path)
 
 
+def _partition(column: str, value: str | None) -> str:
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None or value == '' else _escaped(value)}"
+
+
+def _escaped(value: str) -> str:
+    """A partition's value as Spark writes it in a folder's name."""
+    # Fixed: the characters that partition folders escape.
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 or c in '"#%\'*/:=?\\{[]^' else c for c in value)
+
+
+def read_places(spark: SparkSession, path: str, places: Iterable[str]) -> DataFrame:
+    """The history in the given folders below its root; only these are listed."""
+    there = [f"{path}/{place}" for place in sorted(places) if path_exists(spark, f"{path}/{place}")]
+    if not there:
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*there)
+
+
 def append_history(batch: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> None:
     """Write a batch's new events to its own partitions.
 
     The rebalance lets adaptive execution split a hot tenant's month and merge small ones; files are sorted
     so that searches by time skip row groups.
     """
+    highest = {(s["tenant_id"], s["source_id"]): s["high"] for s in ops.position_spans(batch)}
+    _append(batch, highest, path, batch_id, stream_id)
+
+
+def _append(batch: DataFrame, highest: dict, path: str, batch_id: int, stream_id: str) -> None:
+    """Marks first: one that is ahead of the history costs a comparison, one behind it would cost a second copy."""
+    _write_marks(batch.sparkSession, path, stream_id, highest)
     keys = ["tenant_id", "occurred_month"]
     rows = batch.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
@@ -59,28 +92,153 @@ def append_history(batch: DataFrame, path: str, batch_id: int, stream_id: str =
     )
 
 
-def save_events(events: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> DataFrame:
-    """De-duplicate a batch against the rest of the history and append what is new; returns the new rows.
+#: Beside the history: greatest positions of each stream, and new events of each batch.
+_MARKS = "_marks"
+_RECEIPTS = "_receipts"
+
+
+def _numbered(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(name) for name in _listed(spark, path) if name.isdigit())
 
-    The batch's own partitions are left out of the comparison, else a rerun would find itself there.
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, file = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _read_marks(spark: SparkSession, path: str, stream: str) -> dict[tuple, str]:
+    versions = _numbered(spark, f"{path}/{_MARKS}/{stream}")
+    return {tuple(key): high for *key, high in json.loads(read_text(spark, f"{path}/{_MARKS}/{stream}/{versions[-1]}"))} if versions else {}
+
+
+def read_marks(spark: SparkSession, path: str) -> dict[tuple, str] | None:
+    """Greatest commit position ever written by any stream, by (tenant, source); None for a history without marks.
+
+    One entry a source, in one small file a stream.
+    """
+    streams = _listed(spark, f"{path}/{_MARKS}")
+    if not streams:
+        return None
+    marks: dict[tuple, str] = {}
+    for stream in streams:
+        for key, high in _read_marks(spark, path, stream).items():
+            marks[key] = max(high, marks.get(key, high))
+    return marks
+
+
+def _write_marks(spark: SparkSession, path: str, stream_id: str, highest: dict[tuple, str]) -> None:
+    """Raise a stream's marks. The new file is complete before it gets its name, and the older ones go after that."""
+    folder = f"{path}/{_MARKS}/{_escaped(stream_id)}"
+    before = _read_marks(spark, path, _escaped(stream_id))
+    marks = before | {key: max(high, before.get(key, high)) for key, high in highest.items()}
+    versions = _numbered(spark, folder)
+    if versions and marks == before:
+        return
+    fs, aside = _file_system(spark, f"{folder}/_{run_name()}")
+    stream = fs.create(aside, True)
+    stream.write(json.dumps([[*key, high] for key, high in marks.items()]).encode())
+    stream.close()
+    if not fs.rename(aside, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{(versions or [-1])[-1] + 1}")):
+        raise RuntimeError(f"could not put the marks of {stream_id} in place")
+    for version in versions[:-1]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{version}"), False)
+
+
+def _receipt(path: str, stream_id: str, batch_id: int) -> str:
+    return f"{path}/{_RECEIPTS}/{_escaped(stream_id)}/{batch_id}"
+
+
+def drop_receipts(spark: SparkSession, path: str, stream_id: str, below: int) -> None:
+    """Remove the receipts of a stream's batches that will not run again: those before the one that runs."""
+    folder = f"{path}/{_RECEIPTS}/{_escaped(stream_id)}"
+    for number in _numbered(spark, folder):
+        if number < below:
+            fs, old = _file_system(spark, f"{folder}/{number}")
+            fs.delete(old, True)
+
+
+def _stored_copies(events: DataFrame, path: str, own: Column, spans: list) -> DataFrame:
+    """Ids of the stored history, outside the batch's own partitions, that may be ids of these events.
+
+    First the tenants' months that the events name are opened. An event's copies share its position but need not share its time, so those
+    not found there are looked for in all months of their tenants. Both times each source's range of positions skips row groups.
+    """
+    spark = events.sparkSession
+    near = ops.in_spans(spans)
+    months = {f"{_partition('tenant_id', s['tenant_id'])}/{_partition('occurred_month', m and str(m))}" for s in spans for m in s["months"]}
+    found = read_places(spark, path, months).filter(~own & near).select("event_id")
+    rest = events.join(found, "event_id", "left_anti").select("tenant_id").distinct()
+    tenants = {_partition("tenant_id", row["tenant_id"]) for row in rest.collect()}
+    return read_places(spark, path, tenants).filter(~own & near).select("event_id").unionByName(found) if tenants else found
+
+
+class BatchChanged(ValueError):
+    """A batch id that was used before came again with other events."""
+
+
+def _same_batch(events: DataFrame, receipt: str, path: str, own: Column, spans: list) -> None:
+    """Refuse a used batch id with events that are neither in its receipt nor stored: its partitions belong to the earlier ones."""
+    others = events.join(events.sparkSession.read.schema("event_id string").parquet(receipt), "event_id", "left_anti").select(*events.columns)
+    if not others.isEmpty() and not others.join(_stored_copies(others, path, own, spans), "event_id", "left_anti").isEmpty():
+        raise BatchChanged("this batch id was saved with other events; give the batch a new one")
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def save_events(events: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND, before_write: Callable[[], None] | None = None) -> DataFrame:
+    """De-duplicate a batch against the rest of the history and append what is new; returns the batch's new events.
+
+    Events beyond all marks of their source are new without a look at the history; the others are compared, and the batch's own partitions are
+    left out of the comparison, else a rerun would find itself there. What a batch delivers is decided once and kept in its
+    receipt: a rerun returns the same events even if compaction has moved them since. ``before_write`` (a fence check) may still stop it.
     """
     spark = events.sparkSession
     own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+    receipt = _receipt(path, stream_id, batch_id)
     held = events.storageLevel.useMemory
     if not held:
         events = events.persist()
+    fresh = None
     try:
-        earlier = read_history(spark, path).filter(~own)
-        fresh = ops.dedupe_events(events, ops.history_near(earlier, ops.position_range(events)))
-        append_history(fresh, path, batch_id, stream_id)
+        spans = ops.position_spans(events)
+        first = ops.first_copies(events)
+        if _finished(spark, receipt):
+            if stream_id == BY_HAND:
+                _same_batch(first, receipt, path, own, spans)
+            delivered = first.join(spark.read.schema("event_id string").parquet(receipt), "event_id", "left_semi").select(*events.columns)
+            fresh = delivered.join(_stored_copies(delivered, path, own, spans), "event_id", "left_anti").select(*events.columns)
+        else:
+            marks = read_marks(spark, path)
+            behind = [s for s in spans if marks is None or s["low"] <= marks.get((s["tenant_id"], s["source_id"]), "")]
+            if behind and path_exists(spark, path):
+                maybe = first.filter(ops.in_spans([s | {"high": min(s["high"], (marks or {}).get((s["tenant_id"], s["source_id"]), s["high"]))} for s in behind]))
+                first = first.join(_stored_copies(maybe, path, own, behind), "event_id", "left_anti").select(*events.columns)
+            fresh = first.persist()
+            if before_write is not None:
+                before_write()
+            fresh.select("event_id").write.mode("overwrite").parquet(receipt)
+        if before_write is not None:
+            before_write()
+        _append(fresh, {(s["tenant_id"], s["source_id"]): s["high"] for s in spans}, path, batch_id, stream_id)
     finally:
+        if fresh is not None:
+            fresh.unpersist()
         if not held:
             events.unpersist()
-    return read_history(spark, path).filter(own)
+    delivered = spark.read.schema("event_id string").parquet(receipt)
+    return ops.first_copies(events).join(delivered, "event_id", "left_semi").select(*events.columns)
 
 
-def publish_wire(batch: DataFrame, sources: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> None:
-    """Write the batch's wire events to its own partition, for any number of independent readers."""
+def publish_wire(batch: DataFrame, sources: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND, before_write: Callable[[], None] | None = None) -> None:
+    """Write the batch's wire events to its own partition, for any number of independent readers; ``before_write`` may still stop it."""
+    if before_write is not None:
+        before_write()
     (
         wire_encode(batch, sources).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_id", "batch_id").parquet(path)
@@ -215,32 +373,47 @@ def retention_prune_write(spark: SparkSession, path: str, tenant: str | None, cu
     return removed
 
 
+#: Compacted folders that a month may have side by side before they are brought together too.
+COMPACTED_PARTS = 4
+
+
+def _months_before(spark: SparkSession, path: str, before) -> list[str]:
+    """Folders tenant/month of months that begin before the month of a date; found by their names."""
+    limit = f"occurred_month={before:%Y-%m}-01"
+    tenants = [name for name in _listed(spark, path) if name.startswith("tenant_id=")]
+    return [f"{tenant}/{month}" for tenant in tenants for month in _listed(spark, f"{path}/{tenant}") if month.startswith("occurred_month=") and month < limit]
+
+
 def compact_history(spark: SparkSession, path: str, before, before_write: Callable[[], None] | None = None) -> int:
     """Bring the batches of each tenant's closed months (those before a date) together; returns how many partitions went.
 
-    Rows stay as they are, and a stream's batch that runs again finds its events there. Months already brought together
-    and not written to since are left alone. Crash-safe like retention; one rewriting pass at a time.
+    Rows stay as they are, and a stream's batch that runs again finds its events there. What is to do is read from the names of
+    folders: months already brought together are not opened, and late events become a part beside the compacted ones, until there are
+    ``COMPACTED_PARTS`` of these. Bloom filters let a lookup of one event pass over files. Crash-safe like retention; one rewriting pass at a time.
     """
     finish_rewrites(spark, path)
     if not path_exists(spark, path):
         return 0
-    staged = f"{path}/{_STAGING}/{run_name()}"
-    closed = read_history(spark, path).filter(F.col("occurred_month") < F.trunc(F.lit(before), "month"))
-    # No column is read for this, and a month's folder names are all that comes to the driver.
-    months: dict[str, list[str]] = {}
-    for row in closed.select(_place().alias("place")).distinct().collect():
-        months.setdefault("/".join(row["place"].split("/")[:2]), []).append(row["place"].rstrip("/"))
-    owner = f"stream_id={COMPACTED}/batch_id=0"
-    loose = {month: places for month, places in months.items() if places != [f"{month}/{owner}"]}
-    if not loose:
+    old: list[str] = []
+    numbers = [-1]
+    done = f"stream_id={COMPACTED}"
+    for month in _months_before(spark, path, before):
+        loose = [f"{month}/{stream}/{batch}" for stream in _listed(spark, f"{path}/{month}") if stream.startswith("stream_id=") and stream != done for batch in _listed(spark, f"{path}/{month}/{stream}")]
+        parts = [name for name in _listed(spark, f"{path}/{month}/{done}") if name.startswith("batch_id=")]
+        numbers += [int(name.split("=", 1)[1]) for name in parts]
+        if loose:
+            old += loose
+            old += [f"{month}/{done}/{name}" for name in parts] if len(parts) >= COMPACTED_PARTS else []
+    if not old:
         return 0
-    old = [place for places in loose.values() for place in places]
-    rows = spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*[f"{path}/{place}" for place in old])
+    staged = f"{path}/{_STAGING}/{run_name()}"
+    number = max(numbers) + 1
     keys = ["tenant_id", "occurred_month"]
     (
-        rows.withColumn("stream_id", F.lit(COMPACTED)).withColumn("batch_id", F.lit(0).cast("bigint")).hint("rebalance", *keys)
-        .sortWithinPartitions(*keys, "occurred_at", "event_id").write.partitionBy(*_PARTITIONS).parquet(f"{staged}/survivors"))
-    _ready(spark, staged, {*old, *[f"{month}/{owner}" for month in loose]})
+        read_places(spark, path, old).withColumn("stream_id", F.lit(COMPACTED)).withColumn("batch_id", F.lit(number).cast("bigint")).hint("rebalance", *keys)
+        .sortWithinPartitions(*keys, "occurred_at", "event_id").write.option("parquet.bloom.filter.enabled#event_id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy(*_PARTITIONS).parquet(f"{staged}/survivors"))
+    _ready(spark, staged, {*old, *["/".join(place.split("/")[:2]) + f"/{done}/batch_id={number}" for place in old]})
     _allowed(spark, path, before_write)
     finish_rewrites(spark, path)
     return len(old)

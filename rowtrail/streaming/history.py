@@ -32,7 +32,7 @@ def _start(writer, checkpoint: str, available_now: bool, interval: str) -> Strea
 
 def _stream_id(batch: DataFrame, checkpoint: str) -> str:
     """The id Spark gave the stream when its checkpoint was made; a new checkpoint is a new stream."""
-    return json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return json.loads(storage.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"]
 
 
 def _captured(batch: DataFrame) -> DataFrame:
@@ -59,14 +59,18 @@ def stream_history(feed: DataFrame, sources: DataFrame, history_path: str, check
     A broken record fails the query at the same batch on every restart. ``read_activation`` returns the
     current activation table and is asked before each batch.
     """
-    def deliver(batch: DataFrame, batch_id: int) -> None:
+    def fence() -> None:
         _check_fence(read_activation() if read_activation else None, fences)
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        fence()
         events = changes.parse_change_feed(_captured(batch), sources, on_error="fail", heartbeat_table=heartbeat_table).persist()
         try:
             stream_id = _stream_id(batch, checkpoint)
-            saved = storage.save_events(events, history_path, batch_id, stream_id)
+            storage.drop_receipts(batch.sparkSession, history_path, stream_id, batch_id)
+            saved = storage.save_events(events, history_path, batch_id, stream_id, fence)
             if wire_path is not None:
-                storage.publish_wire(saved.select(*changes.HISTORY_COLUMNS), sources, wire_path, batch_id, stream_id)
+                storage.publish_wire(saved.select(*changes.HISTORY_COLUMNS), sources, wire_path, batch_id, stream_id, fence)
         finally:
             events.unpersist()
 

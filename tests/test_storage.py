@@ -239,3 +239,131 @@ def test_splitting_a_feed_gives_the_batch_result(spark, tmp_path):
     for n, low in enumerate(range(0, 30, 7)):
         storage.save_events(changes.parse_change_feed(feed(spark, *records(max(0, low - 2), min(30, low + 7))), source(spark)), path, n)
     assert sorted(r.event_id for r in storage.read_history(spark, path).collect()) == sorted(r.event_id for r in whole.collect())
+
+
+def files_listed(spark, action):
+    """Files that Spark's listings found while an action ran."""
+    counter = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED()
+    before = counter.getCount()
+    action()
+    return counter.getCount() - before
+
+
+def month_records(month, low, high, tenant="ACME"):
+    millis = int(dt.datetime(2025, month, 3, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    return [(f'{{"id":{i}}}', value(after={"v": i}, serial=1, millis=millis, commit=f"{month:08x}:{i:08x}:0002")) for i in range(low, high)]
+
+
+def test_new_events_are_saved_without_looking_at_the_history(spark, tmp_path):
+    path, found = str(tmp_path / "history"), []
+    for n in range(8):
+        events = changes.parse_change_feed(feed(spark, *month_records(1 + n, 100 + 10 * n, 105 + 10 * n)), source(spark))
+        found.append(files_listed(spark, lambda events=events, n=n: storage.save_events(events, path, n, "stream")))
+    assert max(found) <= 4, "only the batch's own receipt is listed, however long the history is"
+    assert storage.read_history(spark, path).count() == 40
+
+
+def test_a_replay_opens_its_own_months_only(spark, tmp_path):
+    path = str(tmp_path / "history")
+    both = source(spark).unionByName(source(spark, tenant="OTHER"))
+    for n in range(6):
+        batch = feed(spark, *month_records(1 + n, 0, 4)).unionByName(feed(spark, *month_records(1 + n, 0, 4)).withColumn("destination", F.lit("capture-OTHER-hr.people.dbo.x")))
+        storage.save_events(changes.parse_change_feed(batch, both), path, n, "stream")
+    replay = changes.parse_change_feed(feed(spark, *month_records(2, 0, 5)), source(spark))
+    new, own = files_listed(spark, lambda: storage.save_events(replay, path, 99, "stream")), storage.read_history(spark, path)
+    assert own.filter("tenant_id = 'ACME'").count() == 25, "the new one of the five is stored, the four others are not stored again"
+    more = files_listed(spark, lambda: storage.save_events(changes.parse_change_feed(feed(spark, *month_records(2, 0, 5)), source(spark)), path, 100, "stream"))
+    assert more <= 6 and new <= 14
+    plan = storage._stored_copies(replay, path, F.lit(False), history.position_spans(replay))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(commit_lsn" in plan and "EqualTo(source_id" in plan
+
+
+def test_a_copy_with_another_time_is_still_a_copy(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for n, month in enumerate((1, 2, 3)):
+        storage.save_events(changes.parse_change_feed(feed(spark, *month_records(month, 0, 4)), source(spark)), path, n, "stream")
+    moved = [(key, text.replace(str(int(dt.datetime(2025, 2, 3, tzinfo=dt.timezone.utc).timestamp() * 1000)), str(int(dt.datetime(2025, 3, 9, tzinfo=dt.timezone.utc).timestamp() * 1000)))) for key, text in month_records(2, 0, 4)]
+    storage.save_events(changes.parse_change_feed(feed(spark, *moved), source(spark)), path, 3, "stream")
+    assert storage.read_history(spark, path).count() == 12
+
+
+def test_marks_of_all_writers_count(spark, tmp_path):
+    """A history written without de-duplication, by hand and by streams has one set of marks; one without marks is compared whole."""
+    path = str(tmp_path / "history")
+    whole = changes.parse_change_feed(feed(spark, *month_records(1, 0, 9)), source(spark))
+    storage.append_history(whole, path, 0)
+    storage.save_events(whole, path, 0, "a stream/with: odd=name")
+    assert storage.read_history(spark, path).count() == 9 and list(storage.read_marks(spark, path).values()) == ["00000001:00000008:0002"]
+    shutil.rmtree(tmp_path / "history" / "_marks")
+    storage.save_events(whole, path, 1, "another")
+    assert storage.read_history(spark, path).count() == 9
+
+
+def test_a_rerun_after_compaction_still_delivers(spark, tmp_path):
+    path = str(tmp_path / "history")
+    events = changes.parse_change_feed(feed(spark, *month_records(1, 0, 20)), source(spark))
+    first = {r.event_id for r in storage.save_events(events, path, 0, "stream").collect()}
+    assert storage.compact_history(spark, path, dt.date(2025, 9, 1)) == 1
+    assert {r.event_id for r in storage.save_events(events, path, 0, "stream").collect()} == first and len(first) == 20
+    assert storage.read_history(spark, path).count() == 20
+    assert storage.save_events(events, path, 1, "stream").collect() == []
+    storage.drop_receipts(spark, path, "stream", 1)
+    assert storage.save_events(events, path, 1, "stream").collect() == [] and storage.read_history(spark, path).count() == 20
+
+
+def test_the_wire_loses_nothing_between_a_crash_and_compaction(spark, tmp_path, monkeypatch):
+    write_feed(spark, tmp_path / "feed", month_records(1, 0, 10), month_records(1, 5, 15))
+    publish, calls = storage.publish_wire, []
+
+    def crash(*arguments):
+        calls.append(arguments[3])
+        if len(calls) in (1, 3):
+            raise RuntimeError("lost before commit")
+        publish(*arguments)
+
+    monkeypatch.setattr(storage, "publish_wire", crash)
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost before commit"):
+            start(spark, tmp_path).awaitTermination()
+        storage.compact_history(spark, str(tmp_path / "history"), dt.date(2025, 9, 1))
+    start(spark, tmp_path).awaitTermination()
+    wire = spark.read.parquet(str(tmp_path / "wire"))
+    assert wire.count() == 15 == wire.select("event_id").distinct().count() == storage.read_history(spark, str(tmp_path / "history")).count()
+
+
+def test_a_used_batch_id_with_other_events_is_refused(spark, tmp_path):
+    path = str(tmp_path / "history")
+    storage.save_events(changes.parse_change_feed(feed(spark, *month_records(1, 0, 3)), source(spark)), path, 0)
+    with pytest.raises(storage.BatchChanged):
+        storage.save_events(changes.parse_change_feed(feed(spark, *month_records(1, 0, 5)), source(spark)), path, 0)
+    storage.save_events(changes.parse_change_feed(feed(spark, *month_records(1, 0, 5)), source(spark)), path, 1)
+    assert storage.read_history(spark, path).count() == 5
+
+
+def test_late_events_become_a_part_beside_the_compacted_ones(spark, tmp_path):
+    path, before = str(tmp_path / "history"), dt.date(2025, 9, 1)
+    parts = []
+    for n in range(storage.COMPACTED_PARTS + 2):
+        storage.save_events(changes.parse_change_feed(feed(spark, *month_records(1, 10 * n, 10 * n + 3), *month_records(2, 10 * n, 10 * n + (3 if n == 0 else 0))), source(spark)), path, n, "stream")
+        assert storage.compact_history(spark, path, before) == (2 if n == 0 else 1 if n <= storage.COMPACTED_PARTS - 1 else 1 + len(parts[-1]) if len(parts[-1]) >= storage.COMPACTED_PARTS else 1)
+        parts.append(storage._listed(spark, f"{path}/tenant_id=ACME/occurred_month=2025-01-01/stream_id=compacted"))
+        assert files_listed(spark, lambda: storage.compact_history(spark, path, before)) == 0, "months brought together are not opened"
+    assert [len(p) for p in parts] == [1, 2, 3, 4, 1, 2]
+    assert storage.read_history(spark, path).count() == 3 * (storage.COMPACTED_PARTS + 2) + 3
+
+
+def test_a_lookup_of_an_absent_event_passes_over_compacted_files(spark, tmp_path):
+    path = str(tmp_path / "history")
+    storage.save_events(changes.parse_change_feed(feed(spark, *month_records(1, 0, 200)), source(spark)), path, 0, "stream")
+    storage.compact_history(spark, path, dt.date(2025, 9, 1))
+    some = storage.read_history(spark, path).select("event_id").orderBy("event_id").collect()
+    inside = some[0].event_id[:8] + "0" * 56
+    for wanted, rows in ((some[7].event_id, True), (max(inside, some[0].event_id[:-1] + "g")[:64], False)):
+        found = storage.read_history(spark, path).filter(F.col("event_id") == wanted).select("operation")
+        execution = found._jdf.queryExecution()
+        collected = found.collect()
+        nodes = execution.executedPlan().collectLeaves()
+        read = [nodes.apply(i).metrics().get("numOutputRows").get().value() for i in range(nodes.size())]
+        assert bool(collected) == rows and (sum(read) > 0 or not rows)
+        if not rows:
+            assert sum(read) == 0
