@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -782,6 +783,16 @@ def _(spark, sf_dir):
     return _drain(streams.stream_dedupe(parsed).select("event_id", "operation"), spark)
 
 
+@query("stream_dedupe_bounded", _sql("SELECT event_id, operation FROM f1", "f1"))
+def _(spark, sf_dir):
+    """State for a second only; all events occurred longer ago than that, and replays come in any of several batches."""
+    folder, path = run_folder(spark, "replays"), run_folder(spark, "history")
+    feeds.replayed_changes(spark, sf_dir).repartition(6, F.xxhash64("value", "key")).write.parquet(folder)
+    parsed = changes.parse_change_feed(sources.stream_change_feed(spark, folder, max_files=2), feeds.shop_source(spark))
+    streams.stream_dedupe_bounded(parsed, path, run_folder(spark, "checkpoint"), horizon="1 second", available_now=True).awaitTermination()
+    return storage.read_history(spark, path).select("event_id", "operation")
+
+
 @query("stream_progress", _sql("SELECT 'T1' AS tenant_id, 'shop' AS source_id, commit_lsn, change_lsn, event_serial_no FROM f1 ORDER BY commit_lsn DESC LIMIT 1", "f1"))
 def _(spark, sf_dir):
     path = run_folder(spark, "progress")
@@ -823,3 +834,24 @@ def _(spark, sf_dir):
         return rows.agg(F.count(F.lit(1)).alias("records"), F.count_if(marked).alias("marked")).select(F.lit(place).alias("place"), "records", "marked")
 
     return counted(stored, "history", F.col("before_json").isNotNull()).unionByName(counted(held, "held", F.col("value").isNull()))
+
+
+@query("stream_quarantine_retry", _sql("SELECT event_id, operation, tenant_id FROM (SELECT event_id, operation, 'T1' AS tenant_id FROM f1 UNION ALL SELECT record_key, operation, 'T2' FROM f1)", "f1"))
+def _(spark, sf_dir):
+    """A second source waits because its tables are not listed; once they are, the next tick delivers it, without any new file."""
+    folder, path, waiting, checkpoint = run_folder(spark, "mixed"), run_folder(spark, "history"), run_folder(spark, "held"), run_folder(spark, "checkpoint")
+    orders = feeds.orders_changes(spark, sf_dir)
+    orders.unionByName(orders.withColumn("destination", F.lit("capture-T2-other.shop.dbo.orders"))).write.parquet(folder)
+    first = feeds.shop_source(spark)
+    second = first.withColumn("tenant_id", F.lit("T2")).withColumn("source_id", F.lit("other"))
+    for tables in (F.array(F.lit("dbo.absent")), F.col("tables")):
+        current = first.unionByName(second.withColumn("tables", tables))
+        query = streams.stream_isolated(sources.stream_change_feed(spark, folder), current, path, waiting, checkpoint, retry_seconds=1)
+        repaired = storage.path_exists(spark, path)
+        deadline = time.time() + 600
+        while query.isActive and time.time() < deadline and not (bool(storage.held_connectors(spark, waiting)) != repaired and storage.path_exists(spark, path)):
+            query.awaitTermination(1)
+        query.stop()
+    # Ids of the second tenant differ from the first one's; it is told by its keys.
+    named = F.when(F.col("tenant_id") == "T2", F.col("record_key")).otherwise(F.col("event_id"))
+    return storage.read_history(spark, path).select(named.alias("event_id"), "operation", "tenant_id")

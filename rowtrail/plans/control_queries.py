@@ -521,6 +521,21 @@ def _(spark, sf_dir):
     return storage.read_snapshot(spark, path)
 
 
+@query("write_status_fenced", _MERGED_SQL)
+def _(spark, sf_dir):
+    """The new rows come from a reader with a greater fence, whose versions begin anew; the replaced one can no longer write."""
+    path = run_folder(spark, "status")
+    new, old = _statuses(spark, sf_dir)
+    storage.write_status(old, path, 5, fence=7, writer="old")
+    for _ in range(2):  # once more after a crash
+        storage.write_status(new, path, 0, fence=8, writer="new")
+    try:
+        storage.write_status(old, path, 6, fence=7, writer="old")
+    except storage.SourceFenced:
+        return storage.read_snapshot(spark, path)
+    raise AssertionError("a fenced write went through")
+
+
 @query("stream_status", _MERGED_SQL)
 def _(spark, sf_dir):
     """The previous rows arrive in one run of the stream, the new ones in the next."""

@@ -471,6 +471,26 @@ def _(spark, sf_dir):
     return storage.read_snapshot(spark, path)
 
 
+def refused(write) -> None:
+    """A write that must be refused; its success is an error."""
+    try:
+        write()
+    except storage.SourceFenced:
+        return
+    raise AssertionError("a fenced write went through")
+
+
+@query("write_registry_fenced", sql(f"SELECT {REG_LIST} FROM reg", "reg"))
+def _(spark, sf_dir):
+    """A replaced writer, and a second one at the same version, are refused; the registry is the newer writer's."""
+    path, table = run_folder(spark, "registry"), fleet.registry(spark, sf_dir)
+    storage.write_registry(registry.registry_starting(table), path, 0, fence=7, writer="old")
+    storage.write_registry(table, path, 1, fence=8, writer="new")
+    refused(lambda: storage.write_registry(registry.registry_starting(table), path, 2, fence=7, writer="old"))
+    refused(lambda: storage.write_registry(registry.registry_starting(table), path, 1, fence=8, writer="another"))
+    return storage.read_snapshot(spark, path)
+
+
 @query("apply_requests_repeated", ORACLES["apply_requests"])
 def _(spark, sf_dir):
     """Every request comes twice, and once more with the opposite wish; the registry is as after the first ones alone."""

@@ -14,6 +14,7 @@ Three small things lie beside the history, hidden from its readers, so that a ba
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,7 @@ HISTORY_SCHEMA = (
     "captured_at timestamp, record_key string, before_json string, after_json string, changed_properties string, "
     "commit_lsn string, change_lsn string, event_serial_no bigint, tenant_id string, occurred_month date, stream_id string, batch_id bigint"
 )
+_STORED = {part.split()[0] for part in HISTORY_SCHEMA.split(", ")}
 _PARTITIONS = ["tenant_id", "occurred_month", "stream_id", "batch_id"]
 #: Owner of what is written outside a stream.
 BY_HAND = "by-hand"
@@ -85,7 +87,8 @@ def _append(batch: DataFrame, highest: dict, path: str, batch_id: int, stream_id
     """Marks first: one that is ahead of the history costs a comparison, one behind it would cost a second copy."""
     _write_marks(batch.sparkSession, path, stream_id, highest)
     keys = ["tenant_id", "occurred_month"]
-    rows = batch.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    own = batch.select(*[c for c in batch.columns if c in _STORED])
+    rows = own.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
         rows.hint("rebalance", *keys).sortWithinPartitions(*keys, "occurred_at", "event_id")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
@@ -191,12 +194,13 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def save_events(events: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND, before_write: Callable[[], None] | None = None) -> DataFrame:
+def save_events(events: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND, before_write: Callable[[], None] | None = None, compare: Column | None = None) -> DataFrame:
     """De-duplicate a batch against the rest of the history and append what is new; returns the batch's new events.
 
     Events beyond all marks of their source are new without a look at the history; the others are compared, and the batch's own partitions are
     left out of the comparison, else a rerun would find itself there. What a batch delivers is decided once and kept in its
     receipt: a rerun returns the same events even if compaction has moved them since. ``before_write`` (a fence check) may still stop it.
+    ``compare`` names the events that may be stored already, where the caller knows that the others can't be.
     """
     spark = events.sparkSession
     own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
@@ -218,6 +222,7 @@ def save_events(events: DataFrame, path: str, batch_id: int, stream_id: str = BY
             behind = [s for s in spans if marks is None or s["low"] <= marks.get((s["tenant_id"], s["source_id"]), "")]
             if behind and path_exists(spark, path):
                 maybe = first.filter(ops.in_spans([s | {"high": min(s["high"], (marks or {}).get((s["tenant_id"], s["source_id"]), s["high"]))} for s in behind]))
+                maybe = maybe if compare is None else maybe.filter(compare)
                 first = first.join(_stored_copies(maybe, path, own, behind), "event_id", "left_anti").select(*events.columns)
             fresh = first.persist()
             if before_write is not None:
@@ -245,38 +250,159 @@ def publish_wire(batch: DataFrame, sources: DataFrame, path: str, batch_id: int,
     )
 
 
+class SourceFenced(RuntimeError):
+    """The activation has moved on to another writer; this one must stop."""
+
+
+#: Fence of a snapshot written without one.
+NO_FENCE = -1
+
+
+def _snapshots(spark: SparkSession, path: str) -> dict[tuple[int, int], str]:
+    """Finished snapshots by (fence, version), in that order: what a fenced-out writer still finishes never counts as the newest."""
+    folders = {NO_FENCE: path} | {int(name.split("=", 1)[1]): f"{path}/{name}" for name in _listed(spark, path) if name.startswith("fence=")}
+    versions = {(fence, int(name.split("=", 1)[1])): f"{folder}/{name}" for fence, folder in folders.items() for name in _listed(spark, folder) if name.startswith("version=")}
+    return {key: folder for key, folder in sorted(versions.items()) if _finished(spark, folder)}
+
+
+def _before(found: dict, below: int | None, fence: int) -> list[tuple[int, int]]:
+    return [key for key in found if below is None or key < (fence, below)]
+
+
 def latest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
-    """Greatest finished snapshot version (optionally below a bound), null when there is none."""
-    fs, hadoop_path = _file_system(spark, path)
-    if not fs.exists(hadoop_path):
-        return None
-    found = []
-    for entry in fs.listStatus(hadoop_path):
-        name = entry.getPath().getName()
-        if name.startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
-            found.append(int(name.split("=", 1)[1]))
-    found = [v for v in found if below is None or v < below]
-    return max(found) if found else None
+    """Version of the newest finished snapshot (optionally below a bound), null when there is none."""
+    found = [key for key in _snapshots(spark, path) if below is None or key[1] < below]
+    return max(found)[1] if found else None
+
+
+def _claim(spark: SparkSession, path: str, version: int, fence: int, writer: str | None) -> None:
+    """Make a version this writer's own, or refuse: to one whose fence is not the greatest any more, and to the second of two with the same fence."""
+    claims = f"{path}/fence={fence}/_claims"
+    fs, folder = _file_system(spark, claims)
+    fs.mkdirs(folder)
+    _unfenced(spark, path, fence)
+    name = writer or run_name()
+    _, file = _file_system(spark, f"{claims}/{version}")
+    try:
+        stream = fs.create(file, False)  # of several, one succeeds
+    except Exception as error:
+        if not fs.exists(file):
+            raise
+        if read_text(spark, f"{claims}/{version}") != name:
+            raise SourceFenced(f"{ops.SOURCE_FENCED}: version {version} belongs to another writer") from error
+        return
+    stream.write(name.encode())
+    stream.close()
+
+
+def _unfenced(spark: SparkSession, path: str, fence: int) -> None:
+    """Refuse where a writer with a greater fence has begun to write."""
+    if any(int(name.split("=", 1)[1]) > fence for name in _listed(spark, path) if name.startswith("fence=")):
+        raise SourceFenced(ops.SOURCE_FENCED)
 
 
-def write_snapshot(table: DataFrame, path: str, version: int) -> None:
-    """Write one version; it counts only once its files are all in place."""
-    table.write.mode("overwrite").parquet(f"{path}/version={version}")
+def write_snapshot(table: DataFrame, path: str, version: int, fence: int | None = None, writer: str | None = None) -> None:
+    """Write one version; it counts only once its files are all in place.
+
+    With a ``fence``, the version is claimed first: a writer that another one with a greater fence has replaced gets
+    ``SOURCE_FENCED`` rather than replacing anything, as does the second of two writers at one version. ``writer`` names who may write a version again after a crash.
+    """
+    if fence is None:
+        table.write.mode("overwrite").parquet(f"{path}/version={version}")
+        return
+    _claim(table.sparkSession, path, version, fence, writer)
+    table.write.mode("overwrite").parquet(f"{path}/fence={fence}/version={version}")
+    _unfenced(table.sparkSession, path, fence)
+
 
+def read_snapshot(spark: SparkSession, path: str, below: int | None = None, fence: int | None = None) -> DataFrame | None:
+    """The newest finished snapshot; ``below`` and ``fence`` leave out this version and all that come after it."""
+    found = _snapshots(spark, path)
+    keys = _before(found, below, fence if fence is not None else max([key[0] for key in found], default=NO_FENCE))
+    return spark.read.parquet(found[max(keys)]) if keys else None
 
-def read_snapshot(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
-    version = latest_version(spark, path, below)
-    return None if version is None else spark.read.parquet(f"{path}/version={version}")
 
+def drop_old_versions(spark: SparkSession, path: str, older_than_seconds: float, now: float | None = None) -> int:
+    """Remove the snapshots finished so long ago that no reader can be at them, but never the newest; returns how many went."""
+    found = _snapshots(spark, path)
+    limit = ((time.time() if now is None else now) - older_than_seconds) * 1000
+    gone = 0
+    for key in sorted(found)[:-1]:
+        fs, folder = _file_system(spark, found[key])
+        if fs.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")).getModificationTime() < limit:
+            fs.delete(folder, True)
+            gone += 1
+    return gone
 
-def write_registry(registry: DataFrame, path: str, version: int) -> None:
-    write_snapshot(registry, path, version)
 
+def write_registry(registry: DataFrame, path: str, version: int, fence: int | None = None, writer: str | None = None) -> None:
+    """The registry after one transition, all or nothing."""
+    write_snapshot(registry, path, version, fence, writer)
 
-def write_status(status: DataFrame, path: str, version: int) -> None:
+
+def write_status(status: DataFrame, path: str, version: int, fence: int | None = None, writer: str | None = None) -> None:
     """Merge new status rows over the previous snapshot and write the next one."""
-    spark = status.sparkSession
-    write_snapshot(status_merge(status, read_snapshot(spark, path, below=version)), path, version)
+    write_snapshot(status_merge(status, read_snapshot(status.sparkSession, path, version, fence)), path, version, fence, writer)
+
+
+# Held records: a log of what waits, and which of it has been released.
+
+_HELD_LOG = "log"
+_RELEASED = "_released"
+
+
+def held_connectors(spark: SparkSession, path: str, below: int | None = None) -> dict[str, list[str]]:
+    """Folders of the log with records that still wait, by the connector's folder; optionally only those of batches before one."""
+    released: dict[str, int] = {}
+    for number in _numbered(spark, f"{path}/{_RELEASED}"):
+        if below is None or number < below:
+            released |= dict.fromkeys(json.loads(read_text(spark, f"{path}/{_RELEASED}/{number}")), number)
+    found = {}
+    for connector in _listed(spark, f"{path}/{_HELD_LOG}"):
+        if connector.startswith("connector="):
+            batches = [name for name in _listed(spark, f"{path}/{_HELD_LOG}/{connector}") if name.startswith("batch_id=") and released.get(connector, -1) < int(name.split("=", 1)[1]) and (below is None or int(name.split("=", 1)[1]) < below)]
+            if batches:
+                found[connector] = [f"{connector}/{name}" for name in batches]
+    return found
+
+
+def read_held(spark: SparkSession, path: str, schema, below: int | None = None) -> DataFrame:
+    """Records that wait, in the order of nothing; ``schema``: of the feed."""
+    places = [place for batches in held_connectors(spark, path, below).values() for place in batches]
+    log = f"{path}/{_HELD_LOG}"
+    return spark.read.schema(schema).parquet(*[f"{log}/{place}" for place in places]) if places else spark.createDataFrame([], schema)
+
+
+def connector_folder(connector: str | None) -> str:
+    return _partition("connector", connector)
+
+
+def hold(records: DataFrame, path: str, batch_id: int) -> None:
+    """Add a batch's records of held connectors, with their ``connector``, to the log; nothing that waits is written again."""
+    rows = records.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("connector", "batch_id").parquet(f"{path}/{_HELD_LOG}")
+
+
+def release(spark: SparkSession, path: str, batch_id: int, connectors: Iterable[str]) -> None:
+    """Mark what waits of these connectors (by folder) as delivered by a batch."""
+    fs, file = _file_system(spark, f"{path}/{_RELEASED}/{batch_id}")
+    stream = fs.create(file, True)
+    stream.write(json.dumps(sorted(connectors)).encode())
+    stream.close()
+
+
+def drop_released(spark: SparkSession, path: str, below: int) -> None:
+    """Remove records that batches before this one have delivered: those batches will not run again."""
+    for number in _numbered(spark, f"{path}/{_RELEASED}"):
+        if number >= below:
+            continue
+        for connector in json.loads(read_text(spark, f"{path}/{_RELEASED}/{number}")):
+            for name in _listed(spark, f"{path}/{_HELD_LOG}/{connector}"):
+                if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= number:
+                    fs, folder = _file_system(spark, f"{path}/{_HELD_LOG}/{connector}/{name}")
+                    fs.delete(folder, True)
+        fs, file = _file_system(spark, f"{path}/{_RELEASED}/{number}")
+        fs.delete(file, False)
 
 
 #: Below the history folder and hidden from readers: rewritten partitions until they are in place.

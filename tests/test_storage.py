@@ -367,3 +367,126 @@ def test_a_lookup_of_an_absent_event_passes_over_compacted_files(spark, tmp_path
         assert bool(collected) == rows and (sum(read) > 0 or not rows)
         if not rows:
             assert sum(read) == 0
+
+
+def test_a_replaced_writer_cannot_replace_a_snapshot(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    numbers = lambda: [r.id for r in storage.read_snapshot(spark, path).collect()]
+    storage.write_registry(spark.range(1, 2), path, 0)
+    storage.write_registry(spark.range(7, 8), path, 1, fence=7, writer="old")
+    storage.write_registry(spark.range(8, 9), path, 1, fence=8, writer="new")
+    for version in (1, 2, 99):
+        with pytest.raises(storage.SourceFenced, match="SOURCE_FENCED"):
+            storage.write_registry(spark.range(70, 71), path, version, fence=7, writer="old")
+    assert numbers() == [8]
+    with pytest.raises(storage.SourceFenced, match="another writer"):
+        storage.write_registry(spark.range(80, 81), path, 1, fence=8, writer="third")
+    storage.write_registry(spark.range(9, 10), path, 1, fence=8, writer="new")  # again after a crash
+    assert numbers() == [9]
+    # A replaced writer that was already past its claim finishes late: its version never counts as the newest.
+    spark.range(71, 72).write.parquet(f"{path}/fence=7/version=500")
+    assert numbers() == [9] and [r.id for r in storage.read_snapshot(spark, path, below=1, fence=8).collect()] == [71]
+
+
+def test_two_writers_at_one_version(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "status")
+
+    def write(n):
+        try:
+            storage.write_snapshot(spark.range(n, n + 1), path, 0, fence=3, writer=f"w{n}")
+            return n
+        except storage.SourceFenced:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [n for n in pool.map(write, range(4)) if n is not None]
+    assert len(won) == 1 and [r.id for r in storage.read_snapshot(spark, path).collect()] == won
+
+
+def test_old_versions_go_after_their_time(spark, tmp_path):
+    import time
+
+    path = str(tmp_path / "status")
+    for version in range(4):
+        storage.write_snapshot(spark.range(version, version + 1), path, version, fence=None if version < 2 else 5, writer="w")
+    assert storage.drop_old_versions(spark, path, 3600) == 0
+    assert storage.drop_old_versions(spark, path, 3600, now=time.time() + 7200) == 3
+    assert [r.id for r in storage.read_snapshot(spark, path).collect()] == [3] and storage.latest_version(spark, path) == 3
+
+
+def test_status_of_a_replaced_reader_does_not_count(spark, tmp_path):
+    columns = "source_id string, state string, message string, updated_at timestamp, last_event_at timestamp, last_commit_lsn string, retention_minutes int, retention_headroom_seconds bigint"
+    row = lambda state, minute: ("hr", state, None, dt.datetime(2026, 1, 1, 0, minute), None, None, None, None)
+    path = str(tmp_path / "status")
+
+    def run(state, minute, name, fence):
+        folder = str(tmp_path / f"metrics-{name}")
+        spark.createDataFrame([row(state, minute)], columns).write.mode("append").parquet(folder)
+        streams.stream_status(spark.readStream.schema(columns).parquet(folder), path, str(tmp_path / f"checkpoint-{name}"), available_now=True, fences={"hr": fence},
+                              read_activation=lambda: spark.createDataFrame([("hr", fence)], "source_id string, fence bigint")).awaitTermination()
+
+    run("RUNNING", 1, "old", 7)
+    run("RUNNING", 2, "new", 8)
+    with pytest.raises(Exception, match="SOURCE_FENCED"):
+        run("ERROR", 3, "old", 7)
+    assert [(r.state, r.updated_at.minute) for r in storage.read_snapshot(spark, path).collect()] == [("RUNNING", 2)]
+
+
+def test_bounded_dedupe_keeps_late_events_and_little_state(spark, tmp_path):
+    import time
+
+    now = int(time.time() * 1000)
+    day = 86_400_000
+    parts = []
+    for n in range(8):
+        recent = [(f'{{"id":{n * 50 + i}}}', value(after={}, serial=n * 50 + i, millis=now)) for i in range(50)]
+        old = [(f'{{"id":{9000 + i}}}', value(after={}, serial=9000 + i, millis=now - 30 * day)) for i in range(5)]
+        parts.append(recent + recent[:10] + old)
+    write_feed(spark, tmp_path / "feed", *parts)
+    parsed = changes.parse_change_feed(inputs.stream_change_feed(spark, str(tmp_path / "feed"), max_files=1), source(spark))
+    query = streams.stream_dedupe_bounded(parsed, str(tmp_path / "history"), str(tmp_path / "checkpoint"), horizon="1 second", available_now=True)
+    query.awaitTermination()
+    state = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.numInputRows]
+    stored = storage.read_history(spark, str(tmp_path / "history"))
+    assert stored.count() == 405 == stored.select("event_id").distinct().count()
+    assert len(state) == 8 and max(state[4:]) <= 165, state
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_a_repaired_source_is_released_without_new_input(spark, tmp_path):
+    import time
+
+    feed(spark, *records(0, 3)).unionByName(feed(spark, *(records(10, 13) + [('{"id":50}', value(after={}, serial=50, table="Late"))]), tenant="OTHER")).coalesce(1).write.parquet(str(tmp_path / "feed"))
+    allowed = [source(spark).unionByName(source(spark, tenant="OTHER"))]
+    history_path, held_path = str(tmp_path / "history"), str(tmp_path / "held")
+    query = streams.stream_isolated(inputs.stream_change_feed(spark, str(tmp_path / "feed")), lambda: allowed[0], history_path, held_path, str(tmp_path / "checkpoint"),
+                                    retry_seconds=1, interval="1 second", wire_path=str(tmp_path / "wire"))
+    schema = "key string, value string, destination string, captured_at timestamp"
+
+    def until(done):
+        deadline = time.time() + 90
+        while not done():
+            assert query.isActive and time.time() < deadline, query.exception()
+            time.sleep(0.5)
+
+    def size():
+        return sum(f.stat().st_size for f in (tmp_path / "held").rglob("*.parquet"))
+
+    try:
+        until(lambda: storage.path_exists(spark, history_path) and ids(spark, history_path) == [0, 1, 2] and storage.held_connectors(spark, held_path))
+        assert storage.read_held(spark, held_path, schema).count() == 4
+        before, batch = size(), query.lastProgress.batchId
+        until(lambda: query.lastProgress.batchId >= batch + 3)
+        assert size() == before, "what waits is not written again"
+        feed(spark, *records(13, 15), tenant="OTHER").unionByName(feed(spark, *records(3, 4))).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+        until(lambda: ids(spark, history_path) == [0, 1, 2, 3])
+        until(lambda: storage.read_held(spark, held_path, schema).count() == 6)
+        # Nothing comes any more; the sources are repaired.
+        allowed[0] = source(spark).unionByName(source(spark, tenant="OTHER", tables=("dbo.Contract", "dbo.Late")))
+        until(lambda: ids(spark, history_path) == [0, 1, 2, 3, 10, 11, 12, 13, 14, 50])
+        until(lambda: not storage.held_connectors(spark, held_path) and not list((tmp_path / "held").rglob("*.parquet")))
+    finally:
+        query.stop()
+    assert spark.read.parquet(str(tmp_path / "wire")).select("event_id").distinct().count() == 10
