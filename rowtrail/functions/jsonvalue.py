@@ -76,15 +76,60 @@ def is_fractional(value: Column) -> Column:
 def by_number_kind(fields: Column) -> Column:
     """Field values whose fractional numbers are doubles, so that JSON text tells 12 from 12.0 but not 1e3 from 1000.0.
 
-    Numbers inside nested objects and arrays stay as VARIANT holds them.
+    Numbers inside nested objects and arrays stay as VARIANT holds them; see :func:`marked` for those.
     """
     return F.transform_values(fields, lambda _, v: F.when(is_fractional(v), F.try_variant_get(v, "$", "double").cast("variant")).otherwise(v))
 
 
-def canonical(value: Column) -> Column:
-    """JSON text with the names of every object in order; arrays keep theirs. Whole and fractional numbers stay apart."""
+#: Before a fractional number that is kept as a string: a character without meaning, which documents of this kind do not hold.
+MARK = "\ue000"
+#: What lies before the next fractional number (strings, whole numbers and all else), and that number.
+_NEXT_FRACTION = (
+    r'\G((?:[^"0-9\-]++|"(?:[^"\\]++|\\.)*+"|-?[0-9]++(?![0-9.eE]))*+)(-?[0-9]++(?:\.[0-9]++(?:[eE][+\-]?[0-9]++)?|[eE][+\-]?[0-9]++))')
+#: Significant digits that a double always holds.
+_DOUBLE_DIGITS = 15
+
+
+def needs_marks(kinds: Column) -> Column:
+    """Whether a document of this VARIANT type has fractional numbers below its top level, or with more digits than a double."""
+    inside = F.substring(kinds, 2, 1 << 30).rlike(r"OBJECT<|ARRAY<") | F.startswith(kinds, F.lit("ARRAY<"))
+    return F.coalesce((inside & kinds.rlike(r"DECIMAL\(|DOUBLE|FLOAT|VARIANT")) | kinds.rlike(r"DECIMAL\((1[6-9]|[23]\d),[1-9]"), F.lit(False))
+
+
+def _written(number: Column) -> Column:
+    """A fractional number's one form: a double's, or its own digits where a double would lose some or all."""
+    double, exact = number.cast("double"), number.try_cast("decimal(38,18)")
+    digits = F.length(F.regexp_replace(F.substring_index(F.lower(number), "e", 1), "[^0-9]", ""))
+    own = F.regexp_replace(F.regexp_replace(exact.cast("string"), "0+$", ""), r"\.$", ".0")
+    beyond = F.abs(double) == float("inf")
+    return F.when(beyond, F.lower(number)).when((digits > _DOUBLE_DIGITS) & exact.isNotNull() & ~F.coalesce(double.cast("string").try_cast("decimal(38,18)") == exact, F.lit(False)), own).otherwise(double.cast("string"))
+
+
+def marked(text: Column) -> Column:
+    """JSON text whose fractional numbers, at any depth, are strings of their one form behind a mark; VARIANT then keeps them apart from whole ones."""
+    parts = F.split(F.regexp_replace(text, _NEXT_FRACTION, f'$1"{MARK}$2"'), f'"{MARK}')
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda part: F.concat(F.lit(f'"{MARK}'), _written(F.substring_index(part, '"', 1)), F.substring(part, F.instr(part, '"'), F.length(part))))
+    return F.when(F.contains(text, F.lit(MARK)), text).otherwise(F.concat(parts[0], F.array_join(rest, "")))
+
+
+def unmarked(text: Column) -> Column:
+    """JSON text with the marked numbers as numbers."""
+    return F.when(F.contains(text, F.lit(MARK)), F.regexp_replace(text, f'"{MARK}([^"]*)"', "$1")).otherwise(text)
+
+
+def marked_fields(text: Column) -> Column:
+    """The fields of an object's text as a map, with marked numbers."""
+    return object_at(parse(marked(text)), "$")
+
+
+def canonical(value: Column, value_marked: Column) -> Column:
+    """JSON text with the names of every object in order; arrays keep theirs. Whole and fractional numbers stay apart at every depth.
+
+    ``value_marked`` is the same value parsed from :func:`marked` text; it is read only where it is needed.
+    """
     mixed = F.startswith(kind(value), F.lit("OBJECT<")) & kind(value).rlike("DECIMAL|DOUBLE|FLOAT")
-    return F.when(mixed, F.to_json(by_number_kind(object_at(value, "$")))).otherwise(F.to_json(value))
+    shallow = F.when(mixed, F.to_json(by_number_kind(object_at(value, "$")))).otherwise(F.to_json(value))
+    return F.when(needs_marks(kind(value)), unmarked(F.to_json(value_marked))).otherwise(shallow)
 
 
 def names(fields: Column) -> Column:
@@ -104,7 +149,7 @@ def _entries(fields: Column) -> Column:
 
 def _differing_in_general(before: Column, after: Column) -> Column:
     """Names of entries that only one side has; as sets of text, which stays linear for a wide row."""
-    left, right = _entries(by_number_kind(before)), _entries(by_number_kind(after))
+    left, right = _entries(before), _entries(after)
     changed = F.concat(F.array_except(left, right), F.array_except(right, left))
 
     def name(entry: Column) -> Column:
@@ -137,7 +182,8 @@ def with_differing_names(frame: DataFrame, name: str, before: str, after: str, b
         F.when(b.isNull() & a.isNull(), F.array().cast("array<string>"))
         .when(~both, F.sort_array(F.map_keys(F.coalesce(b, a))))
         .when(alike, F.sort_array(differing))
-        .otherwise(_differing_in_general(b, a)))
+        .when(needs_marks(shape) | needs_marks(F.col("_a_shape")), _differing_in_general(marked_fields(F.col(before_text)), marked_fields(F.col(after_text))))
+        .otherwise(_differing_in_general(by_number_kind(b), by_number_kind(a))))
     return read.withColumn(name, found).drop("_b_shape", "_a_shape", "_b_texts", "_a_texts")
 
 

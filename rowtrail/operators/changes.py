@@ -119,7 +119,7 @@ def _fields(feed: DataFrame) -> DataFrame:
     text = F.col("_text")
     parts = documents.select(
         *[F.col(c) for c in feed.columns], "_connector", "_key", "_key_malformed", "_value_malformed",
-        jsonvalue.canonical(F.col("_key")).alias("_record_key"),
+        jsonvalue.canonical(F.col("_key"), jsonvalue.payload(jsonvalue.parse(jsonvalue.marked(F.col("key"))))).alias("_record_key"),
         jsonvalue.at(value, "$.op").alias("_op_kind"),
         F.try_variant_get(value, "$.source", _KIND_TYPE).alias("_kinds"),
         jsonvalue.object_at(value, "$.before").alias("_before"),
@@ -292,7 +292,7 @@ def parse_change_feed(feed: DataFrame, sources: DataFrame, captured_at: Column |
 
 
 def canonical_key(frame: DataFrame, column: str = "key") -> DataFrame:
-    return frame.withColumn("record_key", jsonvalue.canonical(jsonvalue.parse(F.col(column))))
+    return frame.withColumn("record_key", jsonvalue.canonical(jsonvalue.parse(F.col(column)), jsonvalue.parse(jsonvalue.marked(F.col(column)))))
 
 
 def changed_properties(frame: DataFrame, before: str = "before_json", after: str = "after_json") -> DataFrame:

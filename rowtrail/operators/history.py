@@ -152,16 +152,18 @@ def image_path_filter(history: DataFrame, path: str, value: str) -> DataFrame:
 
 def field_changes(history: DataFrame, changed_only: bool = False, name_like: str | None = None) -> DataFrame:
     """One row per event and field: kind and JSON text of its value before and after."""
-    fields = history.select(
-        "event_id",
-        *[jsonvalue.by_number_kind(jsonvalue.object_at(jsonvalue.parse(F.col(side)), "$")).alias(alias) for side, alias in (("before_json", "_b"), ("after_json", "_a"))])
+    def typed(side: str) -> Column:
+        read = jsonvalue.parse(F.col(side))
+        return F.when(jsonvalue.needs_marks(jsonvalue.kind(read)), jsonvalue.marked_fields(F.col(side))).otherwise(jsonvalue.by_number_kind(jsonvalue.object_at(read, "$")))
+
+    fields = history.select("event_id", typed("before_json").alias("_b"), typed("after_json").alias("_a"))
     rows = fields.select("event_id", "_b", "_a", F.explode(F.array_union(jsonvalue.names(F.col("_b")), jsonvalue.names(F.col("_a")))).alias("field"))
     if name_like:
         rows = rows.filter(F.contains(F.lower("field"), F.lower(F.lit(name_like))))
     read = rows.select(
         "event_id", "field",
-        F.to_json(F.try_element_at("_b", F.col("field"))).alias("before_value"),
-        F.to_json(F.try_element_at("_a", F.col("field"))).alias("after_value"))
+        jsonvalue.unmarked(F.to_json(F.try_element_at("_b", F.col("field")))).alias("before_value"),
+        jsonvalue.unmarked(F.to_json(F.try_element_at("_a", F.col("field")))).alias("after_value"))
     result = read.select(
         "event_id", "field", jsonvalue.value_kind(F.col("before_value")).alias("before_kind"), "before_value",
         jsonvalue.value_kind(F.col("after_value")).alias("after_kind"), "after_value",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtrail.functions import lsn
+from rowtrail.operators.history import in_spans
 
 _COORDINATES = ["tenant_id", "source_id", "schema_name", "table_name", "commit_bytes", "change_bytes", "operation"]
 
@@ -19,12 +20,26 @@ def changes_to_reconcile(change_rows: DataFrame, tenant: str, source: str, schem
         F.when(kind == 1, "DELETE").when(kind == 2, "INSERT").otherwise("UPDATE").alias("operation"))
 
 
+def _spans(changes: DataFrame) -> list[dict]:
+    """Range of stored position texts of each source's changes: (tenant_id, source_id, low, high); one entry a source comes to the driver.
+
+    Texts may be in capitals or not. Capitals sort before small letters and after digits, so every text of a position within the range lies between
+    its least one in capitals and its greatest one in small letters.
+    """
+    rows = changes.filter(F.length("commit_bytes") == 10).groupBy("tenant_id", "source_id").agg(F.min("commit_bytes").alias("low"), F.max("commit_bytes").alias("high"))
+    read = rows.select("tenant_id", "source_id", F.upper(lsn.lsn_text(F.col("low"))).alias("low"), F.lower(lsn.lsn_text(F.col("high"))).alias("high"))
+    return [row.asDict() for row in read.collect()]
+
+
 def reconcile_source(changes: DataFrame, history: DataFrame) -> DataFrame:
     """Each change with ``matches``, its number of history rows.
 
-    The history is counted per coordinate before the join, so copies of one event cross the shuffle as one row.
+    Only the history of the changes' tenants in their range of positions is read: partitions are skipped by the one, row groups by the other.
+    It is counted per coordinate before the join, so copies of one event cross the shuffle as one row.
     """
-    counted = history.select(
+    spans = _spans(changes)
+    named = F.col("tenant_id").isin(sorted({s["tenant_id"] for s in spans if s["tenant_id"] is not None})) if spans else F.lit(False)
+    counted = history.filter(named & in_spans(spans)).select(
         "tenant_id", "source_id", "schema_name", "table_name", lsn.lsn_bytes(F.col("commit_lsn")).alias("commit_bytes"),
         lsn.lsn_bytes(F.col("change_lsn")).alias("change_bytes"), "operation",
     ).groupBy(*_COORDINATES).agg(F.count(F.lit(1)).alias("matches"))

@@ -434,6 +434,38 @@ def _(spark, sf_dir):
     return history.field_changes(_number_images(spark, sf_dir), changed_only=True).select("event_id", "field", "before_value", "after_value")
 
 
+#: Numbers below the top level, in the forms they come in and the one form each is read as.
+_NESTED = ["[1]", "[1.0]", "[1e0]", '{"k":1}', '{"k":1.0}', '{"k":[{"z":1.50,"s":"1.0"}]}', '{"k":[{"s":"1.0","z":1.5}]}', "12345678901234567.88", "12345678901234567.89"]
+_READ_NESTED = ["[1]", "[1.0]", "[1.0]", '{"k":1}', '{"k":1.0}', '{"k":[{"s":"1.0","z":1.5}]}', '{"k":[{"s":"1.0","z":1.5}]}', "12345678901234567.88", "12345678901234567.89"]
+_NESTED_BEFORE, _NESTED_AFTER = (f"CAST({part} % 9 AS INT)" for part in ("event_id", "floor(event_id / 9)"))
+
+
+def _nested_images(spark, sf_dir):
+    images = {"before_json": _number(_NESTED_BEFORE, _NESTED), "after_json": _number(_NESTED_AFTER, _NESTED)}
+    return feeds.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), *[F.expr(f"""'{{"id":' || {text} || ',"at":1}}'""").alias(name) for name, text in images.items()])
+
+
+@query("canonical_key_nested_numbers", f"""
+  SELECT event_id, '{{"at":' || event_id || ',"id":' || {_number(_NESTED_BEFORE, _READ_NESTED)} || '}}' AS record_key FROM events""")
+def _(spark, sf_dir):
+    keys = feeds.table(spark, sf_dir, "events").select("event_id", F.expr(f"""'{{"id":' || {_number(_NESTED_BEFORE, _NESTED)} || ',"at":' || event_id || '}}'""").alias("key"))
+    return changes.canonical_key(keys).select("event_id", "record_key")
+
+
+@query("changed_properties_nested_numbers", f"""
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN {_number(_NESTED_BEFORE, _READ_NESTED)} = {_number(_NESTED_AFTER, _READ_NESTED)} THEN '[]' ELSE '["id"]' END AS changed_properties FROM events""")
+def _(spark, sf_dir):
+    return changes.changed_properties(_nested_images(spark, sf_dir)).select("event_id", "changed_properties")
+
+
+@query("field_changes_nested_numbers", f"""
+  SELECT CAST(event_id AS VARCHAR) AS event_id, 'id' AS field, {_number(_NESTED_BEFORE, _READ_NESTED)} AS before_value, {_number(_NESTED_AFTER, _READ_NESTED)} AS after_value
+  FROM events WHERE {_number(_NESTED_BEFORE, _READ_NESTED)} <> {_number(_NESTED_AFTER, _READ_NESTED)}""")
+def _(spark, sf_dir):
+    return history.field_changes(_nested_images(spark, sf_dir), changed_only=True).select("event_id", "field", "before_value", "after_value")
+
+
 @query("changed_name_union", _sql("""
   SELECT event_id, CASE WHEN b_flag IS NULL AND a_flag IS NULL THEN '["event_type","note","score","value"]'
     ELSE '["event_type","flag","note","score","value"]' END AS all_properties FROM f2""", "f2"))

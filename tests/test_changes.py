@@ -59,6 +59,24 @@ def test_whole_and_fractional_numbers_are_different_keys(spark, key, written):
     assert parse(spark, (f'{{"id":{key},"a":"1.0"}}', value(after={})))[0].record_key == f'{{"a":"1.0","id":{written}}}'
 
 
+@pytest.mark.parametrize("key, written", [
+    ('[1]', '[1]'), ('[1.0]', '[1.0]'), ('[1e0, -2.50,3]', '[1.0,-2.5,3]'), ('{"z":1.0,"a":{"b":[1,1.0,"1.0"]}}', '{"a":{"b":[1,1.0,"1.0"]},"z":1.0}'),
+    ('["a \\\\\\" 1.5 \\\\", 1.5]', '["a \\\\\\" 1.5 \\\\",1.5]'), ('[12345678901234567890123]', '[12345678901234567890123]'),
+    ('[12345678901234567.88]', '[12345678901234567.88]'), ('12345678901234567.890', '12345678901234567.89'), ('[0.1, 1E400, true, null, 1.0e2]', '[0.1,1e400,true,null,100.0]'), ('[1.0,"a"]', '[1.0,"a"]'), ('{"a":[[],{"b":["x",2.0]}]}', '{"a":[[],{"b":["x",2.0]}]}'), ("[" * 40 + "1.0" + "]" * 40, "[" * 40 + "1.0" + "]" * 40),
+])
+def test_numbers_keep_their_kind_at_every_depth(spark, key, written):
+    row = parse(spark, (f'{{"id":{key},"a":1}}', value(after={})))[0]
+    assert row.record_key == f'{{"a":1,"id":{written}}}'
+    again = changes.canonical_key(spark.createDataFrame([(row.record_key,)], "key string")).first().record_key
+    assert again == row.record_key, "the written form reads as itself"
+
+
+def test_long_documents_are_marked_without_deep_recursion(spark):
+    text = '{"k":[' + ",".join(f'{i},"s{i}",{i}.50' for i in range(20_000)) + "]}"
+    images = spark.createDataFrame([(text, text.replace("77.50", "77.5")), (text, text.replace("77.50", "77.51"))], "before_json string, after_json string")
+    assert [r.changed_properties for r in changes.changed_properties(images).collect()] == ["[]", '["k"]']
+
+
 def test_equal_numbers_of_another_form_are_no_difference(spark):
     images = spark.createDataFrame([('{"k":1e3,"n":1.50}', '{"k":1000.0,"n":1.5}')], "before_json string, after_json string")
     assert changes.changed_properties(images).first().changed_properties == "[]"
