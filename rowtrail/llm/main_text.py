@@ -5,6 +5,9 @@ from labelled pages: those that mark their main region by one ``article`` or ``m
 sample of them. One linear scan finds the run of tokens with the greatest sum; its words, without those of menus,
 adverts, forms and the like, are the text: a line for each block.
 
+Within a marked article only what is furniture by its whole name is left out, at no cost to the run; several marked articles are one region, without
+what stands between them.
+
 Weights are log odds of lying inside the marked region, drawn towards fixed defaults where the sample says little.
 
 Cases: null or empty html gives an empty text; broken markup is read as far as it goes, an unfinished tag at the
@@ -32,11 +35,11 @@ DEFAULT_STRENGTH = 20.0
 
 # Names of the public markup language and of common page furniture.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript iframe template svg math xmp".split())
-LEFT_OUT = set("head nav footer aside form menu button select dialog object canvas audio video map datalist".split())
+RAW = set("script style title textarea noscript iframe template svg".split())
+LEFT_OUT = set("head nav footer aside form menu button select dialog datalist".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption".split())
+    "header hgroup hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption xmp".split())
 REPEATING = set("li dt dd tr td th option p".split())
 MARKED = {"article", "main"}
 ALWAYS = set(
@@ -52,6 +55,11 @@ STATE_BEFORE, STATE_AFTER = set("has with no without".split()), set("open opened
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "respond"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog".split())
 
+#: Elements whose class or role may make them furniture; of others (headings, paragraphs, words) it says nothing.
+CONTAINERS = set("article aside blockquote center details dialog div dl fieldset figure footer header hgroup li main menu nav ol section table td tr ul body".split())
+#: Words that tell only the form of a part beside a word that names furniture (related-posts, ad-slot).
+PARTS = set("wrapper container box block section area slot unit list posts links link buttons button bar inner outer holder widget panel content".split())
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
@@ -61,10 +69,16 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 #: Defaults by kind of token. Words in links count for less; the element that marks an article is a wall.
 WORD, LINK_WORD = 1.0, 0.3
 INLINE, TEXT_BLOCK, OTHER_BLOCK, LINK, FURNITURE, WALL = -0.02, -0.1, -0.5, -0.5, -2.0, -30.0
-TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dt dd figure figcaption br hr table tbody thead tfoot tr caption".split())
+TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dt dd figure figcaption br hr table tbody thead tfoot tr caption xmp".split())
+
+
+#: An element that is left out of a marked article: it costs nothing, as its words are passed over already.
+LEFT = "left out"
 
 
 def default(kind: str) -> float:
+    if kind == LEFT:
+        return 0.0
     if kind.startswith("word"):
         return LINK_WORD if kind.endswith(" a") else WORD
     name = kind.lstrip("/")
@@ -85,8 +99,12 @@ def stated(words: list[str]) -> bool:
     return bool(places) and (words[-1] in STATE_AFTER or not STATE_BEFORE.isdisjoint(words[:places[0]]))
 
 
-def furniture(attributes: str) -> set[str]:
-    """Words in an element's class, id or role that name page furniture."""
+def furniture(attributes: str, in_article: bool = False) -> set[str]:
+    """Words in an element's class, id or role that name page furniture.
+
+    An id of several words is the slug of a title, not a kind. Within a marked article a class is furniture only as a whole: ``alert-level`` or
+    ``social-history`` names a subject, ``related-posts`` a part of the page.
+    """
     found: set[str] = set()
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values)
@@ -94,9 +112,13 @@ def furniture(attributes: str) -> set[str]:
             found |= ROLES & {value.strip().lower()}
             continue
         parts = [[word.lower() for word in _WORDS.findall(part)] for part in value.split()]
+        if name.lower() == "id":
+            parts = [words for words in parts if len(words) == 1]
         holds = any(CONTENT.issuperset(words) and not HOLDERS.isdisjoint(words) for words in parts)
         for listed in parts:
             words = set(listed)
+            if in_article and not words <= ALWAYS | UNLESS_CONTENT | PARTS:
+                continue
             if not stated(listed):
                 found |= words & (ALWAYS - LAYOUT if holds else ALWAYS)
             if not words & CONTENT:
@@ -105,23 +127,36 @@ def furniture(attributes: str) -> set[str]:
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
-    """Tokens in page order: (kind, text, breaks a block). Words of page furniture are passed over."""
+    """Tokens in page order: (kind, text, breaks a block). Words of page furniture are passed over.
+
+    Each element is put on the stack and taken off once, so the time grows with the page and not with its depth.
+    """
     stack: list[str] = []
+    blocks: list[str] = ["body"]
     depth = Counter()
     hidden_from: int | None = None  # stack height of the furniture we are in
     strict = False  # it stays furniture even if an article opens in it
-    links = 0
-    at, end = 0, len(page)
+    marked = False  # it lies in a marked article, whose run it does not end
+
+    def opened(name: str) -> None:
+        stack.append(name)
+        depth[name] += 1
+        if name in BLOCKS:
+            blocks.append(name)
 
-    def context() -> str:
-        block = next((name for name in reversed(stack) if name in BLOCKS), "body")
-        return f"word {block}" + " a" * (links > 0)
+    def closed() -> str:
+        name = stack.pop()
+        depth[name] -= 1
+        if name in BLOCKS:
+            blocks.pop()
+        return name
 
+    at, end = 0, len(page)
     while at < end:
         match = _TOKEN.search(page, at)
         stop = match.start() if match else end
         if stop > at and hidden_from is None:
-            yield context(), page[at:stop], False
+            yield f"word {blocks[-1]}" + " a" * (depth["a"] > 0), page[at:stop], False
         if not match:
             break
         at = match.end()
@@ -132,15 +167,11 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         breaks = name in BLOCKS
         if closing:
             if depth[name]:
-                while stack:
-                    last = stack.pop()
-                    depth[last] -= 1
-                    links -= last == "a"
-                    if last == name:
-                        break
+                while closed() != name:
+                    pass
                 if hidden_from is not None and len(stack) < hidden_from:
                     hidden_from = None
-                    yield "/furniture", "", True
+                    yield LEFT if marked else "/furniture", "", True
                     continue
             if hidden_from is None:
                 yield f"/{name}", "", breaks
@@ -150,6 +181,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
             at = ending.end() if ending else end
             continue
         attributes = match["rest"] or ""
+        in_article = depth["article"] > 0 or depth["main"] > 0
         if hidden_from is not None and name in MARKED and not strict and not furniture(attributes):
             hidden_from = None
         if name in VOID:
@@ -157,16 +189,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                 yield name, "", breaks
             continue
         if name in REPEATING and stack and stack[-1] == name or stack and stack[-1] == "p" and breaks:
-            depth[stack.pop()] -= 1
-        stack.append(name)
-        depth[name] += 1
-        links += name == "a"
+            closed()
+        opened(name)
         if hidden_from is not None:
             continue
-        signs = furniture(attributes) if attributes and name not in ("html", "body") else set()
-        if name in LEFT_OUT or signs or name == "header" and not (depth["article"] or depth["main"]):
-            hidden_from, strict = len(stack), name in LEFT_OUT or bool(signs & COMMENTS)
-            yield "furniture", "", True
+        signs = furniture(attributes, in_article) if attributes and name in CONTAINERS and name != "body" else set()
+        if name in LEFT_OUT or signs or name == "header" and not in_article:
+            hidden_from, strict, marked = len(stack), name in LEFT_OUT or bool(signs & COMMENTS), in_article
+            yield LEFT if marked else "furniture", "", True
         else:
             yield name, "", breaks
 
@@ -180,6 +210,8 @@ def kind_counts(page: str) -> Counter:
         if name in MARKED:
             inside = max(0, inside + (-1 if kind[0] == "/" else 1))
             continue
+        if kind == LEFT:
+            continue
         counts[kind, inside > 0] += len(text.split()) if kind.startswith("word") else 1
     return counts
 
@@ -207,9 +239,28 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def joined_articles(listed: list[tuple[str, str, bool]]) -> list[tuple[str, str, bool]]:
+    """Tokens of a page with several marked regions as of one region: what stands between them is left out, at no cost."""
+    edges, inside = [], 0
+    for place, (kind, _, _) in enumerate(listed):
+        name = kind.lstrip("/")
+        if name in MARKED:
+            before = inside
+            inside = max(0, inside + (-1 if kind[0] == "/" else 1))
+            if (before > 0) != (inside > 0):
+                edges.append(place)
+    if len(edges) <= 2:
+        return listed
+    out, done = [], 0
+    for closing, opening in zip(edges[1:-1:2], edges[2::2], strict=False):
+        out += listed[done:closing] + [(LEFT, "", True)]
+        done = opening + 1
+    return out + listed[done:]
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text of a whole page, a line for each block."""
-    listed = list(tokens(page or ""))
+    listed = joined_articles(list(tokens(page or "")))
     scores = []
     for kind, text, _ in listed:
         weight = weights[kind] if kind in weights else default(kind)
@@ -219,14 +270,14 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     parts: list[str] = []
 
     def close() -> None:
-        line = " ".join(html.unescape("".join(parts)).split())
+        line = " ".join("".join(parts).split())
         if line:
             blocks.append(line)
         parts.clear()
 
     for kind, text, breaks in listed[first:last]:
         if kind.startswith("word"):
-            parts.append(text)
+            parts.append(html.unescape(text))  # a reference ends where a tag begins
         elif breaks:
             close()
         elif kind in ("br", "td", "th", "/td", "/th"):

@@ -151,6 +151,36 @@ def test_furniture_named_with_a_content_word_stays_hidden(named):
     assert main_text.extract(f"<body><p>The text.</p><div class='{named}'>words of no text</div></body>", {}) == "The text."
 
 
+ARTICLE = ("<article><h1>T</h1><h2 id='social-history'>Social history</h2><p>one two three</p><h2 id='related-work'>Related work</h2><p>more words here</p>"
+           "<p class='note alert-level'>An alert level of four.</p><section id='comments-on-theory'><p>A section on theory.</p></section></article>")
+
+
+@pytest.mark.parametrize("learned", [False, True])
+def test_an_article_keeps_all_its_text(spark, learned):
+    weights = main_text.learn_weights(spark.read.parquet(f"{SF_DIR}/pages.parquet")) if learned else {}
+    whole = "T\nSocial history\none two three\nRelated work\nmore words here\nAn alert level of four.\nA section on theory."
+    assert main_text.extract(f"<body><nav>menu</nav>{ARTICLE}<footer>end</footer></body>", weights) == whole
+    parts = "<article><p>Before.</p><div class='{}'>words of no text</div><p>After it.</p></article>"
+    for named in ("ad", "related-posts", "ad-slot", "comments", "newsletter-box", "share-buttons"):
+        assert main_text.extract(parts.format(named), weights) == "Before.\nAfter it.", named
+    for named in ("social-history", "alert-level", "search-theory", "ad-hoc"):
+        assert main_text.extract(parts.format(named), weights) == "Before.\nwords of no text\nAfter it.", named
+    assert main_text.extract("<article><p>Let <math><mi>x</mi><mo>+</mo><mn>1</mn></math> be.</p><xmp>raw text</xmp><object>shown instead</object></article>", weights) == "Let x+1 be.\nraw text\nshown instead"
+    two = "<article><p>The first one.</p></article><p>Between.</p><div class='ad'>buy</div><article><p>The second one.</p></article><footer>f</footer>"
+    assert main_text.extract(two, weights) == "The first one.\nThe second one."
+    assert main_text.extract("<p>a &am<b>p;</b> b &amp;lt; c &lt;</p>", weights) == "a &amp; b &lt; c <"
+
+
+def test_time_grows_with_the_page_and_not_with_its_depth():
+    def seconds(n):
+        began = time.process_time()
+        assert main_text.extract("<article>" + "<span>word " * n + "</article>", {}).count("word") == n
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(100_000) < 5
+
+
 def test_fingerprints_follow_the_successor(spark, odd, documents):
     for frame in (documents, odd, clashing(odd), odd.limit(0), odd.filter("doc_id = 7")):
         rows = [(r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()]
