@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtrail.llm.common import held, small_or_shuffled
-from rowtrail.llm.line_dedup import normal, text_class
+from rowtrail.llm.common import SPACES, held, small_or_shuffled
+from rowtrail.llm.line_dedup import _LOWER, _UPPER, text_class
 from rowtrail.llm.near_dedup import components
 
 WIDTH = 5
@@ -24,16 +24,16 @@ LIKE = 0.7
 
 def sketches(documents: DataFrame) -> DataFrame:
     """(same, sketch) of each class of equal texts that has a word."""
-    worded = documents.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(text_class(), F.transform(F.split(normal(F.col("text")), " "), lambda word: F.xxhash64(word)).alias("words"))
-    # The column of words is used several times, so it is made once for each row.
+    worded = documents.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(text_class(), F.split(F.translate(F.btrim("text", F.lit(SPACES)), _UPPER, _LOWER), r"[\x20\x09-\x0D]+").alias("words"))
+    # The column of words is used several times, so it is made once for each row; sort_array sorts plain numbers, without a comparator.
     shingled = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - WIDTH, F.lit(0))), lambda i: F.xxhash64(*[F.get(F.col("words"), i + k) for k in range(WIDTH)]))
-    sketch = F.slice(F.array_sort(F.array_distinct(shingled)), 1, SKETCH)
+    sketch = F.slice(F.sort_array(F.array_distinct(shingled)), 1, SKETCH)
     return held(worded.select("same", sketch.alias("sketch")).groupBy("same").agg(F.first("sketch").alias("sketch")), "copy-sketches")
 
 
 def likeness(one: Column, other: Column) -> Column:
     """Share of the union's least hashes that both sketches hold."""
-    least = F.slice(F.array_sort(F.array_union(one, other)), 1, SKETCH)
+    least = F.slice(F.sort_array(F.array_union(one, other)), 1, SKETCH)
     return F.size(F.array_intersect(least, F.array_intersect(one, other))) / F.size(least)
 
 

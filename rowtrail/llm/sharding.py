@@ -9,7 +9,7 @@ of some thousand rows; a row's rank is its place in its slice plus the rows of t
 filled whatever the sizes of the sources.
 
 Cases: a null text has 0 bytes; a null source is a source of its own; null ids are ordered by their text; repeated rows
-stand side by side and are alike in all but slot; an empty table gives none; with fewer rows than shards some shards
+have ranks one after the other, so that they are spread over shards like any rows of their source, and so are equal texts under different ids; an empty table gives none; with fewer rows than shards some shards
 are empty; other columns play no part.
 """
 

@@ -358,6 +358,101 @@ def test_shards_match_the_mixture(spark, odd, documents):
         assert all(abs(here[s] - n / 4) <= 1 for s, n in total.items())
 
 
+def test_shards_equal_plain_ranks(spark, odd, documents):
+    from fractions import Fraction
+
+    for frame, shards in ((documents, 40), (odd, 3)):
+        order = F.xxhash64(F.lit(sharding.SEED), F.coalesce(F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))))
+        rows = [(r.source, r.order, (r.doc_id is not None, r.doc_id or 0), zlib.crc32((r.text or "").encode()), len((r.text or "").encode()) + 16, r.doc_id) for r in frame.select("doc_id", "text", "source", order.alias("order")).collect()]
+        strata = defaultdict(list)
+        for row in rows:
+            strata["none" if row[0] is None else f"source {row[0]}"].append(row)
+        ranked = [(Fraction(2 * rank + 1, 2 * len(found)), name, *row[1:]) for name, found in strata.items() for rank, row in enumerate(sorted(found, key=lambda r: r[1:5]))]
+        ranked.sort(key=lambda r: r[:6])
+        want, slots = Counter(), Counter()
+        for place, (fraction, _, _, _, crc, size, doc_id) in enumerate(ranked):
+            shard = place * shards // len(ranked)
+            want[doc_id, size, crc, float(fraction), shard, slots[shard]] += 1
+            slots[shard] += 1
+        got = sharding.interleave(frame, shards).select("doc_id", "size", "text_crc32", "fraction", "shard", "slot").collect()
+        assert Counter(map(tuple, got)) == want
+
+
+def plain_fingerprint(text):
+    """Phrases by a set of byte strings, hashed by the definition; the least hash of each of 128 bins, its last 16 bits in hex."""
+    data, phrases, start = text.encode(), set(), 0
+    for end in range(1, len(data) + 1):
+        if data[start:end] not in phrases:
+            phrases.add(data[start:end])
+            start = end
+    least = {}
+    for phrase in phrases:
+        h = sum((byte + 1) * pow(fingerprints._BASE, k, 1 << 64) for k, byte in enumerate(phrase)) % (1 << 64)
+        for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+            h = (h ^ h >> 31) * factor % (1 << 64)
+        least[h >> 57] = min(h, least.get(h >> 57, h))
+    return "".join(f"{least[b] & 0xFFFF:04x}" if b in least else "----" for b in range(128))
+
+
+def test_fingerprints_equal_a_plain_parse(documents):
+    texts = [r.text or "" for r in documents.limit(25).collect()] + ["", "a", "aaaaaaaaaa" * 30, "Ünï 日本 😀 x" * 20]
+    for text in texts:
+        assert fingerprints.written(fingerprints.signature(text)) == plain_fingerprint(text)
+    agree = lambda a, b: [a[i:i + 4] == b[i:i + 4] for i in range(0, 512, 4) if a[i:i + 4] != "----" or b[i:i + 4] != "----"]
+    for one, other in zip(texts, texts[1:]):
+        same = agree(plain_fingerprint(one), plain_fingerprint(other))
+        assert fingerprints.likeness(fingerprints.signature(one), fingerprints.signature(other)) == (pytest.approx(sum(same) / len(same)) if same else 1.0)
+
+
+def test_log_ratio_equals_plain_counts(spark, documents):
+    import math
+
+    rows = [(r.doc_id, r.text or "") for r in documents.select("doc_id", "text").limit(60).collect()]
+    grams = {d: [int(g) for found in quality_rules.gram_buckets(t, quality_rules.BUCKETS) for g in found] for d, t in rows}
+    trusted, every = Counter(), Counter()
+    for d, found in grams.items():
+        every.update(found)
+        trusted.update(found if d % 3 == 0 else [])
+    size, prior = quality_rules.BUCKETS, quality_rules.PRIOR
+    total = [sum(c.values()) + size * prior for c in (trusted, every)]
+    ratio = lambda g: math.log((trusted[g] + prior) / total[0]) - math.log((every[g] + prior) / total[1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    judged = quality_rules.judge(spark, frame, quality_rules.log_ratios(*quality_rules.gram_counts(frame, F.col("doc_id") % 3 == 0))).collect()
+    for r in judged:
+        want = sum(map(ratio, grams[r.doc_id])) / max(1, len(grams[r.doc_id]))
+        assert r.score == pytest.approx(want, abs=1e-4) and (r.kept == (not r.base_failed and r.score >= quality_rules.THRESHOLD))
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    rejected = [r.doc_id for r in queries.op9_quality_rules(spark, SF_DIR).collect() if not r.base_failed and not r.kept]
+    assert rejected and all(labels.get(d) != 1 for d in rejected)
+
+
+def test_pipeline_rows_equal_a_chain_of_plain_steps(spark, documents):
+    import duckdb
+
+    names = documents.columns
+    kept = corpus_pipeline.held(corpus_pipeline.good_quality(spark, documents, SF_DIR), "test-quality")
+    component = {r.same: r.component for r in copies.copy_groups(kept).collect()}
+    same = {r.text: r.same for r in kept.select("text", line_dedup.text_class()).collect()}
+    rows = [(r.doc_id, r.text, r.source) for r in kept.collect()]
+    source = {r[0]: r[2] for r in rows}
+    cleaned = brute_lines(rows, line_dedup.MIN_SITES, lambda text: component.get(same[text], same[text]))
+    texts = [(d, t) for d, t in cleaned.elements()]
+    firsts = {d for (d, _, _, first), n in brute_components(texts, 5, 80).items() if first}
+    single = spark.createDataFrame([(t, "", source[d], 0, d) for d, t in texts if d in firsts], "text string, lang string, source string, n_chars long, doc_id long").toPandas()
+    con = duckdb.connect()
+    con.register("documents", single)
+    times = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, copies FROM ({mixing.SQL})").fetchall()}
+    ranks = {token: rank for rank, token in enumerate(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))}
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for d, t in texts:
+        if d in firsts:
+            ids = tuple(other.encode_ordinary(t or ""))
+            want[d, source[d], len(ids), ids] += times[d]
+    got = Counter((r.doc_id, r.source, r.n_tokens, tuple(r.ids)) for r in corpus_pipeline.run(spark, SF_DIR).collect())
+    assert got == +want and len(got) > 50 and names[0] == "doc_id"
+
+
 def test_stages_take_effect_on_all_that_came_before(spark, documents):
     docs, sizes = documents, []
     for name, stage in corpus_pipeline.STAGES:
