@@ -31,3 +31,11 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 3
+
+
+def test_the_entry_imports_without_a_library_of_the_optional_package():
+    import subprocess
+    import sys
+
+    hidden = "import sys; sys.modules['sentencepiece'] = None; import __spark_entry__ as e; names = e.queries(); assert 'append_history' in names and not any(n.startswith('op8') for n in names)"
+    assert subprocess.run([sys.executable, "-c", hidden], capture_output=True, cwd=str(__import__("pathlib").Path(__file__).resolve().parents[1])).returncode == 0
