@@ -144,10 +144,23 @@ def event_detail(history: DataFrame, tenant: str, event_id: str | None = None) -
     return found.select(*SUMMARY_COLUMNS, "before_json", "after_json")
 
 
-def image_path_filter(history: DataFrame, path: str, value: str) -> DataFrame:
-    """Events whose before or after image holds ``value`` at a JSON path."""
-    return history.filter(
-        (F.get_json_object("before_json", path) == value) | (F.get_json_object("after_json", path) == value))
+def image_path_filter(history: DataFrame, path: str, value: str, images: DataFrame | None = None) -> DataFrame:
+    """Events whose before or after image holds ``value`` at a JSON path.
+
+    With ``images`` (the same images as VARIANT, see ``storage.append_images``) only the path's own column is read to find the events that may match, and the
+    text of those alone is looked at. A value that is an object or array itself is compared as text.
+    """
+    exact = (F.get_json_object("before_json", path) == value) | (F.get_json_object("after_json", path) == value)
+    if images is None or value[:1] in ("{", "["):
+        return history.filter(exact)
+
+    def may_hold(image: str) -> Column:
+        # VARIANT writes a number in its shortest form, so numbers are compared as such too.
+        number = F.lit(value).try_cast("double")
+        return (F.try_variant_get(image, path, "string") == value) | F.coalesce(F.try_variant_get(image, path, "double") == number, F.lit(False))
+
+    found = images.filter(may_hold("before_image") | may_hold("after_image")).select("tenant_id", "event_id")
+    return history.join(found, ["tenant_id", "event_id"], "left_semi").select(*history.columns).filter(exact)
 
 
 def field_changes(history: DataFrame, changed_only: bool = False, name_like: str | None = None) -> DataFrame:

@@ -667,6 +667,15 @@ def _(spark, sf_dir):
     return history.image_path_filter(stored_orders(spark, sf_dir), "$.o_orderstatus", "P").select("event_id", "operation")
 
 
+@query("image_path_filter_columns", _sql("""
+  SELECT event_id, operation FROM f1 WHERE json_extract_string(before_json, '$.o_orderstatus') = 'P' OR json_extract_string(after_json, '$.o_orderstatus') = 'P'""", "f1"))
+def _(spark, sf_dir):
+    """The same search by the images' columns."""
+    path, stored = run_folder(spark, "images"), stored_orders(spark, sf_dir)
+    storage.append_images(stored, path, 0)
+    return history.image_path_filter(stored, "$.o_orderstatus", "P", storage.read_images(spark, path)).select("event_id", "operation")
+
+
 @query("tenant_guard", _sql("SELECT event_id, CASE WHEN operation = 'DELETE' THEN 'MESSAGE_TENANT_MISMATCH' END AS error_code FROM f1", "f1"))
 def _(spark, sf_dir):
     foreign = stored_orders(spark, sf_dir).withColumn("tenant_id", F.when(F.col("operation") == "DELETE", "T2").otherwise(F.col("tenant_id")))

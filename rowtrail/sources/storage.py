@@ -95,6 +95,35 @@ def _append(batch: DataFrame, highest: dict, path: str, batch_id: int, stream_id
     )
 
 
+#: Fixed: Spark's settings that lay a VARIANT's fields out as columns of their own.
+_SHREDDING = ("spark.sql.variant.writeShredding.enabled", "spark.sql.variant.inferShreddingSchema")
+
+
+def append_images(events: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> None:
+    """Write a batch's row images as VARIANT beside its history, for searches by a path: each common field becomes a column, and a search reads one.
+
+    Partitions are those of the history, and a rerun replaces its own. Call it with the events that :func:`save_events` returns.
+    """
+    spark = events.sparkSession
+    rows = events.select(
+        "event_id", "tenant_id", *[F.try_parse_json(f"{side}_json").alias(f"{side}_image") for side in ("before", "after")],
+        F.trunc("occurred_at", "month").alias("occurred_month"), F.lit(stream_id).alias("stream_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+    before = {name: spark.conf.get(name, None) for name in _SHREDDING}
+    try:
+        for name in _SHREDDING:
+            spark.conf.set(name, "true")
+        rows.hint("rebalance", "tenant_id", "occurred_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """(event_id, before_image, after_image) with the history's partition columns."""
+    schema = "event_id string, before_image variant, after_image variant, tenant_id string, occurred_month date, stream_id string, batch_id bigint"
+    return spark.read.schema(schema).parquet(path)
+
+
 #: Beside the history: greatest positions of each stream, and new events of each batch.
 _MARKS = "_marks"
 _RECEIPTS = "_receipts"

@@ -512,3 +512,33 @@ def test_reconciliation_reads_the_changes_range_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(tenant_id" in plan or "PartitionFilters: [(tenant_id" in plan and "EqualTo(source_id,hr)" in plan and "GreaterThanOrEqual(commit_lsn,0000000B" in plan
     assert sorted(r.matches for r in reconcile.reconcile_source(wanted, stored).collect())[:3] == [0, 0, 1]
     assert reconcile.reconcile_source(wanted.limit(0), stored).collect() == []
+
+
+def test_a_search_by_path_reads_the_path_s_own_column(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "images")
+    images = [{"status": "open" if i % 7 else "closed", "amount": i / 4, "deep": {"k": i % 3}, "text": f"{i} " * 100} for i in range(400)] + [{"status": None}, {"amount": "2.50"}, {}]
+    rows = [(f'{{"id":{i}}}', value("u", image, image | {"status": "late"} if i % 11 == 0 else image, serial=i)) for i, image in enumerate(images)]
+    stored = changes.parse_change_feed(feed(spark, *rows, ('{"id":999}', value(after={"amount": 2.50}, serial=999)), ('{"id":998}', value("d", {"deep": [1, 2]}, None, serial=998))), source(spark)).persist()
+    for _ in range(2):  # a rerun replaces its own
+        storage.append_images(stored, path, 0, "stream")
+    read = storage.read_images(spark, path)
+    assert read.count() == stored.count()
+    for where, wanted in (("$.status", "closed"), ("$.status", "late"), ("$.amount", "2.5"), ("$.amount", "2.50"), ("$.deep.k", "1"), ("$.deep", "[1,2]"), ("$.deep[1]", "2"), ("$.none", "x")):
+        plain = sorted(r.event_id for r in history.image_path_filter(stored, where, wanted).collect())
+        assert sorted(r.event_id for r in history.image_path_filter(stored, where, wanted, read).collect()) == plain
+    assert len(history.image_path_filter(stored, "$.status", "closed", read).collect()) == 58
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    plan = read.filter(F.try_variant_get("after_image", "$.status", "string") == "closed").select("event_id")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "after_image:struct<0:string>" in plan and "before_image" not in plan.split("ReadSchema")[1]
+    sizes, needed = 0, 0
+    for file in (tmp_path / "images").rglob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        for k in range(group.num_columns):
+            column = group.column(k)
+            sizes += column.total_compressed_size if column.path_in_schema.startswith("after_image") else 0
+            needed += column.total_compressed_size if column.path_in_schema.startswith(("after_image.typed_value.status", "after_image.metadata", "after_image.value")) else 0
+    assert 0 < needed < 0.2 * sizes
+    assert spark.conf.get("spark.sql.variant.writeShredding.enabled") in ("true", "false")
