@@ -2,6 +2,7 @@
 
 import datetime as dt
 import shutil
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -542,3 +543,25 @@ def test_a_search_by_path_reads_the_path_s_own_column(spark, tmp_path):
             needed += column.total_compressed_size if column.path_in_schema.startswith(("after_image.typed_value.status", "after_image.metadata", "after_image.value")) else 0
     assert 0 < needed < 0.2 * sizes
     assert spark.conf.get("spark.sql.variant.writeShredding.enabled") in ("true", "false")
+
+
+def test_control_tables_in_memory_are_measured_once(spark, tmp_path):
+    from rowtrail.functions.sizing import bounded_broadcast
+
+    def jobs(action):
+        tracker, group = spark.sparkContext.statusTracker(), f"measured-{uuid.uuid4()}"
+        spark.sparkContext.setJobGroup(group, group)
+        action()
+        spark.sparkContext.setJobGroup("none", "none")
+        return len(tracker.getJobIdsForGroup(group))
+
+    table = spark.createDataFrame([(i, "x") for i in range(50)], "id int, name string")
+    assert jobs(lambda: bounded_broadcast(table.filter("id > 3"))) > 0
+    assert jobs(lambda: bounded_broadcast(table.filter("id > 3"))) == 0
+    assert jobs(lambda: bounded_broadcast(table.filter("id > 4"))) > 0
+    assert jobs(lambda: bounded_broadcast(table.filter("id > 3"), max_rows=7)) > 0
+    other = spark.createDataFrame([(i, "y") for i in range(50)], "id int, name string")
+    assert jobs(lambda: bounded_broadcast(other.filter("id > 3"))) > 0
+    table.write.parquet(str(tmp_path / "table"))
+    for _ in range(2):  # files can change
+        assert jobs(lambda: bounded_broadcast(spark.read.parquet(str(tmp_path / "table")))) > 0
