@@ -6,15 +6,18 @@ The share of bins in which two signatures agree estimates how many phrases two t
 compress well given the other.
 
 Cases: a null text counts as empty; an empty text has an empty signature, like only another empty one (1.0); equal texts
-have equal signatures; a dictionary that reaches ``MAX_PHRASES`` is begun anew, so a text of any length is parsed whole
-in bounded memory. The successor of a document is the next by descending id, null ids last, rows of one id by a
+have equal signatures; a text of any length is parsed whole with one dictionary, which takes memory in proportion to that one text and goes with it.
+The successor of a document is the next by descending id, null ids last, rows of one id by a
 hash of their text; the last one's successor is the first, so a lone row succeeds itself. Other columns play no part.
+
+Skew: documents are walked through in runs of neighbours. An id that many rows share, or none, is cut into runs by the hash of the text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +29,14 @@ from pyspark.sql import functions as F
 from rowtrail.llm.common import small_batches
 
 BINS = 128
-MAX_PHRASES = 1 << 18
 #: Stands for an empty bin in a signature.
 NOTHING = 0x10000
-#: Documents in a run of neighbours that one task walks through, until there are ``MAX_RUNS`` runs.
+#: Documents in a run of neighbours that one task walks through, until there are ``MAX_CUTS`` quantiles of the ids with ``SPLIT`` runs between two of them.
 RUN_ROWS = 256
-MAX_RUNS = 4096
+MAX_CUTS = 4096
+SPLIT = 8
+#: Runs that one id, or the rows without one, may be cut into, as a power of two.
+MAX_BITS = 15
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Code points fed at once; a longer text is parsed on in further steps.
@@ -44,7 +49,7 @@ class Parse:
 
     def __init__(self):
         self.root: dict = {}
-        self.node, self.entered, self.open = self.root, 0, b""
+        self.node, self.open = self.root, b""
         self.least = np.full(BINS, _EMPTY)
 
     def feed(self, text: str, log: list | None = None) -> Parse:
@@ -66,13 +71,9 @@ class Parse:
                     log.append((node, byte))
                 end(place)
                 node = root
-                if self.entered + len(ends) >= MAX_PHRASES:
-                    self.root = node = root = {}
-                    self.entered = -len(ends)
         self.node = node
         content = self.open + content
         if ends:
-            self.entered += len(ends)
             self._keep(content, np.array(ends))
             content = content[ends[-1]:]
         self.open = content
@@ -97,11 +98,11 @@ class Parse:
 
     def signature_with(self, text: str) -> np.ndarray:
         """The signature as if ``text`` followed what was fed; afterwards all is as before."""
-        state, least, log = (self.root, self.node, self.entered, self.open), self.least.copy(), []
+        state, least, log = (self.node, self.open), self.least.copy(), []
         found = self.feed(text, log).signature()
         for node, byte in reversed(log):
             del node[byte]
-        (self.root, self.node, self.entered, self.open), self.least = state, least
+        (self.node, self.open), self.least = state, least
         return found
 
 
@@ -136,25 +137,41 @@ def written(values: np.ndarray) -> str:
     return "".join("----" if value == NOTHING else f"{value:04x}" for value in values.tolist())
 
 
+def cut_points(ids: DataFrame) -> tuple[list[float], dict[float, int], int]:
+    """Where the ids (a column ``place`` of doubles) are cut into runs, the ids that get several runs of their own, and how many rows without an id do; both as powers of two."""
+    rows, named = ids.agg(F.count(F.lit(1)), F.count("place")).first()
+    wanted = math.ceil(named / RUN_ROWS)
+    coarse = min(MAX_CUTS, wanted)
+    quantiles = sorted(ids.filter("place IS NOT NULL").approxQuantile("place", [i / coarse for i in range(1, coarse)], 1 / (4 * coarse))) if coarse > 1 else []
+    between = min(SPLIT, math.ceil(wanted / coarse)) if coarse else 1
+    cuts = {low + (high - low) * k / between for low, high in zip(quantiles, quantiles[1:]) for k in range(between)} | set(quantiles)
+    # Several quantiles on one id: it gets [id, id + 1) to itself. Beyond 2^53 a double may stand for several ids, and they stay together.
+    shared = {place: min(MAX_BITS, (n * between - 1).bit_length()) for place, n in Counter(quantiles).items() if n > 1 and abs(place) < 1 << 53}
+    return sorted(cuts | {place + 1 for place in shared}), shared, min(MAX_BITS, max(0, math.ceil((rows - named) / RUN_ROWS) - 1).bit_length())
+
+
 def runs(documents: DataFrame) -> DataFrame:
     """Rows dealt in runs of neighbours by descending id: (run, guest, doc_id, tie, text).
 
     Each run ends with a guest, a copy of the first row of the following run, so that a run can be walked through
-    without its neighbour. Runs are cut at quantiles of the ids, which are narrow to read; at most ``MAX_RUNS``
-    first rows are collected. Texts are moved once.
+    without its neighbour. Runs are cut at quantiles of the ids, which are narrow to read, and evenly between these; only the runs'
+    first rows, whose number the constants bound, are collected. Texts are moved once.
     """
+    spark = documents.sparkSession
+    cuts, shared, bits = cut_points(documents.select(F.col("doc_id").cast("double").alias("place")))
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = documents.select(F.col("doc_id").cast("double").alias("place")).filter("place IS NOT NULL")
-    wanted = min(MAX_RUNS, math.ceil(ids.count() / RUN_ROWS))
-    cuts = sorted(set(ids.approxQuantile("place", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted)))) if wanted > 1 else []
     placed = texts.withColumns({"place": F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)), "tie": F.xxhash64("text")})
     slots = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="place", outputCol="slot").transform(placed) if cuts else placed.withColumn("slot", F.lit(0.0))
-    ordered = slots.select(F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(len(cuts) - F.col("slot").cast("int")).alias("own"), "doc_id", "tie", "text")
-    # The greatest id, then the least tie, is a run's first row; null ids form the last run. The complement turns the order round for every long.
+    several = spark.createDataFrame([(float(cuts.index(place) + 1), n) for place, n in shared.items()], "slot double, bits int")
+    known = slots.join(F.broadcast(several), "slot", "left").withColumn("bits", F.when(F.col("doc_id").isNull(), bits).otherwise(F.col("bits")))
+    # The leading bits of the hash, which also orders the rows of one id; null ids come last.
+    part = F.when(F.col("bits") > 0, F.expr("shiftright(tie, 64 - bits) + shiftleft(1L, bits - 1)")).otherwise(0)
+    slot = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(len(cuts) - F.col("slot").cast("int"))
+    ordered = known.select((F.shiftleft(slot.cast("long"), MAX_BITS) + part).alias("own"), "doc_id", "tie", "text")
+    # The greatest id, then the least tie, is a run's first row. The complement turns the order round for every long.
     firsts = sorted(ordered.groupBy("own").agg(F.min(F.struct(F.bitwise_not("doc_id").alias("back"), F.col("tie"))).alias("first")).collect())
     before = [(row["own"], None if row["first"]["back"] is None else ~row["first"]["back"], row["first"]["tie"], firsts[i - 1]["own"]) for i, row in enumerate(firsts)]
-    spark = documents.sparkSession
-    first = spark.createDataFrame(before, "first_own int, first_id long, first_tie long, before int")
+    first = spark.createDataFrame(before, "first_own long, first_id long, first_tie long, before long")
     matched = (F.col("own") == F.col("first_own")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tie") == F.col("first_tie"))
     both = ordered.join(F.broadcast(first), matched, "left")
     copies = F.array_compact(F.array(

@@ -223,8 +223,9 @@ def class_components(classes: DataFrame, texts: DataFrame, width: int, percent:
     shared = held(members.join(buckets, "bucket").select("bucket", "n", "doc_id"), "members")
     central = shared.groupBy("doc_id").agg(F.sum("n").alias("met"))
     ranked = held(shared.join(central, "doc_id").select("bucket", "doc_id", "met"), "ranked-members")
-    most = ranked.groupBy("bucket").agg(F.max("met").alias("met"))
-    middles = held(ranked.join(most, ["bucket", "met"]).groupBy("bucket").agg(F.min("doc_id").alias("middle")), "middles")
+    # The greatest count, then the least id, whose complement is the greatest; combined before the shuffle, so a hot bucket sends one row a task.
+    most = ranked.groupBy("bucket").agg(F.max(F.struct("met", F.bitwise_not("doc_id").alias("back"))).alias("most"))
+    middles = held(most.select("bucket", F.bitwise_not("most.back").alias("middle")), "middles")
     stars = held(ranked.join(middles, "bucket").select("bucket", "middle", "doc_id"), "stars")
     pairs = stars.filter("doc_id <> middle").select(F.col("middle").alias("a"), F.col("doc_id").alias("b")).distinct()
     first = held(likely(pairs, classes, percent / 100), "first-pairs")
@@ -258,22 +259,41 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def groups(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(key, component) of the documents that are linked with others, by ``document_key``: rows of one id and text are one."""
-    found = near_duplicates(documents.select(document_key().alias("doc_id"), "text"), width, percent)
-    linked = held(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).distinct(), "linked")
-    return linked.unionByName(linked.select(F.col("component").alias("key"), "component").distinct())
+def named_nodes(documents: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The documents with a number for each id and text in column ``name``, and what stands under each: (node, count, least).
+
+    The number is 64 bits of their hash. Of 10^10 documents a few pairs must be expected to share it; all of these but one get theirs from a second hash.
+    """
+    check = F.xxhash64(F.lit(SEED), "doc_id", "text")
+
+    def counted(named: DataFrame) -> DataFrame:
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id"))
+        found = named.select(F.col(name).alias("node"), "doc_id", check.alias("check")).groupBy("node")
+        return held(found.agg(F.count(F.lit(1)).alias("count"), least.alias("least"), F.min("check").alias("low"), F.max("check").alias("high")), "nodes")
+
+    named = documents.withColumn(name, document_key())
+    nodes = counted(named)
+    shared = held(nodes.filter("low <> high").select(F.col("node").alias(name), "low"), "shared-nodes")
+    if not shared.isEmpty():
+        low = free_name(named, "low")
+        marked = named.join(small_or_shuffled(shared.withColumnRenamed("low", low)), name, "left")
+        named = marked.withColumn(name, F.when(check > F.col(low), check).otherwise(F.col(name))).drop(low)
+        nodes = counted(named)
+    return named, nodes.drop("low", "high")
 
 
 def keep_first(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, with the columns it came with: of the least id, null ids last; rows of one id and text are one node."""
     name = free_name(documents, "near")
-    ids = held(documents.select("doc_id", document_key()).groupBy("key", "doc_id").count(), "nodes")
-    linked = held(ids.join(groups(documents, width, percent), "key"), "linked-nodes")
-    first = linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("first")).select("first.key")
-    led = held(linked.select("key").join(first, "key", "left_anti"), "led")
-    kept = documents.withColumn(name, document_key()).join(small_or_shuffled(led.withColumnRenamed("key", name)), name, "left_anti")
-    repeated = held(ids.filter("count > 1").select(F.col("key").alias(name)), "repeated-nodes")
+    named, nodes = named_nodes(documents, name)
+    found = near_duplicates(named.select(F.col(name).alias("doc_id"), "text"), width, percent)
+    linked = held(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")).distinct(), "linked")
+    every = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
+    grouped = held(nodes.join(every, "node").select("node", "least", "component"), "linked-nodes")
+    first = grouped.groupBy("component").agg(F.min(F.struct("least", "node")).alias("first")).select("first.node")
+    led = held(grouped.select("node").join(first, "node", "left_anti"), "led")
+    kept = named.join(small_or_shuffled(led.withColumnRenamed("node", name)), name, "left_anti")
+    repeated = held(nodes.filter("count > 1").select(F.col("node").alias(name)), "repeated-nodes")
     if not repeated.isEmpty():
         again = small_or_shuffled(repeated)
         kept = kept.join(again, name, "left_anti").unionByName(kept.join(again, name, "left_semi").dropDuplicates([name]))

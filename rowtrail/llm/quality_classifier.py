@@ -3,15 +3,18 @@
 A document is the average of learned vectors, one for each of its words and character n-grams (hashed to a
 fixed number of rows), plus one for a word that repeats its neighbour. A linear layer and a softmax over the
 averages give the probability of label 1. Vectors and layer are trained together by stochastic gradient
-descent in numpy on a bounded sample of labelled documents (``MAX_PER_LABEL`` of each label, the least
-by a hash of their id); every document is scored over its whole text.
+descent in numpy on a bounded sample of labelled documents (``MAX_PER_LABEL`` ids of each label, the least
+by a hash of the id). Whole texts are learned from, and every document is scored over its whole text.
+
+Tasks turn the sample's texts into features; the driver gets these, not the texts. A document has at most ``BUCKETS`` distinct
+features of 6 bytes each, so the sample is bounded whatever the length of its texts, and it comes to the driver partition by partition.
 
 After training, only the difference of the two outputs matters, so each row's vector is multiplied out once
 and scoring adds up one number per feature.
 
 Cases: a null or empty text has no features and gets the trained bias alone; with labels of one kind only
 every score is that label, and without labels 0.5; contradictory labels of one id count as their
-least; repeated rows give repeated rows; other columns play no part.
+least; of rows that share an id one is learned from, the least by a hash of its text; repeated rows give repeated rows; other columns play no part.
 """
 
 from __future__ import annotations
@@ -29,8 +32,6 @@ BUCKETS = 1 << 16
 DIMENSION = 8
 CHARACTER_N = (3, 4)
 MAX_PER_LABEL = 3000
-#: Of a longer training text, so many code points from a place chosen by hash are learned from. Scoring reads whole texts.
-TRAINING_CHARACTERS = 20_000
 #: Score of every text where there is no label to learn from.
 UNKNOWN = 0.5
 UPDATES = 20_000
@@ -106,13 +107,14 @@ def counted(text: str, features: Features) -> tuple[np.ndarray, np.ndarray]:
     return rows.astype(np.int64), (counts / max(1, counts.sum())).astype(np.float32)
 
 
-def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS, seed: int = SEED) -> tuple[np.ndarray, float] | float:
-    """The weight of each row for label 1 against label 0, and the bias; where all labels are one, the score of every text (0.5 without labels)."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], buckets: int = BUCKETS, seed: int = SEED) -> tuple[np.ndarray, float] | float:
+    """The weight of each row for label 1 against label 0, and the bias; where all labels are one, the score of every text (0.5 without labels).
+
+    ``rows``: of each document, its distinct rows and their shares.
+    """
     if len(set(labels)) < 2:
         return float(labels[0]) if labels else UNKNOWN
     random = np.random.default_rng(seed)
-    features = Features(buckets)
-    rows = [counted(text, features) for text in texts]
     vectors = random.uniform(-1 / DIMENSION, 1 / DIMENSION, (buckets, DIMENSION)).astype(np.float32)
     layer, bias = np.zeros((DIMENSION, 2), np.float32), np.zeros(2, np.float32)
     wanted = np.eye(2, dtype=np.float32)[labels]
@@ -147,21 +149,35 @@ def score(text: str, model: tuple[np.ndarray, float] | float, features: Features
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
-    """Texts and labels to learn from: at most ``MAX_PER_LABEL`` ids of each label, chosen by a hash of the id."""
+    """Whole texts and labels to learn from, one row an id: at most ``MAX_PER_LABEL`` ids of each label, chosen by a hash of the id."""
     known = labels.filter(usable & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.filter(F.col("quality") == label).orderBy(*order).limit(MAX_PER_LABEL) for label in (0, 1)]
     ids = chosen[0].unionByName(chosen[1])
-    # The ids are few by construction, so they go to every task; documents are not moved.
-    spot = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - TRAINING_CHARACTERS + 1)).cast("int") + 1
-    return documents.join(F.broadcast(ids), "doc_id").select("doc_id", F.substring("text", spot, F.lit(TRAINING_CHARACTERS)).alias("text"), "quality")
+    # The ids are few by construction, so they go to every task; of the documents only the sample moves, one text an id and task.
+    found = documents.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("tie"), "text")).alias("least"))
+    return found.select("doc_id", "least.text", "quality")
+
+
+def sample_features(sample: DataFrame) -> DataFrame:
+    """(doc_id, quality, rows, shares): the distinct rows of each text as unsigned 16-bit numbers and their shares as floats."""
+    small_batches(sample.sparkSession)
+
+    @F.pandas_udf("rows binary, shares binary")
+    def featured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        features = Features()
+        for texts in batches:
+            found = [counted(text or "", features) for text in texts]
+            yield pd.DataFrame([(rows.astype("<u2").tobytes(), shares.astype("<f4").tobytes()) for rows, shares in found], columns=["rows", "shares"])
+
+    return sample.select("doc_id", "quality", featured("text").alias("found")).select("doc_id", "quality", "found.*")
 
 
 def train(documents: DataFrame, labels: DataFrame, usable: Column):
-    """Fit on the bounded sample; the order of learning is by id and text, so reruns agree."""
+    """Fit on the bounded sample; the order of learning is by id, so reruns agree."""
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = sorted((row["doc_id"], row["text"], row["quality"]) for row in training_sample(texts, labels, usable).collect())
-    return fit([text for _, text, _ in sample], [quality for *_, quality in sample])
+    sample = sorted((row["doc_id"], row["quality"], row["rows"], row["shares"]) for row in sample_features(training_sample(texts, labels, usable)).toLocalIterator())
+    return fit([(np.frombuffer(rows, "<u2"), np.frombuffer(shares, "<f4")) for *_, rows, shares in sample], [quality for _, quality, *_ in sample])
 
 
 def score_column(spark: SparkSession, text: Column, model) -> Column:

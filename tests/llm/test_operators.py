@@ -69,6 +69,52 @@ def test_language_is_learned_from_labels(spark, odd, documents):
     assert language_id.Identifier([]).identify("text")[2] == "und"
 
 
+def plain_language(text, known):
+    """Nearest language, score and whether it is rejected: every block compressed by itself, with a compressor of its own."""
+    import math
+
+    import zstandard
+
+    content = " ".join("".join(c if ord(c) > 127 or c.isalpha() else " " for c in text.lower()).split(" ")).encode()
+    content = b" ".join(content.split())
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0, True
+    settings = zstandard.ZstdCompressionParameters(write_content_size=False, write_dict_id=False, **language_id.MATCHING)
+    sizes = []
+    for _, dictionary in known:
+        size = 0
+        for start in range(0, len(content), 4096):
+            shared = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            shared.precompute_compress(compression_params=settings)
+            size += len(zstandard.ZstdCompressor(compression_params=settings, dict_data=shared).compress(content[start:start + 4096]))
+        sizes.append(size)
+    first = min(range(len(sizes)), key=lambda k: sizes[k])
+    second = min(size for k, size in enumerate(sizes) if k != first)
+    return known[first][0], 1 / sum(math.exp(-40.0 * (size / sizes[first] - 1)) for size in sizes), (second - sizes[first]) / sizes[first] < 0.01
+
+
+def test_languages_equal_plain_compression(spark, documents):
+    usable = [r for r in documents.select("doc_id", "lang", "text", F.xxhash64("text").alias("hash")).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None and r.text]
+    chosen = {}
+    for r in usable:
+        slot = r.lang, r.hash % language_id.SLOTS
+        chosen[slot] = min(chosen.get(slot, (r.hash, r.text)), (r.hash, r.text))
+    excerpts = defaultdict(set)
+    for (lang, _), (h, text) in chosen.items():
+        spot = h % max(1, len(text) - language_id.EXCERPT + 1)
+        excerpts[lang].add((h, text[spot:spot + language_id.EXCERPT]))
+    plain = lambda t: b" ".join("".join(c if ord(c) > 127 or c.isalpha() else " " for c in t.lower()).encode().split())
+    texts = Counter(r.lang for r in usable)
+    known = [(lang, b" ".join(plain(t) for _, t in sorted(excerpts[lang]))) for lang in sorted(excerpts, key=lambda lang: (-texts[lang], lang))]
+    of = {r.doc_id: r.text or "" for r in documents.select("doc_id", "text").collect()}
+    got = queries.op1_language_id(spark, SF_DIR).collect()
+    assert len(got) == len(of)
+    for r in got:
+        lang, score, rejected = plain_language(of[r.doc_id], known)
+        assert (r.lang_pred, r.rejected) == (lang, rejected) and r.score == pytest.approx(score)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
 def brute_lines(rows, min_sites, group=None):
     """(doc_id, text) without wide lines; ``group`` of a text: texts of one group count for the site of theirs with the fewest rows."""
     form = lambda line: " ".join(WORDS.findall(line)).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
@@ -181,19 +227,43 @@ def test_time_grows_with_the_page_and_not_with_its_depth():
     assert seconds(100_000) < 5
 
 
+def plain_successors(frame):
+    """Rows of each document with its successor by a plain sort."""
+    rows = [(r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()]
+    ties = dict(zip([t for _, t in rows], [r[0] for r in frame.select(F.xxhash64(F.coalesce("text", F.lit("")))).collect()], strict=True))
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), ties[r[1]], r[1]))
+    want = Counter()
+    for k, (doc_id, text) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        third = len(text) // 3
+        edited = text[:len(text) - third] + after[:third]
+        a, b, c = map(fingerprints.signature, (text, edited, after))
+        want[doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.written(a), fingerprints.written(b), fingerprints.likeness(a, b), fingerprints.likeness(a, c)] += 1
+    return want
+
+
 def test_fingerprints_follow_the_successor(spark, odd, documents):
     for frame in (documents, odd, clashing(odd), odd.limit(0), odd.filter("doc_id = 7")):
-        rows = [(r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()]
-        ties = dict(zip([t for _, t in rows], [r[0] for r in frame.select(F.xxhash64(F.coalesce("text", F.lit("")))).collect()], strict=True))
-        rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), ties[r[1]], r[1]))
-        want = Counter()
-        for k, (doc_id, text) in enumerate(rows):
-            after = rows[(k + 1) % len(rows)][1]
-            third = len(text) // 3
-            edited = text[:len(text) - third] + after[:third]
-            a, b, c = map(fingerprints.signature, (text, edited, after))
-            want[doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.written(a), fingerprints.written(b), fingerprints.likeness(a, b), fingerprints.likeness(a, c)] += 1
-        assert Counter(map(tuple, fingerprints.compare_with_successor(frame).collect())) == want
+        assert Counter(map(tuple, fingerprints.compare_with_successor(frame).collect())) == plain_successors(frame)
+
+
+def test_an_id_on_many_rows_is_walked_through_in_several_runs(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RUN_ROWS", 3)
+    monkeypatch.setattr(fingerprints, "MAX_CUTS", 16)
+    rows = [(i - 20, f"text number {i}") for i in range(40)] + [(5, f"one of many under an id {i}") for i in range(80)] + [(None, f"without an id {i}") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, fingerprints.compare_with_successor(frame).collect())) == plain_successors(frame)
+    own = fingerprints.runs(frame).filter("NOT guest")
+    assert own.filter("doc_id = 5").select("run").distinct().count() >= 8 and own.filter("doc_id IS NULL").select("run").distinct().count() >= 8
+    assert max(r["count"] for r in own.groupBy("run").count().collect()) <= 16
+
+
+def test_a_long_text_is_parsed_with_one_dictionary():
+    import random
+
+    words = ["".join(random.Random(i).choices("etaoinshrdlucmf", k=3 + i % 6)) for i in range(4000)]
+    text = " ".join(random.Random(5).choices(words, k=330_000))
+    assert len(text) > 2 * fingerprints.STEP and fingerprints.written(fingerprints.signature(text)) == plain_fingerprint(text)
 
 
 def test_successors_of_the_least_and_greatest_ids(spark):
@@ -258,6 +328,15 @@ def test_one_row_of_each_group_is_kept_whatever_its_id(spark):
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter({(3, text(1)), (None, "a text of nobody"), (4, "another"), (4, "and another, under the same id"), (5, None), (6, None)})
 
 
+def test_documents_whose_hashes_are_equal_stay_apart(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, f"a text of its own {i} {i * i}", "en", "a", 0) for i in range(12)] + [(20, " ".join(words), "en", "a", 0), (21, " ".join([*words[:59], "last"]), "en", "a", 0), (3, "a text of its own 3 9", "en", "a", 0)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("low", F.lit(1))
+    monkeypatch.setattr(near_dedup, "document_key", lambda: F.pmod(F.xxhash64("doc_id", "text"), F.lit(3)).alias("key"))
+    got = near_dedup.keep_first(frame)
+    assert got.columns == frame.columns and sorted(r.doc_id for r in got.collect()) == [*range(12), 20]
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 103), (103, 101)] + [(7, 7)]
     got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -278,6 +357,77 @@ def test_quality_is_learned_and_whole_texts_scored(spark, odd, documents):
         assert model == want and {r[0] for r in odd.select(quality_classifier.score_column(spark, F.col("text"), model)).collect()} == {want}
 
 
+def plain_features(text):
+    """Row numbers of all features of a text, by the definition: words, a word like its neighbour, runs of 3 and 4 characters."""
+    def row(h, kind):
+        mixed = (h + kind) * 0x9E3779B97F4A7C15 % (1 << 64)
+        return ((mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 % (1 << 64)) >> 48
+
+    words = WORDS.findall(text)
+    found = [row(sum((ord(c) + 1) * pow(0x100000001B3, k, 1 << 64) for k, c in enumerate(w)) % (1 << 64), 0) for w in words]
+    found += [row(1, 1) for a, b in zip(words, words[1:]) if a == b]
+    for n in (3, 4):
+        for i in range(len(text) - n + 1 if words else 0):
+            h = 0
+            for c in text[i:i + n]:
+                h = ((h << 16) + ord(c)) % (1 << 64)
+            found.append(row(h, n))
+    return Counter(found)
+
+
+def test_classifier_equals_plain_features_and_descent(spark, documents, monkeypatch):
+    import math
+
+    import numpy as np
+
+    texts = [r.text or "" for r in documents.orderBy("doc_id").limit(12).collect()] + ["", "the the the 日本 😀 \t x"]
+    plain = [plain_features(t) for t in texts]
+    rows = [quality_classifier.counted(t, quality_classifier.Features()) for t in texts]
+    for (index, share), want in zip(rows, plain, strict=True):
+        assert dict(zip(index.tolist(), share.tolist(), strict=True)) == pytest.approx({k: n / want.total() for k, n in want.items()})
+    monkeypatch.setattr(quality_classifier, "UPDATES", 60)
+    labels = [i % 2 for i in range(len(texts))]
+    weights, bias = quality_classifier.fit(rows, labels)
+    # The same descent, one feature after the other.
+    random, size = np.random.default_rng(quality_classifier.SEED), quality_classifier.DIMENSION
+    vectors = random.uniform(-1 / size, 1 / size, (quality_classifier.BUCKETS, size)).tolist()
+    layer, offset, done = [[0.0, 0.0] for _ in range(size)], [0.0, 0.0], 0
+    while done < 60:
+        for i in random.permutation(len(texts)):
+            rate, shares = 3.0 * max(0.02, 1 - done / 60), {k: n / plain[i].total() for k, n in plain[i].items()}
+            average = [sum(s * vectors[k][d] for k, s in shares.items()) for d in range(size)]
+            powers = [math.exp(sum(average[d] * layer[d][c] for d in range(size)) + offset[c]) for c in (0, 1)]
+            error = [powers[c] / sum(powers) - (labels[i] == c) for c in (0, 1)]
+            back = [sum(layer[d][c] * error[c] for c in (0, 1)) for d in range(size)]
+            for d in range(size):
+                for c in (0, 1):
+                    layer[d][c] -= rate * average[d] * error[c]
+            offset = [offset[c] - 0.01 * rate * error[c] for c in (0, 1)]
+            for k, s in shares.items():
+                vectors[k] = [vectors[k][d] - rate * s * back[d] for d in range(size)]
+            done += 1
+    used = sorted(set().union(*plain))
+    want = {k: sum(vectors[k][d] * (layer[d][1] - layer[d][0]) for d in range(size)) for k in used}
+    assert [float(weights[k]) for k in used] == pytest.approx([want[k] for k in used], abs=2e-3) and bias == pytest.approx(offset[1] - offset[0], abs=1e-4)
+    # Scores in Spark are the softmax over whole texts.
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = dict(map(tuple, frame.select("doc_id", quality_classifier.score_column(spark, F.col("text"), (weights, bias))).collect()))
+    for i, counts in enumerate(plain):
+        mean = sum(float(weights[k]) * n for k, n in counts.items()) / max(1, counts.total())
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-bias - mean)), abs=1e-6)
+
+
+def test_whole_texts_are_learned_from_and_one_row_of_an_id(spark):
+    long_ = "start " * 30_000 + "the end of a long text"
+    docs = spark.createDataFrame([(1, long_), (1, "another row under this id"), (2, "good"), (None, "nobody"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (4, 1), (9, 1), (None, 1)], "doc_id long, quality int")
+    got = quality_classifier.training_sample(docs, labels, F.lit(True)).collect()
+    least = docs.filter("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+    assert sorted((r.doc_id, r.quality, r.text) for r in got if r.doc_id != 4) == [(1, 0, least), (2, 1, "good")] and [r.text for r in got if r.doc_id == 4] == [None]
+    only = quality_classifier.sample_features(quality_classifier.training_sample(docs.filter(F.length("text") > 100), labels, F.lit(True))).first()
+    assert len(only.rows) // 2 == len(plain_features(long_))
+
+
 def test_feature_steps_lose_nothing(monkeypatch):
     text = "alpha beta beta gamma\n" * 40
     whole = Counter(int(r) for part in quality_classifier.Features().rows(text) for r in part)
