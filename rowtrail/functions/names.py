@@ -27,9 +27,9 @@ def split_qualified(name: Column) -> Column:
     return F.struct(parts[0].alias("schema_name"), parts[1].alias("table_name"))
 
 
-def connector_name(tenant: Column, source: Column) -> Column:
-    return F.concat_ws("-", F.lit(CONNECTOR_PREFIX), tenant, source)
+def connector_name(tenant: Column, source: Column, prefix: str = CONNECTOR_PREFIX) -> Column:
+    return F.concat_ws("-", F.lit(prefix), tenant, source)
 
 
-def service_owned(table: Column) -> Column:
-    return F.contains(F.lower(table), F.lit(SERVICE_MARKER))
+def service_owned(table: Column, marker: str = SERVICE_MARKER) -> Column:
+    return F.contains(F.lower(table), F.lit(marker.lower()))

@@ -383,11 +383,11 @@ def _fresh(now) -> Column:
 
 
 def can_enable(registry: DataFrame, grants: DataFrame, now) -> DataFrame:
-    """Add ``can_enable``: a discovered, eligible, freshly observed table of a tenant the caller may manage."""
+    """Add ``can_manage`` (the caller may manage the tenant) and ``can_enable``: a discovered, eligible, freshly observed table of such a tenant."""
     managed = grants.filter("can_manage").select("tenant_id").distinct().withColumn("_manages", F.lit(True))
-    return registry.join(managed, "tenant_id", "left").withColumn(
+    return registry.join(managed, "tenant_id", "left").withColumn("can_manage", F.col("_manages").isNotNull()).withColumn(
         "can_enable",
-        F.col("_manages").isNotNull() & (F.col("state") == "DISCOVERED") & F.col("sql_cdc_enabled") & ~F.col("desired_enabled") & ~F.col("active") & _fresh(now),
+        F.col("can_manage") & (F.col("state") == "DISCOVERED") & F.col("sql_cdc_enabled") & ~F.col("desired_enabled") & ~F.col("active") & _fresh(now),
     ).drop("_manages")
 
 
@@ -432,7 +432,7 @@ def apply_requests(registry: DataFrame, requests: DataFrame, now) -> tuple[DataF
 
 def tables_page(registry: DataFrame, grants: DataFrame, now, tenant: str | None = None, query: str = "", state: str | None = None,
                 page: int = 0, size: int = 20) -> DataFrame:
-    """One zero-based page of the registry by name with ``can_enable`` and ``total_elements``."""
+    """One zero-based page of the registry by name with ``can_manage``, ``can_enable`` and ``total_elements``."""
     page_size(size)
     name = names.qualified(F.col("schema_name"), F.col("table_name"))
     found = registry.filter(F.contains(F.lower(name), F.lower(F.lit(query))))
@@ -444,5 +444,5 @@ def tables_page(registry: DataFrame, grants: DataFrame, now, tenant: str | None
     return (
         can_enable(found, grants, now)
         .select("table_id", "source_id", "schema_name", "table_name", "sql_cdc_enabled", "desired_enabled", "active", "state", "diagnostic",
-                "observed_at", "requested_at", "enabled_at", "activation_lsn", "can_enable")
+                "observed_at", "requested_at", "enabled_at", "activation_lsn", "can_manage", "can_enable")
         .orderBy("schema_name", "table_name", "source_id", "table_id").offset(page * size).limit(size).withColumn("total_elements", total))

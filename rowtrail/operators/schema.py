@@ -101,10 +101,10 @@ def capture_fingerprint(captures: DataFrame, column_shapes: DataFrame, key_shape
         identity.sha256(F.array_join(F.sort_array(F.collect_list(line)), "\n")).alias("fingerprint"))
 
 
-def capturable_tables(inventory: DataFrame) -> DataFrame:
-    """Tables of the catalog that may be captured, with whether their name is a plain identifier."""
+def capturable_tables(inventory: DataFrame, service_marker: str = names.SERVICE_MARKER) -> DataFrame:
+    """Tables of the catalog that may be captured, with whether their name is a plain identifier; those named with the service's marker are its own."""
     name = names.qualified(F.col("schema_name"), F.col("table_name"))
-    return inventory.filter(~F.col("is_shipped") & ~names.service_owned(F.col("table_name")) & (F.lower("schema_name") != "cdc")).withColumn(
+    return inventory.filter(~F.col("is_shipped") & ~names.service_owned(F.col("table_name"), service_marker) & (F.lower("schema_name") != "cdc")).withColumn(
         "supported", name.rlike(names.QUALIFIED_IDENTIFIER))
 
 

@@ -20,13 +20,13 @@ SOURCE_SCHEMA = (
 )
 
 
-def prepare_sources(sources: DataFrame, heartbeat_table: str = names.HEARTBEAT_TABLE) -> DataFrame:
+def prepare_sources(sources: DataFrame, heartbeat_table: str = names.HEARTBEAT_TABLE, connector_prefix: str = names.CONNECTOR_PREFIX) -> DataFrame:
     """Add what routing needs: connector name, heartbeat table and the captured-table list."""
     prepared = sources
     if "boundaries" not in sources.columns:
         prepared = prepared.withColumn("boundaries", F.lit(None).cast("map<string,string>"))
     if "connector" not in sources.columns:
-        prepared = prepared.withColumn("connector", names.connector_name(F.col("tenant_id"), F.col("source_id")))
+        prepared = prepared.withColumn("connector", names.connector_name(F.col("tenant_id"), F.col("source_id"), connector_prefix))
     return prepared.withColumn("heartbeat_table", F.lit(heartbeat_table)).withColumn(
         "captured", F.array_union("tables", F.array(F.lit(heartbeat_table)))
     )
@@ -61,7 +61,7 @@ def include_tables(feed: DataFrame, sources: DataFrame, heartbeat_table: str = n
     )
 
 
-def validate_sources(sources: DataFrame) -> DataFrame:
+def validate_sources(sources: DataFrame, service_marker: str = names.SERVICE_MARKER) -> DataFrame:
     """Every broken rule of every source as ``(tenant_id, source_id, violation)``.
 
     Zero or null numbers take their defaults first, as an unset setting does. Uniqueness is counted
@@ -83,7 +83,7 @@ def validate_sources(sources: DataFrame) -> DataFrame:
             broken(~F.col("host").rlike(names.HOST_PATTERN) | ~F.col("database").rlike(names.DATABASE_IDENTIFIER), "INVALID_ADDRESS"),
             broken(~port.between(1, 65535), "INVALID_PORT"),
             broken(F.size(tables) == 0, "ALLOWLIST_REQUIRED"),
-            broken(F.exists(tables, lambda t: ~t.rlike(names.QUALIFIED_IDENTIFIER) | names.service_owned(t)), "INVALID_TABLE"),
+            broken(F.exists(tables, lambda t: ~t.rlike(names.QUALIFIED_IDENTIFIER) | names.service_owned(t, service_marker)), "INVALID_TABLE"),
             broken(retention < MINIMUM_RETENTION_MINUTES, "RETENTION_TOO_SHORT"),
             broken((batch < 1) | (queue <= batch) | (queue > MAXIMUM_QUEUE), "INVALID_BATCH_BOUNDS"),
         ))),

@@ -423,7 +423,7 @@ def _(spark, sf_dir):
 
 
 @query("tables_page", sql(f"""
-  SELECT table_id, source_id, schema_name, table_name, sql_cdc_enabled, desired_enabled, active, state, diagnostic, observed_at, requested_at, enabled_at, activation_lsn, {_CAN} AS can_enable,
+  SELECT table_id, source_id, schema_name, table_name, sql_cdc_enabled, desired_enabled, active, state, diagnostic, observed_at, requested_at, enabled_at, activation_lsn, s % 3 <> 1 AS can_manage, {_CAN} AS can_enable,
     (SELECT count(*) FROM reg WHERE lower('dbo.' || table_name) LIKE '%a%' AND state = 'DISCOVERED') AS total_elements
   FROM reg WHERE lower('dbo.' || table_name) LIKE '%a%' AND state = 'DISCOVERED' ORDER BY schema_name, table_name, source_id, table_id LIMIT 10 OFFSET 10""", "reg"))
 def _(spark, sf_dir):

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rowtrail.operators import changes, history, wire
+from rowtrail.operators import changes, history, schema, settings, wire
 from rowtrail.operators.settings import SOURCE_SCHEMA
 from rowtrail.sources import feeds as inputs
 
@@ -230,3 +230,11 @@ def test_expensive_fields_are_computed_below_the_rules(spark):
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert not any("parseJson" in line for line in filters)
     assert plan.count("parseJson(value") == 1
+
+
+def test_prefix_and_marker_of_the_service_are_settings(spark):
+    listed = source(spark)
+    assert {r.connector for r in settings.prepare_sources(listed, connector_prefix="feed").collect()} == {f"feed-{r.tenant_id}-{r.source_id}" for r in listed.collect()}
+    catalog = spark.createDataFrame([("dbo", "Own_Beat", False), ("dbo", "Capture_Heartbeat", False), ("dbo", "Orders", False)], "schema_name string, table_name string, is_shipped boolean")
+    shown = lambda **marker: {r.table_name for r in schema.capturable_tables(catalog, **marker).collect()}
+    assert shown() == {"Own_Beat", "Orders"} and shown(service_marker="Own_") == {"Capture_Heartbeat", "Orders"}
