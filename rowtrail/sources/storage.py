@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,14 +74,32 @@ def read_places(spark: SparkSession, path: str, places: Iterable[str]) -> DataFr
     return spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*there)
 
 
+@contextmanager
+def _adaptive(spark: SparkSession):
+    """Adaptive execution for one write. The session of a stream's batch has it off, and a rebalance would be left out there: every task would write every month."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_history(batch: DataFrame, path: str, batch_id: int, stream_id: str = BY_HAND) -> None:
     """Write a batch's new events to its own partitions.
 
     The rebalance lets adaptive execution split a hot tenant's month and merge small ones; files are sorted
-    so that searches by time skip row groups.
+    so that searches by time skip row groups. The batch is read twice, for its marks and for its rows, and so computed once and kept between.
     """
-    highest = {(s["tenant_id"], s["source_id"]): s["high"] for s in ops.position_spans(batch)}
-    _append(batch, highest, path, batch_id, stream_id)
+    held = batch.storageLevel.useMemory
+    rows = batch if held else batch.select(*[c for c in batch.columns if c in _STORED]).persist()
+    try:
+        highest = {(s["tenant_id"], s["source_id"]): s["high"] for s in ops.position_spans(rows)}
+        _append(rows, highest, path, batch_id, stream_id)
+    finally:
+        if not held:
+            rows.unpersist()
 
 
 def _append(batch: DataFrame, highest: dict, path: str, batch_id: int, stream_id: str) -> None:
@@ -89,10 +108,11 @@ def _append(batch: DataFrame, highest: dict, path: str, batch_id: int, stream_id
     keys = ["tenant_id", "occurred_month"]
     own = batch.select(*[c for c in batch.columns if c in _STORED])
     rows = own.withColumn("occurred_month", F.trunc("occurred_at", "month")).withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    (
-        rows.hint("rebalance", *keys).sortWithinPartitions(*keys, "occurred_at", "event_id")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
-    )
+    with _adaptive(batch.sparkSession):
+        (
+            rows.hint("rebalance", *keys).sortWithinPartitions(*keys, "occurred_at", "event_id")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITIONS).parquet(path)
+        )
 
 
 #: Fixed: Spark's settings that lay a VARIANT's fields out as columns of their own.

@@ -571,3 +571,26 @@ def test_control_tables_in_memory_are_measured_once(spark, tmp_path):
     table.write.parquet(str(tmp_path / "table"))
     for _ in range(2):  # files can change
         assert jobs(lambda: bounded_broadcast(spark.read.parquet(str(tmp_path / "table")))) > 0
+
+
+def test_a_streamed_batch_writes_each_month_as_one_file(spark, tmp_path):
+    """A stream's batch has adaptive execution off; without it every task would write every month."""
+    write_feed(spark, tmp_path / "feed", [r for month in range(1, 7) for r in month_records(month, 0, 40)])
+    path = tmp_path / "history"
+    parsed = changes.parse_change_feed(inputs.stream_change_feed(spark, str(tmp_path / "feed")), source(spark))
+    streams.stream_dedupe_bounded(parsed, str(path), str(tmp_path / "checkpoint"), "1 second", available_now=True).awaitTermination()
+    assert storage.read_history(spark, str(path)).select("event_id").distinct().count() == 240
+    assert len(list(path.rglob("occurred_month=*/*/*/*.parquet"))) == 6
+
+
+def test_a_batch_is_computed_once_for_its_marks_and_rows(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(text):
+        seen.add(1)
+        return text
+
+    events = changes.parse_change_feed(feed(spark, *records(0, 20)), source(spark))
+    marked = F.udf(noted, "string").asNondeterministic()
+    storage.append_history(events.withColumn("commit_lsn", marked("commit_lsn")), str(tmp_path / "history"), 0)
+    assert ids(spark, tmp_path / "history") == list(range(20)) and seen.value == 20
