@@ -238,3 +238,21 @@ def test_prefix_and_marker_of_the_service_are_settings(spark):
     catalog = spark.createDataFrame([("dbo", "Own_Beat", False), ("dbo", "Capture_Heartbeat", False), ("dbo", "Orders", False)], "schema_name string, table_name string, is_shipped boolean")
     shown = lambda **marker: {r.table_name for r in schema.capturable_tables(catalog, **marker).collect()}
     assert shown() == {"Own_Beat", "Orders"} and shown(service_marker="Own_") == {"Capture_Heartbeat", "Orders"}
+
+
+def test_a_value_is_read_by_one_pass_over_its_variant(spark):
+    plan = changes.examine(feed(spark), source(spark))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("try_variant_get(_value_read#") == 1
+
+
+def test_the_longest_method_that_is_compiled_is_set_unless_the_session_has_its_own(spark):
+    from rowtrail.session import HUGE_METHOD, configure
+
+    name, limit = HUGE_METHOD
+    try:
+        spark.conf.set(name, "20000")
+        assert configure(spark).conf.get(name) == "20000"
+        spark.conf.unset(name)
+        assert configure(spark).conf.get(name) == limit
+    finally:
+        spark.conf.set(name, limit)
