@@ -303,10 +303,15 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The history is saved, the writer is lost before it publishes, months are brought together, and the batch runs again."""
     path, published = run_folder(spark, "history"), run_folder(spark, "wire")
-    storage.save_events(order_history(spark, sf_dir), path, 0, "stream")
-    storage.compact_history(spark, path, dt.date(2100, 1, 1))
-    delivered = storage.save_events(order_history(spark, sf_dir), path, 0, "stream")
-    storage.publish_wire(delivered.select(*changes.HISTORY_COLUMNS), feeds.shop_source(spark), published, 0, "stream")
+    # Parsed once and kept, as a stream keeps its batch until it is published.
+    batch = order_history(spark, sf_dir).persist()
+    try:
+        storage.save_events(batch, path, 0, "stream")
+        storage.compact_history(spark, path, dt.date(2100, 1, 1))
+        delivered = storage.save_events(batch, path, 0, "stream")
+        storage.publish_wire(delivered.select(*changes.HISTORY_COLUMNS), feeds.shop_source(spark), published, 0, "stream")
+    finally:
+        batch.unpersist()
     return spark.read.parquet(published).select("event_id", "body")
 
 
