@@ -57,7 +57,7 @@ def wire_decode(wire: DataFrame, sources: DataFrame, heartbeat_table: str = name
     recomputed = identity.event_id(
         F.col("tenant_id"), F.col("source_id"), F.col("src.incarnation"), F.col("schema_name"), F.col("table_name"),
         F.col("commit_lsn"), F.col("change_lsn"), F.col("event_serial_no"), F.col("operation"),
-        jsonvalue.canonical(jsonvalue.parse(F.col("record_key")), jsonvalue.parse(jsonvalue.marked(F.col("record_key")))))
+        jsonvalue.canonical(F.col("record_key"), jsonvalue.parse(F.col("record_key")), jsonvalue.parse(jsonvalue.marked(F.col("record_key")))))
     trusted = F.coalesce(
         (F.col("version") == WIRE_VERSION) & (F.col("_incarnation") == F.col("src.incarnation"))
         & F.array_contains("src.tables", names.qualified(F.col("schema_name"), F.col("table_name")))

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from rowtrail.functions import lsn
 from rowtrail.operators import changes, history, schema, settings, wire
 from rowtrail.operators.settings import SOURCE_SCHEMA
 from rowtrail.sources import feeds as inputs
@@ -256,3 +257,16 @@ def test_the_longest_method_that_is_compiled_is_set_unless_the_session_has_its_o
         assert configure(spark).conf.get(name) == limit
     finally:
         spark.conf.set(name, limit)
+
+
+def test_position_text_is_what_a_formatter_writes(spark):
+    parts = [(39, 5, 3), (1 << 33, 65535, 70000), (0, -1, None), (None, None, 15)]
+    rows = spark.createDataFrame(parts, "a long, b long, c int").select(
+        lsn.make_lsn(F.col("a"), F.col("b"), F.col("c")).alias("text"), F.format_string("%08x:%08x:%04x", F.col("a"), F.col("b"), F.col("c").cast("long")).alias("formatted"))
+    assert all(r.text == r.formatted for r in rows.collect())
+
+
+def test_keys_without_a_fraction_read_as_before(spark):
+    texts = ['{"b":1,"a":"1"}', '{"a":12345678901234567890,"DOUBLE":[1,"x"]}', '{"a":"v1.5"}', '{"a":1.0,"b":{"c":2e1}}', '[1,2]', '{"a":' + "9" * 40 + "}", "", None]
+    keys = [r.record_key for r in changes.canonical_key(spark.createDataFrame([(t,) for t in texts], "key string")).collect()]
+    assert keys == ['{"a":"1","b":1}', '{"DOUBLE":[1,"x"],"a":12345678901234567890}', '{"a":"v1.5"}', '{"a":1.0,"b":{"c":20.0}}', "[1,2]", '{"a":1.0E40}', None, None]
