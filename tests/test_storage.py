@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from rowtrail.functions import lsn
 from rowtrail.operators import changes, history, reconcile
+from rowtrail.plans import change_queries
+from rowtrail.plans.catalog import QUERIES
 from rowtrail.sources import feeds as inputs
 from rowtrail.sources import storage
 from rowtrail.streaming import history as streams
@@ -594,3 +596,40 @@ def test_a_batch_is_computed_once_for_its_marks_and_rows(spark, tmp_path):
     marked = F.udf(noted, "string").asNondeterministic()
     storage.append_history(events.withColumn("commit_lsn", marked("commit_lsn")), str(tmp_path / "history"), 0)
     assert ids(spark, tmp_path / "history") == list(range(20)) and seen.value == 20
+
+
+def _given_orders(spark, folder):
+    """A folder with a table of orders and no other."""
+    rows = [(k, 5, "OFP"[k % 3], 10.5 + k, dt.datetime(1996, 1 + k % 12, 3), "1-URGENT") for k in range(20)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_a_query_on_stored_orders_parses_no_other_feed(spark, tmp_path):
+    folder = _given_orders(spark, tmp_path)
+    stored = change_queries.stored_orders(spark, folder)
+    assert stored.count() == change_queries.order_history(spark, folder).count() == 35
+    assert {(r.stream_id, r.table_name) for r in stored.collect()} == {("orders", "orders")}
+    path, there = change_queries._STORED[spark.sparkContext.applicationId, folder]
+    assert there == {"orders"}
+    # The other feed joins it in the same table once it is asked for.
+    late = stored.limit(1).drop("occurred_month", "stream_id", "batch_id").withColumn("table_name", F.lit("events")).withColumn("event_id", F.lit("e"))
+    storage.append_history(late, path, 0, "events")
+    assert change_queries.stored_orders(spark, folder).count() == 35 and storage.read_history(spark, path).count() == 36
+
+
+def test_replays_are_laid_out_beside_one_feed(spark, tmp_path):
+    folder = _given_orders(spark, tmp_path)
+    whole = change_queries.feeds.replayed_changes(spark, folder)
+    assert whole._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    parts = [change_queries.feeds.replayed_changes(spark, folder, again) for again in (False, True)]
+    assert sorted(whole.collect()) == sorted(parts[0].unionByName(parts[1]).collect())
+    assert [p.count() for p in parts] == [35, 8] and parts[1].columns == whole.columns
+
+
+def test_two_streams_publish_from_one_parse(spark, tmp_path, monkeypatch):
+    folder, parsed = _given_orders(spark, tmp_path), []
+    parse = change_queries.order_history
+    monkeypatch.setattr(change_queries, "order_history", lambda *given: parsed.append(given) or parse(*given))
+    published = QUERIES["publish_wire_two_streams"](spark, folder)
+    assert published.count() == published.select("event_id").distinct().count() == 35 and len(parsed) == 1
