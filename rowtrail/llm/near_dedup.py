@@ -193,15 +193,23 @@ def links_across(members: DataFrame, classes: DataFrame, documents: DataFrame, w
     return dealt.join(sets, "doc_id").groupBy("middle", "x_block", "y_block").applyInPandas(compare, "a long, b long").distinct()
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node of distinct edges (u, v), v < u, either hangs on one node only, with nothing on it, or hangs on none: then v is the least node reachable."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs")))
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.count(F.lit(1)).alias("n"))
+    return not nodes.agg(F.max((F.col("hangs") > 0) & (F.col("n") > 1))).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node of an edge (a, b), by large-star and small-star in turn.
 
     Each step groups by node to find the least neighbour, combined before the shuffle, and joins it back to the
-    edges; both are written to the shared folder, so lineage stays short.
+    edges; both are written to the shared folder, so lineage stays short. No round is run on edges that are stars already.
     """
     edges = held(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
     for _ in range(MAX_ROUNDS):
+        if are_stars(edges):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("near")).select("u", F.least("u", "near").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -209,10 +217,6 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         edges = held(small, "small-star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
     raise RuntimeError(f"components have not settled after {MAX_ROUNDS} rounds")
 
 
@@ -235,7 +239,11 @@ def class_components(classes: DataFrame, texts: DataFrame, width: int, percent:
     mixed = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("bucket")
     # Buckets around one middle are one group: a pair that meets in several is judged once.
     members = held(grouped.join(mixed, "bucket").select("middle", "doc_id", "component").distinct(), "open-members")
+    if members.isEmpty():
+        return settled
     second = held(links_across(members, classes, texts, width, percent), "second-links")
+    if second.isEmpty():
+        return settled
     # Stars of the first components stand for their links.
     return components(settled.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
@@ -273,8 +281,9 @@ def named_nodes(documents: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
     named = documents.withColumn(name, document_key())
     nodes = counted(named)
-    shared = held(nodes.filter("low <> high").select(F.col("node").alias(name), "low"), "shared-nodes")
+    shared = nodes.filter("low <> high").select(F.col("node").alias(name), "low")
     if not shared.isEmpty():
+        shared = held(shared, "shared-nodes")
         low = free_name(named, "low")
         marked = named.join(small_or_shuffled(shared.withColumnRenamed("low", low)), name, "left")
         named = marked.withColumn(name, F.when(check > F.col(low), check).otherwise(F.col(name))).drop(low)
@@ -293,8 +302,8 @@ def keep_first(documents: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = grouped.groupBy("component").agg(F.min(F.struct("least", "node")).alias("first")).select("first.node")
     led = held(grouped.select("node").join(first, "node", "left_anti"), "led")
     kept = named.join(small_or_shuffled(led.withColumnRenamed("node", name)), name, "left_anti")
-    repeated = held(nodes.filter("count > 1").select(F.col("node").alias(name)), "repeated-nodes")
+    repeated = nodes.filter("count > 1").select(F.col("node").alias(name))
     if not repeated.isEmpty():
-        again = small_or_shuffled(repeated)
+        again = small_or_shuffled(held(repeated, "repeated-nodes"))
         kept = kept.join(again, name, "left_anti").unionByName(kept.join(again, name, "left_semi").dropDuplicates([name]))
     return kept.select(*[F.col(f"`{c}`") for c in documents.columns])

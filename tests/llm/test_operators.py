@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -344,6 +345,32 @@ def test_components_of_long_paths(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
 
 
+def test_components_run_no_round_on_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(near_dedup, "held", lambda frame, name: (written.append(name), common.held(frame, name))[1])
+    for edges, want, rounds in (
+            ([], {}, 0), ([(1, 5), (6, 1), (2, 7), (3, 3)], {1: 1, 5: 1, 6: 1, 2: 2, 7: 2}, 0), ([(5, 1), (5, 2)], {1: 1, 2: 1, 5: 1}, 1), ([(1, 2), (2, 3)], {1: 1, 2: 1, 3: 1}, 1),
+            ([(1, 3), (2, 3), (2, 4), (8, 9)], {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}, 2)):
+        written.clear()
+        got = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert sorted((r.node, r.component) for r in got) == sorted(want.items())
+        assert written.count("edges") == 1 and len(written) <= 1 + 2 * rounds
+
+
+def test_near_dedup_writes_no_step_that_holds_nothing(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(near_dedup, "held", lambda frame, name: (written.append(name), common.held(frame, name))[1])
+    base = [f"w{k}" for k in range(60)]
+    frame = spark.createDataFrame([(k, " ".join(f"{k}x{w}" for w in base)) for k in range(3)] + [(k, " ".join([*base[:-1], f"end{k}"])) for k in range(3, 6)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup.keep_first(frame).collect()) == [0, 1, 2, 3]
+    assert written.count("edges") == 1 and not {"second-links", "shared-nodes", "repeated-nodes"} & set(written)
+
+
+def test_a_held_step_is_data_only(spark):
+    path = common.held(spark.range(3).toDF("a"), "test-held").inputFiles()[0].removeprefix("file:")
+    assert {p.name for p in Path(path).parent.iterdir() if not p.name.startswith((".", "part-"))} == set()
+
+
 def test_quality_is_learned_and_whole_texts_scored(spark, odd, documents):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     rows = queries.op6_quality_classifier(spark, SF_DIR).join(labels, "doc_id").filter("held_out").collect()
