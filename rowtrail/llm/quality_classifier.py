@@ -6,8 +6,8 @@ averages give the probability of label 1. Vectors and layer are trained together
 descent in numpy on a bounded sample of labelled documents (``MAX_PER_LABEL`` ids of each label, the least
 by a hash of the id). Whole texts are learned from, and every document is scored over its whole text.
 
-Tasks turn the sample's texts into features; the driver gets these, not the texts. A document has at most ``BUCKETS`` distinct
-features of 6 bytes each, so the sample is bounded whatever the length of its texts, and it comes to the driver partition by partition.
+Tasks turn the sample's texts into features, and one task learns from these; the driver gets the trained weights, 4 bytes a row. A document
+has at most ``BUCKETS`` distinct features of 6 bytes each, so the sample is bounded whatever the length of its texts.
 
 After training, only the difference of the two outputs matters, so each row's vector is multiplied out once
 and scoring adds up one number per feature.
@@ -173,11 +173,25 @@ def sample_features(sample: DataFrame) -> DataFrame:
     return sample.select("doc_id", "quality", featured("text").alias("found")).select("doc_id", "quality", "found.*")
 
 
+def learned(sample: DataFrame):
+    """``fit`` on the bounded sample, in one task; the driver gets the weights only."""
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [row for batch in batches for row in zip(batch["quality"], batch["rows"], batch["shares"], strict=True)]
+        model = fit([(np.frombuffer(rows, "<u2"), np.frombuffer(shares, "<f4")) for _, rows, shares in found], [int(quality) for quality, *_ in found])
+        weights, bias = (None, model) if isinstance(model, float) else (model[0].astype("<f4").tobytes(), model[1])
+        yield pd.DataFrame({"weights": [weights], "bias": [bias]})
+
+    model = sample.repartition(1).sortWithinPartitions("doc_id").mapInPandas(fitted, "weights binary, bias double").first()
+    if model is None:
+        return fit([], [])
+    return model["bias"] if model["weights"] is None else (np.frombuffer(model["weights"], "<f4"), model["bias"])
+
+
 def train(documents: DataFrame, labels: DataFrame, usable: Column):
     """Fit on the bounded sample; the order of learning is by id, so reruns agree."""
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = sorted((row["doc_id"], row["quality"], row["rows"], row["shares"]) for row in sample_features(training_sample(texts, labels, usable)).toLocalIterator())
-    return fit([(np.frombuffer(rows, "<u2"), np.frombuffer(shares, "<f4")) for *_, rows, shares in sample], [quality for _, quality, *_ in sample])
+    return learned(sample_features(training_sample(texts, labels, usable)))
 
 
 def score_column(spark: SparkSession, text: Column, model) -> Column:

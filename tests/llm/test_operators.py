@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -366,6 +367,19 @@ def test_near_dedup_writes_no_step_that_holds_nothing(spark, monkeypatch):
     assert written.count("edges") == 1 and not {"second-links", "shared-nodes", "repeated-nodes"} & set(written)
 
 
+def test_driver_gets_trained_weights_and_no_sample(spark, documents, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows of the sample came to the driver")
+
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    sample = quality_classifier.sample_features(quality_classifier.training_sample(documents.select("doc_id", "text"), labels, F.lit(True)))
+    rows = sorted(map(tuple, sample.collect()))
+    want = quality_classifier.fit([(np.frombuffer(r[2], "<u2"), np.frombuffer(r[3], "<f4")) for r in rows], [r[1] for r in rows])
+    monkeypatch.setattr(type(documents), "toLocalIterator", refused)
+    weights, bias = quality_classifier.train(documents, labels, F.lit(True))
+    assert np.allclose(weights, want[0], atol=1e-3) and bias == pytest.approx(want[1], abs=1e-3)
+
+
 def test_a_held_step_is_data_only(spark):
     path = common.held(spark.range(3).toDF("a"), "test-held").inputFiles()[0].removeprefix("file:")
     assert {p.name for p in Path(path).parent.iterdir() if not p.name.startswith((".", "part-"))} == set()
