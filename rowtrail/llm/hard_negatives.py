@@ -6,8 +6,8 @@ group's table is what the plane adds, so an inner product is a few table lookups
 and counts negatively. Scores are exact.
 
 Candidates are packed, label by label, into blocks of at most ``CANDIDATES`` rows; anchors into blocks of about ``ANCHORS``. The anchors are the stated queries:
-each of their blocks meets each block of candidates once, through a join on ``lanes`` that copies the anchors (not the candidates) to every lane. A task keeps the best few of each
-anchor it has met, so what it sends grows with its anchors and not with the pairs it scored. First the positives are found among the candidates of the anchor's
+each of their blocks meets each block of candidates once. A task holds its share of the candidates and reads all blocks of anchors past them, so neither side is
+broadcast nor written more than once. A task keeps the best few of each anchor it has met, so what it sends grows with its anchors and not with the pairs it scored. First the positives are found among the candidates of the anchor's
 label, then the negatives among the others, where each positive's score sets the band.
 
 Cases: rows with a null id, label or vector, or with a null or non-finite component, take no part; a shorter vector counts as filled up with zeros, an empty one
@@ -127,24 +127,23 @@ def _merged(kept: tuple[np.ndarray, np.ndarray], found: tuple[np.ndarray, np.nda
     return np.take_along_axis(score, order, -1), np.take_along_axis(ids, order, -1)
 
 
-_BLOCK = "label long, lane int, vec_ids binary, planes binary, bits int, n int"
+_BLOCK = "label long, vec_ids binary, planes binary, bits int, n int"
 
 
-def candidate_blocks(rows: DataFrame, lanes: int) -> DataFrame:
-    """Prepared rows packed by label in the order of their ids: (label, lane, vec_ids, planes, bits, n)."""
+def candidate_blocks(rows: DataFrame) -> DataFrame:
+    """Prepared rows packed by label in the order of their ids: (label, vec_ids, planes, bits, n)."""
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, int, list[int]]] = []
-        number = 0
 
         def block() -> pa.RecordBatch:
-            nonlocal waiting, number
+            nonlocal waiting
             found = planes(_matrix([v for _, _, v in waiting]))
-            row = {"label": waiting[0][1], "lane": (start + number) % lanes, "vec_ids": np.array([i for i, _, _ in waiting], "<i8").tobytes(), "planes": found.tobytes(), "bits": len(found), "n": len(waiting)}
-            waiting, number = [], number + 1
-            return pa.RecordBatch.from_pylist([row], pa.schema([("label", pa.int64()), ("lane", pa.int32()), ("vec_ids", pa.binary()), ("planes", pa.binary()), ("bits", pa.int32()), ("n", pa.int32())]))
+            row = {"label": waiting[0][1], "vec_ids": np.array([i for i, _, _ in waiting], "<i8").tobytes(), "planes": found.tobytes(), "bits": len(found), "n": len(waiting)}
+            waiting = []
+            return pa.RecordBatch.from_pylist([row], pa.schema([("label", pa.int64()), ("vec_ids", pa.binary()), ("planes", pa.binary()), ("bits", pa.int32()), ("n", pa.int32())]))
 
         for batch in batches:
-            for start, vec_id, label, vector in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for vec_id, label, vector in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if waiting and (waiting[0][1] != label or len(waiting) >= CANDIDATES):
                     yield block()
                 waiting.append((vec_id, label, vector))
@@ -152,7 +151,7 @@ def candidate_blocks(rows: DataFrame, lanes: int) -> DataFrame:
             yield block()
 
     ordered = rows.repartitionByRange("label", "vec_id").sortWithinPartitions("label", "vec_id")
-    return ordered.select(F.spark_partition_id().alias("part"), "vec_id", "label", "vector").mapInArrow(packed, _BLOCK)
+    return ordered.select("vec_id", "label", "vector").mapInArrow(packed, _BLOCK)
 
 
 def anchor_blocks(anchors: DataFrame) -> DataFrame:
@@ -238,14 +237,13 @@ def mine(rows: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int
     Rows and anchors as :func:`prepared` gives them: (anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
     """
     spark = rows.sparkSession
-    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = held(candidate_blocks(rows, lanes), "candidate-blocks")
+    blocks = held(candidate_blocks(rows), "candidate-blocks")
     queries = held(anchor_blocks(anchors), "anchor-blocks")
 
     def meet(asked: DataFrame, condition: str) -> DataFrame:
-        # Copied to every lane, each block of anchors meets each block of candidates once.
-        copied = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-        return blocks.join(copied, "lane").filter(F.expr(condition))
+        # The right side's share lies in a task's memory (and spills) while the left side passes; the hint keeps either from being broadcast.
+        dealt = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return asked.coalesce(1).hint("shuffle_replicate_nl").join(dealt, F.expr(condition))
 
     def best_positives(met: _Met, row: dict) -> None:
         which = np.nonzero(met.labels == row["label"])[0]

@@ -347,6 +347,14 @@ def test_kept_rows_are_sent_on_when_there_are_many(spark, monkeypatch):
     assert Counter(map(tuple, queries.op13_hard_negatives(spark, SF_DIR).collect())) == want
 
 
+def test_anchors_are_not_copied_and_not_broadcast(spark):
+    raw = [(i, i % 3, [float(i % 5), float(i % 7), 1.0]) for i in range(400)]
+    found = mined(spark.createDataFrame(raw, "vec_id long, label int, embedding array<float>"))
+    assert Counter(map(tuple, found.collect())) == plain_negatives(taking_part(raw))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "explode(sequence" not in plan
+
+
 def test_large_components_are_refused(spark):
     with pytest.raises(Exception, match="beyond"):
         mined(spark.createDataFrame([(100, 1, [1e30])], "vec_id long, label int, embedding array<float>")).collect()
