@@ -633,3 +633,48 @@ def test_two_streams_publish_from_one_parse(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(change_queries, "order_history", lambda *given: parsed.append(given) or parse(*given))
     published = QUERIES["publish_wire_two_streams"](spark, folder)
     assert published.count() == published.select("event_id").distinct().count() == 35 and len(parsed) == 1
+
+
+def _nothing_in_memory(monkeypatch):
+    """Whole rows must not be persisted: beyond the memory they would lie on local disks undensely, and be read back a hundred blocks at a time."""
+    def refuse(self, *args):
+        raise AssertionError("persisted")
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.persist", refuse)
+
+
+def test_a_saved_batch_is_not_held_in_memory(spark, tmp_path, monkeypatch):
+    _nothing_in_memory(monkeypatch)
+    path = str(tmp_path / "history")
+    events = changes.parse_change_feed(feed(spark, *records(0, 8), *records(5, 12)), source(spark))
+    saved = storage.save_events(events, path, 0)
+    assert saved.columns == events.columns and sorted(r.event_serial_no for r in saved.collect()) == list(range(12))
+    storage.append_history(changes.parse_change_feed(feed(spark, *records(12, 14)), source(spark)), path, 1)
+    assert ids(spark, path) == list(range(14))
+    assert not list((tmp_path / "history" / storage._KEPT).rglob("*.parquet"))
+
+
+def test_pruning_after_two_deliveries_holds_nothing_in_memory(spark, tmp_path, monkeypatch):
+    _nothing_in_memory(monkeypatch)
+    folder = _given_orders(spark, tmp_path)
+    late = sum(r.occurred_at >= dt.datetime(1996, 1, 1) for r in change_queries.order_history(spark, folder).collect())
+    assert QUERIES["retention_prune_write"](spark, folder).count() == late == 35
+
+
+def test_a_large_batch_is_compared_and_written_in_steps(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "STEP_ROWS", 4)
+    path = str(tmp_path / "history")
+    months = [1704067200000 + 31 * 86400000 * k for k in range(5)]
+    rows = [(f'{{"id":{i}}}', value(after={"v": i}, serial=i, millis=months[i % 5])) for i in range(20)]
+
+    def parsed(*given):
+        return changes.parse_change_feed(feed(spark, *given), source(spark))
+
+    for _ in range(2):  # the second time with the receipt there
+        saved = storage.save_events(parsed(*rows, *rows[3:9]), path, 0)
+        assert sorted(r.event_serial_no for r in saved.collect()) == ids(spark, path) == list(range(20))
+    more = [(f'{{"id":{i}}}', value(after={"v": i}, serial=i, millis=months[0])) for i in range(20, 23)]
+    with storage.at_rest(parsed(*rows, *more, *more), path, 1) as kept:
+        saved = storage.save_events(kept, path, 1)
+        assert saved.columns == parsed(*more).columns and sorted(r.event_serial_no for r in saved.collect()) == [20, 21, 22]
+    assert ids(spark, path) == list(range(23))
