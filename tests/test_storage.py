@@ -678,3 +678,14 @@ def test_a_large_batch_is_compared_and_written_in_steps(spark, tmp_path, monkeyp
         saved = storage.save_events(kept, path, 1)
         assert saved.columns == parsed(*more).columns and sorted(r.event_serial_no for r in saved.collect()) == [20, 21, 22]
     assert ids(spark, path) == list(range(23))
+
+
+def test_held_sources_are_not_held_in_memory(spark, tmp_path, monkeypatch):
+    _nothing_in_memory(monkeypatch)
+    broken = feed(spark, *records(20, 22), ('{"id":9}', "broken")).withColumn("destination", F.lit("capture-T2-other.shop.dbo.orders"))
+    feed(spark, *records(0, 3)).unionByName(broken).coalesce(1).write.parquet(str(tmp_path / "feed"))
+    streams.stream_quarantine(inputs.stream_change_feed(spark, str(tmp_path / "feed")), source(spark), str(tmp_path / "history"), str(tmp_path / "held"),
+                              str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert ids(spark, tmp_path / "history") == [0, 1, 2]
+    assert storage.read_snapshot(spark, str(tmp_path / "held")).count() == 3
+    assert not list((tmp_path / "history" / storage._KEPT).rglob("*.parquet"))
