@@ -680,6 +680,35 @@ def test_a_large_batch_is_compared_and_written_in_steps(spark, tmp_path, monkeyp
     assert ids(spark, path) == list(range(23))
 
 
+def test_months_are_compacted_group_by_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "COMPACTED_BYTES", 1)
+    path, passes, ready = str(tmp_path / "history"), [], storage._ready
+    monkeypatch.setattr(storage, "_ready", lambda session, staged, places: passes.append({p.split("/")[1] for p in places}) or ready(session, staged, places))
+    folder = _given_orders(spark, tmp_path)
+    events = change_queries.order_history(spark, folder)
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for part in (0, 1):
+        storage.append_history(events.filter(half == part), path, part)
+    before = sorted(r.event_id for r in storage.read_history(spark, path).collect())
+    folders = len({str(f.parent) for f in (tmp_path / "history").rglob("occurred_month=*/*/*/*.parquet")})
+    assert storage.compact_history(spark, path, dt.date(2100, 1, 1)) == folders
+    assert len(passes) == 12 and all(len(months) == 1 for months in passes)
+    after = storage.read_history(spark, path)
+    assert sorted(r.event_id for r in after.collect()) == before and {(r.stream_id, r.batch_id) for r in after.collect()} == {(storage.COMPACTED, 0)}
+
+
+@pytest.mark.parametrize("name", ["history_compact", "publish_wire_after_compaction"])
+def test_batches_before_and_after_compaction_come_from_one_parse(spark, tmp_path, monkeypatch, name):
+    _nothing_in_memory(monkeypatch)
+    folder = _given_orders(spark, tmp_path)
+    kept = []
+    rest = storage.at_rest
+    monkeypatch.setattr(storage, "at_rest", lambda rows, *given: kept.append(storage._ROW not in rows.columns) or rest(rows, *given))
+    found = QUERIES[name](spark, folder)
+    assert found.count() == found.select("event_id").distinct().count() == 35
+    assert kept.count(True) == 1 and len(kept) > 2
+
+
 def test_held_sources_are_not_held_in_memory(spark, tmp_path, monkeypatch):
     _nothing_in_memory(monkeypatch)
     broken = feed(spark, *records(20, 22), ('{"id":9}', "broken")).withColumn("destination", F.lit("capture-T2-other.shop.dbo.orders"))
